@@ -329,7 +329,8 @@ def flagged_page(
 ) -> DataFrame:
     """The page of ``flagged_customers`` that follows (score, hash) ``after``.
 
-    The page is cut before the join, so only its rows look up a churn score.
+    The page is cut before the join, so only its rows look up a churn score. Column
+    ``cursor_score`` holds the unrounded score to pass on as the next ``after``.
     """
     flagged = anomaly.where(F.col("anomaly_flag") != "normal")
     if after is not None:
@@ -337,4 +338,6 @@ def flagged_page(
         later = (F.col("anomaly_score") < score) | ((F.col("anomaly_score") == score) & (F.col(KEY) > key))
         flagged = flagged.where(later)
     page = flagged.orderBy(F.desc("anomaly_score"), KEY).limit(size)
-    return flagged_customers(page, churn)
+    cursor = page.select(KEY, F.col("anomaly_score").alias("cursor_score"))
+    # At most one page of rows.
+    return flagged_customers(page, churn).join(F.broadcast(cursor), KEY)
