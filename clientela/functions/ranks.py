@@ -161,7 +161,8 @@ def ks_p_value(statistic: float, n: int, m: int) -> float:
     paths = (np.abs(j) < reach).astype(float)
     log_scale = 0.0
     for i in range(1, n + 1):
-        paths = np.cumsum(paths) * (np.abs(j - i * step_i) < reach)
+        inside_band = np.abs(j - i * step_i) < reach
+        paths = np.cumsum(paths * inside_band) * inside_band
         top = paths.max()
         if top == 0:
             return 1.0

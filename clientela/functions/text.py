@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from clientela.functions.columns import as_column
 
-BINARY_DIGITS = 56
+HIGH_BITS = 56
+LOW_BITS = 20
 
 
 def fixed(value: Column | str, digits: int) -> Column:
@@ -17,15 +18,21 @@ def fixed(value: Column | str, digits: int) -> Column:
     shortest decimal text instead: 0.865, slightly below its decimal text, would
     print as 0.87 rather than 0.86.
     """
-    unit = f"{1 << BINARY_DIGITS}BD"
+    unit = f"{1 << (HIGH_BITS + LOW_BITS)}BD"
     ten = 10**digits
-    scaled = (as_column(value).cast("double") * float(1 << BINARY_DIGITS)).cast("bigint")
-    total = scaled.cast("decimal(20,0)") * F.lit(ten).cast("decimal(8,0)")
+    # The value times 2^76 as a whole number; both steps are exact in binary.
+    exact = as_column(value).cast("double") * float(1 << HIGH_BITS)
+    high = F.floor(exact)
+    tail = (exact - high.cast("double")) * float(1 << LOW_BITS)
+    low = F.floor(tail)
+    more = tail > low.cast("double")
+    scaled = high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(8,0)")
+    total = (scaled * F.lit(ten).cast("decimal(8,0)")).cast("decimal(38,0)")
 
     def rounded(t: Column) -> Column:
         whole = F.call_function("div", t, F.expr(unit))
-        rest = 2 * (t - whole.cast("decimal(20,0)") * F.expr(unit))
-        up = (rest > F.expr(unit)) | ((rest == F.expr(unit)) & (whole % 2 == 1))
+        rest = ((t - (whole.cast("decimal(15,0)") * F.expr(unit)).cast("decimal(38,0)")) * 2).cast("decimal(38,0)")
+        up = (rest > F.expr(unit)) | ((rest == F.expr(unit)) & (more | (whole % 2 == 1)))
         return whole + up.cast("int")
 
     number = rounded(total)

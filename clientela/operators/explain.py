@@ -199,4 +199,5 @@ def churn_shap(
 def explained_anomalies(scores: DataFrame, shap: DataFrame, key: str = "customer_hash") -> DataFrame:
     """Flagged customers with their top contributions (null outside the sample)."""
     flagged = scores.where(F.col("anomaly_flag") != "normal")
-    return flagged.join(shap, key, "left").orderBy(F.desc("anomaly_score"), key)
+    # The explanations are a sample of fixed size, at most CHURN_SAMPLE rows.
+    return flagged.join(F.broadcast(shap), key, "left").orderBy(F.desc("anomaly_score"), key)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.functions.columns import amount, cents, elapsed_days
 from clientela.functions.skew import spread_join
+from clientela.session import materialise
 
 PURCHASED = "order_purchase_timestamp"
 PERSON = "customer_unique_id"
@@ -117,7 +118,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     Every bin is listed, empty ones with count 0.
     """
     value = F.col(column).cast("double")
-    present = df.where(value.isNotNull()).select(value.alias("v"))
+    # Read twice (edges, then counts): written once, one column.
+    present = materialise(df.where(value.isNotNull()).select(value.alias("v")), "histogram")
     edges = present.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     low, high = edges["low"], edges["high"]
     # A constant column gets a unit-wide range centred on its value.
@@ -247,7 +249,11 @@ def churn_by_state(rfm: DataFrame, customers: DataFrame, days: int = S.CHURN_DAY
 
 
 def outliers(rfm: DataFrame, limit: float = OUTLIER_Z) -> DataFrame:
-    """Persons with z-scores (sample deviation) and whether either exceeds ``limit``."""
+    """Persons with z-scores (sample deviation) and whether either exceeds ``limit``.
+
+    The person table is read by the deviation and by the scores, so it is written once.
+    """
+    rfm = materialise(rfm, "person-rfm")
     stats = rfm.agg(
         F.struct(
             F.avg("monetary").alias("m_mean"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clientela.functions.columns import elapsed_days, micros, snapshot
 from clientela.functions.skew import spread_join
+from clientela.session import materialise
 
 PURCHASED = "order_purchase_timestamp"
 CANCELED_STATUSES = ["canceled", "returned"]
@@ -58,8 +59,13 @@ def states_shipped(orders: DataFrame, customers: DataFrame, key: str = "customer
 
 
 def product_categories(transactions: DataFrame, products: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Distinct product categories bought; popular products are spread over tasks."""
-    bought = _known(transactions, key).select(key, "product_id")
+    """Distinct product categories bought; popular products are spread over tasks.
+
+    The distinct customer-product pairs are written first: the spread join reads its
+    large side twice and needs its rows in a fixed order.
+    """
+    pairs = _known(transactions, key).select(key, "product_id").distinct()
+    bought = materialise(pairs, "bought-products")
     categories = products.select("product_id", "product_category_name").distinct()
     return (
         spread_join(bought, categories, "product_id", "inner")

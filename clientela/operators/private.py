@@ -43,7 +43,8 @@ def unit_rows(df: DataFrame, features: list[str], scaler: DataFrame) -> DataFram
     """
     scaled = apply_scaler(df, scaler, prefix="_z_")
     names = [f"_z_{c}" for c in features]
-    norm = F.sqrt(sum([F.col(c) ** 2 for c in names[1:]], F.col(names[0]) ** 2))
+    squares = [F.col(c) * F.col(c) for c in names]
+    norm = F.sqrt(sum(squares[1:], squares[0]))
     shrink = F.when(norm > 1, F.lit(1.0) / norm).otherwise(F.lit(1.0)) / F.lit(math.sqrt(2.0))
     clipped = {c: F.col(c) * F.col("_shrink") for c in names}
     return (

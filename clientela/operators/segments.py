@@ -8,6 +8,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,7 +204,8 @@ def nearest_cluster(centroids: Sequence[Sequence[float]], features: Sequence[str
     """Index of the closest centroid, as one generated-code expression."""
     distances = []
     for centre in centroids:
-        terms = [(F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(features, centre, strict=True)]
+        gaps = [F.col(c) - F.lit(float(v)) for c, v in zip(features, centre, strict=True)]
+        terms = [g * g for g in gaps]
         distances.append(sum(terms[1:], terms[0]))
     if len(distances) == 1:
         return F.lit(0)
@@ -236,7 +239,7 @@ def cluster_quality(
     """
     features = list(features)
     fold = F.aggregate
-    squares = sum([F.col(c) ** 2 for c in features[1:]], F.col(features[0]) ** 2)
+    squares = sum([F.col(c) * F.col(c) for c in features[1:]], F.col(features[0]) * F.col(features[0]))
     labels = F.array(
         *[F.struct(F.lit(k).alias("k"), F.col(c).alias("cluster")) for k, c in label_columns.items()]
     )
@@ -300,13 +303,17 @@ def cluster_quality(
         F.sum("gap").alias("inertia"),
         F.avg(F.sqrt("gap")).alias("scatter"),
         F.sum(silhouette).alias("silhouette"),
-        F.first("own").alias("own"),
     )
-    centre = F.transform(F.col("own")["total"], lambda v: v / F.col("own")["n"])
-    gathered = per_cluster.groupBy("k").agg(
-        F.sum("inertia").alias("inertias"),
-        (F.sum("silhouette") / F.sum("n")).alias("silhouette_scores"),
-        F.collect_list(F.struct("cluster", "scatter", centre.alias("centre"))).alias("c"),
+    # One row per k and cluster on both sides.
+    centres = shapes.select("k", "cluster", F.transform("total", lambda v: v / F.col("n")).alias("centre"))
+    gathered = (
+        per_cluster.join(F.broadcast(centres), ["k", "cluster"])
+        .groupBy("k")
+        .agg(
+            F.sum("inertia").alias("inertias"),
+            (F.sum("silhouette") / F.sum("n")).alias("silhouette_scores"),
+            F.collect_list(F.struct("cluster", "scatter", "centre")).alias("c"),
+        )
     )
 
     def overlap(i: Column, j: Column) -> Column:
@@ -532,3 +539,13 @@ def segment_profiles(
         )
         .orderBy(F.desc("avg_monetary_total"), "segment_label")
     )
+
+
+def project_clusters(
+    assigned: DataFrame, features: Sequence[str] = S.SEGMENT_FEATURES, key: str = "customer_hash"
+) -> DataFrame:
+    """Two principal components of the scaled features of every clustered customer."""
+    vectors = VectorAssembler(inputCols=list(features), outputCol="v").transform(assigned)
+    projected = PCA(k=2, inputCol="v", outputCol="p").fit(vectors).transform(vectors)
+    parts = vector_to_array("p")
+    return projected.select(key, "cluster_id", parts[0].alias("pc1"), parts[1].alias("pc2"))

@@ -6,6 +6,7 @@ tables. Everything in between stays one lazy plan.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -19,6 +20,7 @@ from clientela.operators import anomaly, churn, cleaning, explain, features, mon
 from clientela.operators.private import train_private_model
 from clientela.session import materialise
 from clientela.sources import publish, tables
+from clientela.sources.raw import INGEST_COLUMN
 
 
 @dataclass
@@ -30,7 +32,7 @@ class CleanTables:
     items: DataFrame
 
 
-def clean_tables(raw: dict[str, DataFrame], valid_statuses: list[str] | None = None) -> CleanTables:
+def clean_tables(raw: Mapping[str, DataFrame], valid_statuses: list[str] | None = None) -> CleanTables:
     return CleanTables(
         orders=cleaning.clean_orders(raw["orders"], valid_statuses),
         customers=cleaning.clean_customers(raw["customers"]),
@@ -53,8 +55,26 @@ def pseudonymized_tables(clean: CleanTables, salt: str) -> dict[str, DataFrame]:
     }
 
 
+# Columns the features use. De-duplication keeps whole rows, so columns have to be
+# dropped before it for the scans to skip them.
+FEATURE_INPUTS = {
+    "orders": [
+        INGEST_COLUMN,
+        "order_id",
+        "customer_id",
+        "order_status",
+        features.PURCHASED,
+        features.DELIVERED,
+        features.ESTIMATED,
+    ],
+    "order_items": ["order_id"],
+    "order_payments": ["order_id", "payment_type", "payment_installments", "payment_value"],
+    "order_reviews": [INGEST_COLUMN, "review_id", "order_id", "review_score"],
+}
+
+
 def feature_job(
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     snapshot_date: str = S.SNAPSHOT_DATE,
     salt: str | None = None,
     pseudonymize: bool = True,
@@ -67,7 +87,8 @@ def feature_job(
     """
     if pseudonymize and not salt:
         raise ValueError("a salt must be set for pseudonymization")
-    clean = clean_tables(raw, valid_statuses)
+    needed = {name: raw[name].select(*columns) for name, columns in FEATURE_INPUTS.items()}
+    clean = clean_tables({**raw, **needed}, valid_statuses)
     return features.order_grain_feature_matrix(
         clean.orders,
         clean.items,

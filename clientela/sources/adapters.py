@@ -7,10 +7,14 @@ de-duplication has rows to act on.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -88,7 +92,7 @@ def sellers_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-RAW = {
+RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders": orders_raw,
     "customers": customers_raw,
     "order_items": order_items_raw,
@@ -99,5 +103,18 @@ RAW = {
 }
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read(spark, folder) for name, read in RAW.items()}
+class RawTables(Mapping):
+    """The seven raw-shaped tables of a folder, each opened on first use."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return RAW[name](self.spark, self.folder)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW)
+
+    def __len__(self) -> int:
+        return len(RAW)

@@ -37,17 +37,21 @@ RAW_SCHEMAS = {
     ),
 }
 
+# Review texts hold line breaks inside quotes, which rules out splitting the file;
+# every other table is read in splits.
+MULTI_LINE_TABLES = {"order_reviews"}
+
 # File order, used by keep-first / keep-last: file, block in the file, row in the block.
 INGEST_COLUMN = "ingest_seq"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
     """Header CSV with a known schema; fields are matched to columns by header name.
 
     Only the columns named in ``schema`` that the file has are returned, so a file
     with more, fewer or reordered columns still reads correctly.
     """
-    options = {"header": True, "multiLine": True, "escape": '"'}
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
     header = spark.read.options(**options).csv(path).columns
     wanted = dict(part.strip().split(" ") for part in schema.split(","))
     text = ", ".join(f"`{c}` {wanted.get(c, 'string')}" for c in header)
@@ -65,4 +69,7 @@ def read_raw_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, Dat
     unknown = set(paths) - set(RAW_SCHEMAS)
     if unknown:
         raise ValueError(f"unknown raw tables: {sorted(unknown)}")
-    return {name: read_csv(spark, path, RAW_SCHEMAS[name]) for name, path in paths.items()}
+    return {
+        name: read_csv(spark, path, RAW_SCHEMAS[name], name in MULTI_LINE_TABLES)
+        for name, path in paths.items()
+    }

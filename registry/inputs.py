@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientela import settings as S
-from clientela.operators import anomaly, churn, features
+from clientela.operators import anomaly, churn
 from clientela.plans import jobs
+from clientela.session import materialise
 from clientela.sources import adapters
 
 SNAPSHOT = "2001-08-02"
@@ -28,7 +29,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.raw = adapters.raw_tables(spark, folder)
+        self.raw = adapters.RawTables(spark, folder)
 
     @property
     def clean(self) -> jobs.CleanTables:
@@ -40,8 +41,12 @@ class Inputs:
 
     @property
     def matrix(self) -> DataFrame:
-        c = self.clean
-        return features.order_grain_feature_matrix(c.orders, c.items, c.payments, c.reviews, SNAPSHOT)
+        return jobs.feature_job(self.raw, SNAPSHOT, pseudonymize=False)
+
+    @property
+    def stored_matrix(self) -> DataFrame:
+        """The feature matrix as a written table, for operators that read it repeatedly."""
+        return materialise(self.matrix, "feature-matrix")
 
     @property
     def people(self) -> DataFrame:
@@ -80,19 +85,18 @@ class Inputs:
         people = self.people
         return people if key == "customer_hash" else people.withColumn(key, F.col("id"))
 
-    @property
-    def clusters(self) -> DataFrame:
-        """Feature-matrix customers (numeric key) with a given cluster."""
-        return self.matrix.select(
-            "customer_hash", (F.col("customer_hash") % 3).cast("int").alias("cluster_id")
-        )
-
     @property
     def scored_labels(self) -> DataFrame:
-        """Feature-matrix customers with churn label and a given probability."""
+        """Feature-matrix customers with churn label and a given probability, written."""
         labelled = churn.build_churn_labels(self.matrix)
         p = (F.col("customer_hash") * 53 % 997) / F.lit(997.0)
-        return labelled.select("customer_hash", "recency_days", "churned", p.alias("churn_probability"))
+        rows = labelled.select("customer_hash", "recency_days", "churned", p.alias("churn_probability"))
+        return materialise(rows, "scored-labels")
+
+
+def given_clusters(matrix: DataFrame) -> DataFrame:
+    """Feature-matrix customers (numeric key) with a cluster derived from the key."""
+    return matrix.select("customer_hash", (F.col("customer_hash") % 3).cast("int").alias("cluster_id"))
 
 
 def text_times(df: DataFrame) -> DataFrame:

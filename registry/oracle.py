@@ -684,6 +684,16 @@ SELECT round(avg(CAST(is_anomaly AS INT)), 6) AS anomaly_rate, round(avg(anomaly
        count(*) FILTER (WHERE is_anomaly) AS n_anomalies, CAST({S.CONTAMINATION} AS DOUBLE) AS contamination_param
 FROM raw_scored"""
 
+F9 = S.ANOMALY_FEATURES
+SCALED9 = " UNION ALL ".join(
+    f"SELECT customer_hash, {i} AS place, '{c}' AS name, abs(({c} - (SELECT avg({c}) FROM matrix))"
+    f" / (SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END FROM matrix)) AS size FROM matrix"
+    for i, c in enumerate(F9)
+)
+Q["a6_top_contributions"] = f"""
+SELECT customer_hash, string_agg(name, '|' ORDER BY p) AS top_features
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_hash ORDER BY size DESC, place) AS p FROM ({SCALED9}))
+WHERE p <= 3 GROUP BY customer_hash"""
 Q["g1_standardised_features"] = "SELECT customer_hash, " + ", ".join(r(c) for c in F7) + " FROM points"
 Q["g1_scaler"] = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean,"
@@ -694,6 +704,12 @@ Q["g4_inertia"] = "SELECT k_values, round(inertias, 6) AS inertias FROM quality"
 Q["g5_silhouette"] = "SELECT k_values, round(silhouette_scores, 6) AS silhouette_scores FROM quality"
 Q["g6_davies_bouldin"] = "SELECT k_values, round(davies_bouldin_scores, 4) AS davies_bouldin_scores FROM quality"
 Q["g7_select_k"] = "SELECT k_values AS k FROM quality ORDER BY silhouette_scores DESC, k_values LIMIT 1"
+Q["g9_nearest_centroid"] = f"""
+SELECT customer_hash, CAST(arg_min(cluster_id, (d, cluster_id)) AS BIGINT) AS cluster_id FROM (
+  SELECT a.customer_hash, b.cluster_id, {APART} AS d
+  FROM points a CROSS JOIN (SELECT customer_hash % 5 AS cluster_id, {", ".join(f"avg({c}) AS {c}" for c in F7)}
+                            FROM points GROUP BY 1) b)
+GROUP BY customer_hash"""
 Q["g10_cluster_profiles"] = "SELECT cluster_id, " + ", ".join(r(c, 4) for c in F7) + " FROM profiles3"
 Q["g11_feature_percentiles"] = "SELECT feature, " + ", ".join(r(p) for p in ("p25", "p50", "p75", "p90")) + " FROM percentiles"
 Q["g12_cluster_labels"] = "SELECT * FROM labels3"
@@ -761,6 +777,8 @@ SELECT (SELECT count(*) FROM drifts WHERE drifts.drift > 0.2) AS n_drifted, 'com
        NOT hit AS roll_baseline
 FROM (SELECT ks.ks_statistic AS stat, ks.ks_statistic > 0.1 AND {KS_P} < 0.05 AS hit FROM ks)"""
 
+Q["m5_monitoring_job"] = Q["m4_monitoring_verdict"]
+
 SUMMARY = """SELECT count(*) AS total, count(*) FILTER (WHERE anomaly_flag = 'anomalous') AS bad,
   count(*) FILTER (WHERE anomaly_flag = 'suspicious') AS odd FROM anomaly_given"""
 Q["q1_anomaly_summary"] = f"""

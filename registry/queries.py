@@ -16,16 +16,19 @@ from clientela.operators import (
     anomaly,
     churn,
     cleaning,
+    explain,
     exploration,
     extra_features,
     features,
     monitoring,
+    private,
     segments,
     serving,
 )
-from clientela.session import new_folder, ship_package
+from clientela.plans import jobs
+from clientela.session import materialise, new_folder, ship_package
 from clientela.sources import publish, raw, tables
-from registry.inputs import NOW, SALT, SNAPSHOT, Inputs, rounded, text_times, whole
+from registry.inputs import NOW, SALT, SNAPSHOT, Inputs, given_clusters, rounded, text_times, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,11 +233,7 @@ def f5_feature_matrix(t: Inputs) -> DataFrame:
 
 @query
 def f5_feature_matrix_hashed(t: Inputs) -> DataFrame:
-    c = t.clean
-    hashed = features.order_grain_feature_matrix(
-        c.orders, c.items, c.payments, c.reviews, SNAPSHOT, salt=SALT
-    )
-    return text_times(hashed)
+    return text_times(jobs.feature_job(t.raw, SNAPSHOT, salt=SALT))
 
 
 @query
@@ -456,7 +455,7 @@ def a5_anomaly_metrics(t: Inputs) -> DataFrame:
 # --- segmentation, on given labels -----------------------------------------------------
 @query
 def g1_standardised_features(t: Inputs) -> DataFrame:
-    return rounded(segments.prepare_points(t.matrix)[0])
+    return rounded(segments.prepare_points(t.stored_matrix)[0])
 
 
 @query
@@ -465,7 +464,7 @@ def g1_scaler(t: Inputs) -> DataFrame:
 
 
 def _given_quality(t: Inputs) -> DataFrame:
-    points, _ = segments.prepare_points(t.matrix)
+    points, _ = segments.prepare_points(t.stored_matrix)
     labels = {c: (F.col("customer_hash") % k).cast("int") for k, c in STAND_IN_KS.items()}
     return segments.cluster_quality(points.withColumns(labels), S.SEGMENT_FEATURES, STAND_IN_KS)
 
@@ -490,9 +489,20 @@ def g7_select_k(t: Inputs) -> DataFrame:
     return whole(segments.select_optimal_k(_given_quality(t)), "k")
 
 
+@query
+def g9_nearest_centroid(t: Inputs) -> DataFrame:
+    points, _ = segments.prepare_points(t.stored_matrix)
+    grouped = points.groupBy((F.col("customer_hash") % 5).cast("int").alias("cluster_id"))
+    centre = F.array(*[F.avg(c) for c in S.SEGMENT_FEATURES])
+    assigned = segments.assign_clusters(points, grouped.agg(centre.alias("centroid")))
+    return whole(assigned.select("customer_hash", "cluster_id"), "cluster_id")
+
+
 @query
 def g10_cluster_profiles(t: Inputs) -> DataFrame:
-    return whole(rounded(segments.cluster_profiles(t.matrix, t.clusters), 4), "cluster_id")
+    matrix = t.stored_matrix
+    profiles = segments.cluster_profiles(matrix, given_clusters(matrix))
+    return whole(rounded(profiles, 4), "cluster_id")
 
 
 @query
@@ -502,14 +512,15 @@ def g11_feature_percentiles(t: Inputs) -> DataFrame:
 
 @query
 def g12_cluster_labels(t: Inputs) -> DataFrame:
-    profiles = segments.cluster_profiles(t.matrix, t.clusters)
-    labels = segments.label_clusters(profiles, segments.feature_percentiles(t.matrix))
-    return whole(labels, "cluster_id")
+    matrix = t.stored_matrix
+    profiles = segments.cluster_profiles(matrix, given_clusters(matrix))
+    return whole(segments.label_clusters(profiles, segments.feature_percentiles(matrix)), "cluster_id")
 
 
 @query
 def g13_segment_assignments(t: Inputs) -> DataFrame:
-    return whole(segments.assign_segments(t.matrix, t.clusters), "cluster_id")
+    matrix = t.stored_matrix
+    return whole(segments.assign_segments(matrix, given_clusters(matrix)), "cluster_id")
 
 
 def _profiles(t: Inputs) -> DataFrame:
@@ -725,3 +736,136 @@ def q10_flagged_second_page(t: Inputs) -> DataFrame:
 def q11_segment_distribution(t: Inputs) -> DataFrame:
     return serving.rounded_profiles(_profiles(t))
 
+
+
+# --- fitted models: run in full, compared by invariants in the tests -------------------
+_trained: dict[tuple[str, str], tuple[DataFrame, jobs.TrainingResult]] = {}
+
+
+def _training(t: Inputs) -> tuple[DataFrame, jobs.TrainingResult]:
+    """The training job on the folder's feature matrix, once per session."""
+    place = (t.spark.sparkContext.applicationId, t.folder)
+    if place not in _trained:
+        matrix = materialise(jobs.feature_job(t.raw, SNAPSHOT, salt=SALT), "feature-matrix")
+        _trained[place] = (matrix, jobs.training_job(matrix))
+    return _trained[place]
+
+
+@query
+def a2_isolation_forest(t: Inputs) -> DataFrame:
+    return anomaly.fit_forest(t.stored_matrix).node_frame(t.spark)
+
+
+@query
+def a3_fitted_scores(t: Inputs) -> DataFrame:
+    matrix = t.stored_matrix
+    forest, _, _ = anomaly.train_isolation_forest(matrix)
+    return anomaly.score_anomalies(matrix, forest)
+
+
+@query
+def a5_training_metrics(t: Inputs) -> DataFrame:
+    return anomaly.train_isolation_forest(t.stored_matrix)[2]
+
+
+@query
+def a6_top_contributions(t: Inputs) -> DataFrame:
+    """The ranking half of the explanations, on contributions taken from the features."""
+    scaled = segments.apply_scaler(
+        t.stored_matrix, segments.fit_scaler(t.stored_matrix, S.ANOMALY_FEATURES)
+    )
+    given = scaled.select("customer_hash", F.array(*S.ANOMALY_FEATURES).alias("contributions"))
+    top = explain.top_contributions(given, S.ANOMALY_FEATURES, explain.ANOMALY_TOP)
+    values = F.from_json("shap_values", "map<string,double>")
+    return top.select("customer_hash", F.concat_ws("|", F.map_keys(values)).alias("top_features"))
+
+
+@query
+def a6_anomaly_shap(t: Inputs) -> DataFrame:
+    matrix = t.stored_matrix
+    return explain.anomaly_shap(matrix, anomaly.fit_forest(matrix))
+
+
+@query
+def g2_k_sweep(t: Inputs) -> DataFrame:
+    points, _ = segments.prepare_points(t.stored_matrix)
+    return segments.find_optimal_k(points)[0]
+
+
+@query
+def g3_kmeans_centroids(t: Inputs) -> DataFrame:
+    points, _ = segments.prepare_points(t.stored_matrix)
+    return segments.fit_kmeans(points, [S.DEFAULT_CLUSTERS])[S.DEFAULT_CLUSTERS].to_frame(t.spark)
+
+
+@query
+def g8_train_kmeans(t: Inputs) -> DataFrame:
+    points, _ = segments.prepare_points(t.stored_matrix)
+    return segments.train_kmeans(points, S.DEFAULT_CLUSTERS)[1]
+
+
+@query
+def c5_churn_model_metrics(t: Inputs) -> DataFrame:
+    return _training(t)[1].churn_metrics
+
+
+@query
+def c9_private_model_metrics(t: Inputs) -> DataFrame:
+    return private.train_private_model(churn.ordered_split(materialise(_given_features(t), "churn")))[1]
+
+
+@query
+def x10_privacy_tradeoff(t: Inputs) -> DataFrame:
+    return private.privacy_tradeoff(churn.ordered_split(materialise(_given_features(t), "churn")))
+
+
+@query
+def c10_churn_scores(t: Inputs) -> DataFrame:
+    return _training(t)[1].churn_scores
+
+
+@query
+def c11_churn_shap(t: Inputs) -> DataFrame:
+    _, result = _training(t)
+    return explain.churn_shap(result.churn_features, result.models.booster)
+
+
+@query
+def c12_score_with_saved_models(t: Inputs) -> DataFrame:
+    matrix, result = _training(t)
+    root = new_folder(t.spark, "models")
+    result.models.save(t.spark, root)
+    scored = jobs.scoring_from_saved(t.spark, matrix, root)
+    return serving.customer_risk(
+        scored["anomaly_scores"], scored["churn_scores"], scored["segment_assignments"]
+    )
+
+
+@query
+def x11_explained_anomalies(t: Inputs) -> DataFrame:
+    matrix, result = _training(t)
+    shap = explain.anomaly_shap(matrix, result.models.forest)
+    return explain.explained_anomalies(result.anomaly_scores, shap)
+
+
+@query
+def x11_cluster_projection(t: Inputs) -> DataFrame:
+    points, _ = segments.prepare_points(t.stored_matrix)
+    return segments.project_clusters(segments.assign_clusters(points, _centroids(t, points)))
+
+
+def _centroids(t: Inputs, points: DataFrame) -> DataFrame:
+    return segments.fit_kmeans(points, [S.DEFAULT_CLUSTERS])[S.DEFAULT_CLUSTERS].to_frame(t.spark)
+
+
+@query
+def m5_monitoring_job(t: Inputs) -> DataFrame:
+    root = new_folder(t.spark, "monitoring")
+    reference, current = _two_matrices(t)
+    reference.write.parquet(f"{root}/reference")
+    current.write.parquet(f"{root}/current")
+    t.churn_scores().write.parquet(f"{root}/before")
+    t.newer_churn_scores().write.parquet(f"{root}/scores")
+    places = (f"{root}/reference", f"{root}/current")
+    jobs.monitoring_job(t.spark, *places, f"{root}/before", f"{root}/baseline")
+    return rounded(jobs.monitoring_job(t.spark, *places, f"{root}/scores", f"{root}/baseline").verdict)
