@@ -94,11 +94,22 @@ def interpreted_summary(
 
 
 def customer_risk(anomaly: DataFrame, churn: DataFrame, segments: DataFrame) -> DataFrame:
-    """Scores and segment of every customer with an anomaly or a churn score."""
-    return (
-        anomaly.select(KEY, "anomaly_score", "anomaly_flag")
-        .join(churn.select(KEY, "churn_probability", "predicted_churn"), KEY, "full")
-        .join(segments.select(KEY, "segment_label"), KEY, "left")
+    """Scores and segment of every customer with an anomaly or a churn score.
+
+    The segment joins either side before the full join. After it, the key is a new
+    expression whose partitioning Spark does not know, and one more shuffle would be
+    needed; this way tables stored in equal buckets join without any.
+    """
+    labels = segments.select(KEY, "segment_label")
+    left = anomaly.select(KEY, "anomaly_score", "anomaly_flag").join(labels, KEY, "left")
+    right = churn.select(KEY, "churn_probability", "predicted_churn").join(labels, KEY, "left")
+    return left.join(right.withColumnRenamed("segment_label", "_label"), KEY, "full").select(
+        KEY,
+        "anomaly_score",
+        "anomaly_flag",
+        "churn_probability",
+        "predicted_churn",
+        F.coalesce("segment_label", "_label").alias("segment_label"),
     )
 
 
