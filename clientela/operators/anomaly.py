@@ -132,6 +132,9 @@ def fit_forest(
     gated = require_features(feature_matrix, features)
     table = gated.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in features])
     samples = tree_samples(table, "_key", trees, subsample, seed).select("tree", "draw", *features)
+    # The sample is small in bytes but each group costs time: keep the tasks apart.
+    tasks = min(trees, feature_matrix.sparkSession.sparkContext.defaultParallelism)
+    samples = samples.repartition(tasks, "tree")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])

@@ -24,6 +24,7 @@ MAX_ITERATIONS = 300
 SHIFT_TOLERANCE = 1e-4
 SEED_POOL = 4_096
 EUCLIDEAN_ROWS = 200_000
+DIRECT_TASKS = 64
 
 
 # --- scaling ----------------------------------------------------------------
@@ -74,11 +75,13 @@ def _nearest(points: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
     return labels, np.maximum(gaps[np.arange(len(points)), labels], 0.0)
 
 
-def _assignment_sums(points: DataFrame, features: list[str], models: dict[int, np.ndarray]) -> DataFrame:
-    """One row per (model, cluster): size, inertia part and feature sums.
+def _assignment_sums(
+    points: DataFrame, features: list[str], models: dict[int, np.ndarray], tasks: int
+) -> DataFrame:
+    """Rows of (model, cluster): size, inertia part and feature sums.
 
-    Each Arrow batch is reduced to one row per cluster inside the task, so the
-    shuffle carries some hundred rows per task whatever the table size.
+    Each task reduces its points to one row per cluster. The rows of a few tasks go
+    straight to the driver; those of many are added up by a shuffle first.
     """
     schema = "model int, cluster int, n bigint, inertia double, " + ", ".join(
         f"s{i} double" for i in range(len(features))
@@ -92,12 +95,7 @@ def _assignment_sums(points: DataFrame, features: list[str], models: dict[int, n
                 continue
             x = _matrix(batch, features)
             for m, centroids in models.items():
-                labels, gaps = _nearest(x, centroids)
-                k = len(centroids)
-                totals[m][:, 0] += np.bincount(labels, minlength=k)
-                totals[m][:, 1] += np.bincount(labels, weights=gaps, minlength=k)
-                for j in range(len(features)):
-                    totals[m][:, 2 + j] += np.bincount(labels, weights=x[:, j], minlength=k)
+                totals[m] += _batch_sums(x, centroids)
         rows = [
             (m, c, int(v[0]), *v[1:].tolist()) for m, t in totals.items() for c, v in enumerate(t)
         ]
@@ -108,19 +106,42 @@ def _assignment_sums(points: DataFrame, features: list[str], models: dict[int, n
         )
 
     partial = points.select(*features).mapInArrow(reduce, schema)
+    if tasks <= DIRECT_TASKS:
+        return partial
     return partial.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
 
 def _collect_sums(sums: DataFrame, models: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """Bounded: one row per cluster of each model."""
+    """Bounded: one row per cluster of each model, from at most ``DIRECT_TASKS`` tasks."""
     found = {m: np.zeros((len(c), 2 + c.shape[1])) for m, c in models.items()}
     for row in sums.collect():
-        found[row["model"]][row["cluster"]] = list(row)[2:]
+        found[row["model"]][row["cluster"]] += np.array(list(row)[2:], dtype=float)
     return found
 
 
+def _batch_sums(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Per cluster: size, inertia and feature sums of one block of points."""
+    labels, gaps = _nearest(x, centroids)
+    k = len(centroids)
+    columns = [np.bincount(labels, minlength=k), np.bincount(labels, weights=gaps, minlength=k)]
+    columns += [np.bincount(labels, weights=x[:, j], minlength=k) for j in range(x.shape[1])]
+    return np.column_stack(columns)
+
+
+def _moved(centroids: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Centroids at their cluster means (an empty cluster stays), and if any moved."""
+    filled = sums[:, 0] > 0
+    updated = centroids.copy()
+    updated[filled] = sums[filled, 2:] / sums[filled, :1]
+    return updated, ((updated - centroids) ** 2).sum() > SHIFT_TOLERANCE
+
+
 def _starting_centroids(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ (Arthur and Vassilvitskii 2007) over a bounded pool of points."""
+    """k-means++ (Arthur and Vassilvitskii 2007) on the pool, refined on the pool.
+
+    Refining the start on a fixed-size sample (Bradley and Fayyad 1998) saves most of
+    the scans over the whole table.
+    """
     chosen = [pool[rng.integers(len(pool))]]
     nearest = ((pool - chosen[0]) ** 2).sum(1)
     for _ in range(1, k):
@@ -128,7 +149,12 @@ def _starting_centroids(pool: np.ndarray, k: int, rng: np.random.Generator) -> n
         pick = rng.choice(len(pool), p=nearest / total) if total > 0 else rng.integers(len(pool))
         chosen.append(pool[pick])
         nearest = np.minimum(nearest, ((pool - chosen[-1]) ** 2).sum(1))
-    return np.array(chosen)
+    centroids, moving = np.array(chosen), True
+    for _ in range(MAX_ITERATIONS):
+        if not moving:
+            break
+        centroids, moving = _moved(centroids, _batch_sums(pool, centroids))
+    return centroids
 
 
 @dataclass
@@ -173,23 +199,25 @@ def fit_kmeans(
             rng = np.random.default_rng([seed, k, s])
             k_of[len(models)] = k
             models[len(models)] = _starting_centroids(pool, k, rng)
-    points = points.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
+    points = points.select(*features)
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    tasks = points.rdd.getNumPartitions()
+    if tasks < cores:
+        points, tasks = points.repartition(cores), cores
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         moving = dict(models)
         for _ in range(max_iterations):
-            sums = _collect_sums(_assignment_sums(points, features, moving), moving)
+            sums = _collect_sums(_assignment_sums(points, features, moving, tasks), moving)
             for m, total in sums.items():
-                filled = total[:, 0] > 0
-                updated = models[m].copy()
-                updated[filled] = total[filled, 2:] / total[filled, :1]
-                if ((updated - models[m]) ** 2).sum() <= SHIFT_TOLERANCE:
+                models[m], still = _moved(models[m], total)
+                if still:
+                    moving[m] = models[m]
+                else:
                     del moving[m]
-                models[m] = updated
-                if m in moving:
-                    moving[m] = updated
             if not moving:
                 break
-        final = _collect_sums(_assignment_sums(points, features, models), models)
+        final = _collect_sums(_assignment_sums(points, features, models, tasks), models)
     finally:
         points.unpersist()
     best: dict[int, KMeansFit] = {}

@@ -523,3 +523,11 @@ def test_training_and_scoring_jobs(spark, matrix, tmp_path):
         assert got.exceptAll(want).count() == 0, name
     with pytest.raises(FileNotFoundError, match="Missing required inputs"):
         jobs.scoring_from_saved(spark, full, str(tmp_path / "absent"))
+
+
+def test_many_tasks_are_added_up_by_a_shuffle(points, monkeypatch):
+    few = segments.fit_kmeans(points[0], [4], starts=2)[4]
+    monkeypatch.setattr(segments, "DIRECT_TASKS", 0)
+    many = segments.fit_kmeans(points[0], [4], starts=2)[4]
+    np.testing.assert_allclose(few.centroids, many.centroids, atol=1e-9)
+    assert few.inertia == pytest.approx(many.inertia)
