@@ -6,6 +6,7 @@ tables. Everything in between stays one lazy plan.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -55,6 +56,8 @@ def pseudonymized_tables(clean: CleanTables, salt: str) -> dict[str, DataFrame]:
     }
 
 
+SALT_VARIABLE = "HMAC_SALT"
+
 # Columns the features use. De-duplication keeps whole rows, so columns have to be
 # dropped before it for the scans to skip them.
 FEATURE_INPUTS = {
@@ -82,18 +85,18 @@ def feature_job(
 ) -> DataFrame:
     """Raw tables to the feature matrix.
 
-    Customer keys are hashed with ``salt``; ``pseudonymize=False`` keeps them
-    readable, for comparisons only.
+    Customer keys are hashed with ``salt`` (default: environment variable
+    ``HMAC_SALT``); ``pseudonymize=False`` keeps them readable, for comparisons only.
     """
+    salt = salt or os.environ.get(SALT_VARIABLE)
     if pseudonymize and not salt:
-        raise ValueError("a salt must be set for pseudonymization")
+        raise ValueError(f"{SALT_VARIABLE} must be set for pseudonymization")
     needed = {name: raw[name].select(*columns) for name, columns in FEATURE_INPUTS.items()}
-    clean = clean_tables({**raw, **needed}, valid_statuses)
     return features.order_grain_feature_matrix(
-        clean.orders,
-        clean.items,
-        clean.payments,
-        clean.reviews,
+        cleaning.clean_orders(needed["orders"], valid_statuses),
+        needed["order_items"],
+        cleaning.clean_payments(needed["order_payments"]),
+        cleaning.clean_reviews(needed["order_reviews"]),
         snapshot_date,
         salt=salt if pseudonymize else None,
     )

@@ -154,9 +154,12 @@ def test_order_grain_matrix_equals_the_item_level_one(raw):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
-def test_feature_job_needs_a_salt(raw):
-    with pytest.raises(ValueError, match="salt"):
+def test_feature_job_needs_a_salt(raw, monkeypatch):
+    monkeypatch.delenv("HMAC_SALT", raising=False)
+    with pytest.raises(ValueError, match="HMAC_SALT"):
         jobs.feature_job(raw, SNAPSHOT)
+    monkeypatch.setenv("HMAC_SALT", "from-env")
+    assert {len(r["customer_hash"]) for r in jobs.feature_job(raw, SNAPSHOT).collect()} == {64}
 
 
 def test_pseudonymized_tables(spark, raw):
