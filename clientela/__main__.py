@@ -1,5 +1,6 @@
 """Batch jobs for spark-submit.
 
+    python -m clientela clean    --raw RAW_DIR --data DATA_DIR
     python -m clientela features --raw RAW_DIR --data DATA_DIR --snapshot 2018-10-17
     python -m clientela train    --data DATA_DIR
     python -m clientela score    --data DATA_DIR
@@ -21,9 +22,18 @@ from clientela.plans import jobs
 from clientela.session import get_spark, ship_package
 from clientela.sources import raw, tables
 
+CLEAN_INPUTS = ["orders", "customers", "order_items", "order_payments", "order_reviews"]
 SCORE_TABLES = ["anomaly_scores", "churn_scores", "segment_assignments"]
 
 
+def clean(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    paths = {name: f"{args.raw}/{name}.csv" for name in CLEAN_INPUTS}
+    cleaned = jobs.clean_tables(raw.read_raw_tables(spark, paths))
+    outputs = {"transactions_clean": jobs.transactions(cleaned), **jobs.pseudonymized_tables(cleaned, jobs.salt_or_fail())}
+    written = {name: tables.write_table(df, f"{args.data}/{name}") for name, df in outputs.items()}
+    return written["transactions_clean"].groupBy("order_status").count()
+
+
 def features(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     paths = {name: f"{args.raw}/{name}.csv" for name in jobs.FEATURE_INPUTS}
     loaded = raw.read_raw_tables(spark, paths)
@@ -70,7 +80,14 @@ def monitor(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     ).verdict
 
 
-JOBS = {"features": features, "train": train, "score": score, "publish": publish, "monitor": monitor}
+JOBS = {
+    "clean": clean,
+    "features": features,
+    "train": train,
+    "score": score,
+    "publish": publish,
+    "monitor": monitor,
+}
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -81,8 +98,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--snapshot", default=S.SNAPSHOT_DATE)
     parser.add_argument("--rounds", type=int, default=S.BOOSTING_ROUNDS)
     args = parser.parse_args(arguments)
-    if args.job == "features" and not args.raw:
-        parser.error("features needs --raw")
+    if args.job in ("clean", "features") and not args.raw:
+        parser.error(f"{args.job} needs --raw")
     spark = get_spark("clientela")
     ship_package(spark)
     JOBS[args.job](spark, args).show(truncate=False)

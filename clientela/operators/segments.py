@@ -184,7 +184,8 @@ def fit_kmeans(
     All models advance together: one iteration is one scan that assigns every row
     to every still-moving model, instead of one scan per k and start. The driver
     only holds centroids. Starts are drawn from a hash-ordered pool of points, so a
-    seed gives the same models however the table is partitioned.
+    seed gives the same models however the table is partitioned. ``points`` is read
+    for the pool and again for the cached copy: pass a written table.
     """
     features = list(features)
     draw = F.xxhash64(F.col(key), F.lit(seed))

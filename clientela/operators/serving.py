@@ -269,11 +269,12 @@ def segment_lookup(
     ``invalid_segment`` and a message listing the valid ones.
     """
     labels = segment_dimension(assignments.sparkSession)
-    sizes = assignments.groupBy("segment_label").agg(F.count(F.lit(1)).alias("customer_count"))
-    # Six labels at most on the right sides that matter.
+    known = F.col("segment_label").isin(S.SEGMENT_LABELS)
+    sizes = assignments.where(known).groupBy("segment_label").agg(F.count(F.lit(1)).alias("customer_count"))
+    # One row per known label, six at most, on either right side.
     table = (
         labels.join(F.broadcast(sizes), "segment_label", "left")
-        .join(F.broadcast(rounded_profiles(profiles)), "segment_label", "left")
+        .join(F.broadcast(rounded_profiles(profiles.where(known))), "segment_label", "left")
         .withColumn("customer_count", F.coalesce("customer_count", F.lit(0)).cast("bigint"))
         .drop("place")
     )
@@ -308,9 +309,8 @@ def overview_kpis(anomaly: DataFrame, churn: DataFrame, segments: DataFrame) ->
         )
     ).scalar()
     sizes = segments.where(F.col("segment_label").isNotNull()).groupBy("segment_label").count()
-    # Equal sizes: the alphabetically first label. At most one row per label.
-    first = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), "segment_label")))
-    largest = sizes.agg(F.get(first, F.lit(0))["segment_label"]).scalar()
+    # Equal sizes: the alphabetically first label.
+    largest = sizes.orderBy(F.desc("count"), "segment_label").select("segment_label").limit(1).scalar()
     return churn.agg(
         F.count_if(F.col("churn_probability") >= S.HIGH_RISK).alias("high_risk_customers")
     ).select(

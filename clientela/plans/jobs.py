@@ -58,6 +58,15 @@ def pseudonymized_tables(clean: CleanTables, salt: str) -> dict[str, DataFrame]:
 
 SALT_VARIABLE = "HMAC_SALT"
 
+
+def salt_or_fail(salt: str | None = None) -> str:
+    """The given salt or the one in the environment."""
+    salt = salt or os.environ.get(SALT_VARIABLE)
+    if not salt:
+        raise ValueError(f"{SALT_VARIABLE} must be set for pseudonymization")
+    return salt
+
+
 # Columns the features use. De-duplication keeps whole rows, so columns have to be
 # dropped before it for the scans to skip them.
 FEATURE_INPUTS = {
@@ -88,9 +97,7 @@ def feature_job(
     Customer keys are hashed with ``salt`` (default: environment variable
     ``HMAC_SALT``); ``pseudonymize=False`` keeps them readable, for comparisons only.
     """
-    salt = salt or os.environ.get(SALT_VARIABLE)
-    if pseudonymize and not salt:
-        raise ValueError(f"{SALT_VARIABLE} must be set for pseudonymization")
+    salt = salt_or_fail(salt) if pseudonymize else None
     needed = {name: raw[name].select(*columns) for name, columns in FEATURE_INPUTS.items()}
     return features.order_grain_feature_matrix(
         cleaning.clean_orders(needed["orders"], valid_statuses),
@@ -98,7 +105,7 @@ def feature_job(
         cleaning.clean_payments(needed["order_payments"]),
         cleaning.clean_reviews(needed["order_reviews"]),
         snapshot_date,
-        salt=salt if pseudonymize else None,
+        salt=salt,
     )
 
 
@@ -217,7 +224,8 @@ def scoring_job(
         "customer_hash", "cluster_id", "segment_label"
     )
     labelled = churn.build_churn_labels(feature_matrix)
-    merged = churn.prepare_churn_features(labelled, scores, assigned)
+    merged = materialise(churn.merge_churn_features(labelled, scores, assigned), "churn-features")
+    churn.require_features(merged, S.CHURN_FEATURES)
     return {
         "anomaly_scores": scores,
         "segment_assignments": assigned,

@@ -45,12 +45,21 @@ def raw_dir(tmp_path):
         ["review_id", "order_id", "review_score", "review_comment_message", "review_creation_date", "review_answer_timestamp"],
         [(f"r{n}", i, rng.randint(1, 5), "good,\nor bad", day(), day()) for n, i in enumerate(ids)],
     )
+    write(
+        folder / "customers.csv",
+        ["customer_id", "customer_unique_id", "customer_city", "customer_state"],
+        [(f"c{n}", f"u{n // 2}", " rio ", "rj") for n in range(151)],
+    )
     return str(folder)
 
 
 def test_raw_files_to_alerts_and_monitoring(spark, raw_dir, tmp_path, monkeypatch, capsys):
     monkeypatch.setenv("HMAC_SALT", "command-test")
     data = str(tmp_path / "data")
+    main(["clean", "--raw", raw_dir, "--data", data])
+    assert spark.read.parquet(f"{data}/transactions_clean").count() == 1200
+    assert "customer_id" not in spark.read.parquet(f"{data}/transactions_pseudonymized").columns
+    assert spark.read.parquet(f"{data}/customers_pseudonymized").count() == 76
     main(["features", "--raw", raw_dir, "--data", data, "--snapshot", "2018-10-01"])
     matrix = spark.read.parquet(f"{data}/feature_matrix")
     customers = matrix.count()
