@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.operators.churn import classification_metrics
 from clientela.operators.segments import apply_scaler, fit_scaler
+from clientela.session import DIRECT_TASKS
 
 REGULARISATION = 1.0
 CURVATURE = 0.25
@@ -72,10 +73,11 @@ def perturbation(dimension: int, epsilon: float, seed: int) -> tuple[np.ndarray,
     return direction / np.linalg.norm(direction) * length, extra
 
 
-def _loss_parts(rows: DataFrame, names: list[str], weights: np.ndarray) -> np.ndarray:
+def _loss_parts(rows: DataFrame, names: list[str], weights: np.ndarray, tasks: int) -> np.ndarray:
     """Loss, gradient and Hessian sums over all rows.
 
-    Each task reduces its rows to one vector; a short aggregate adds the vectors.
+    Each task reduces its rows to one vector; the vectors of many tasks are added up
+    by a shuffle before they reach the driver.
     """
     d = len(names)
 
@@ -94,10 +96,12 @@ def _loss_parts(rows: DataFrame, names: list[str], weights: np.ndarray) -> np.nd
         )
 
     partial = rows.select(*names, "churned").mapInArrow(reduce, "i int, v double")
+    if tasks > DIRECT_TASKS:
+        partial = partial.groupBy("i").agg(F.sum("v").alias("v"))
     found = np.zeros(1 + d + d * d)
-    # Bounded: 1 + d + d*d numbers.
-    for row in partial.groupBy("i").agg(F.sum("v").alias("v")).collect():
-        found[row["i"]] = row["v"]
+    # Bounded: 1 + d + d*d numbers from at most DIRECT_TASKS tasks.
+    for row in partial.collect():
+        found[row["i"]] += row["v"]
     return found
 
 
@@ -117,10 +121,11 @@ def fit_private_logistic(
     ridge = REGULARISATION + extra
     rows = unit_rows(train, features, scaler).select(*names, "churned")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = rows.rdd.getNumPartitions()
     weights, accepted, lowest = np.zeros(d), np.zeros(d), math.inf
     try:
         for _ in range(max_iterations):
-            parts = _loss_parts(rows, names, weights)
+            parts = _loss_parts(rows, names, weights, tasks)
             loss = parts[0] + ridge / 2.0 * weights @ weights + noise @ weights
             if loss > lowest + 1e-9 * abs(lowest):
                 weights = (weights + accepted) / 2.0

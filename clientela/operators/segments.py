@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.functions.columns import require_features
 from clientela.functions.ranks import exact_quantiles
+from clientela.session import DIRECT_TASKS
 
 SCALER_SCHEMA = "feature string, mean double, scale double"
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>"
@@ -24,7 +25,6 @@ MAX_ITERATIONS = 300
 SHIFT_TOLERANCE = 1e-4
 SEED_POOL = 4_096
 EUCLIDEAN_ROWS = 200_000
-DIRECT_TASKS = 64
 
 
 # --- scaling ----------------------------------------------------------------
