@@ -47,17 +47,17 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternating large-star and small-star steps (Kiveris et al. 2014). Every step is a grouped minimum, which
     combines on the map side, and a join of plain shuffles, which adaptive execution splits where one node has many
-    neighbours. Each step is written to the shared folder, so lineage stays short.
+    neighbours (the minima are dealt anew, else the join would stay tied to the grouping). Each step is written to the shared folder, so lineage stays short.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     current = materialise(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).repartition("m")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         current = materialise(large, "large-star")
-        low = current.groupBy("u").agg(F.min("v").alias("m"))
+        low = current.groupBy("u").agg(F.min("v").alias("m")).repartition("m")
         joined = current.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()

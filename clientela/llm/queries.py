@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientela.llm import decontaminate, line_dedup, quality, simhash
+from clientela.llm import decontaminate, line_dedup, pieces, pii, quality, secret_scan, simhash, token_counts
 from clientela.llm.common import load
 
 
@@ -15,6 +15,24 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.context_limits(token_counts.length_histogram(load(spark, folder, "documents")))
+
+
+def span_digest(found: DataFrame, operator, kinds: list[str]) -> DataFrame:
+    """Counts of the base spans, their digest, and all spans as text."""
+    return found.select(
+        "doc_id",
+        *[operator.count_kind("base", k).alias(f"n_{k}") for k in kinds],
+        sha256(operator.span_list(F.col("base"))).alias("base_sha256"),
+        operator.span_list(F.concat("base", "added")).alias("spans"),
+    )
+
+
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return span_digest(pii.find_personal_data(load(spark, folder, "documents")), pii, pii.KINDS)
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.drop_shared_lines(load(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
@@ -38,13 +56,26 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(load(spark, folder, "documents"))
+
+
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(load(spark, folder, "documents"))
+    return span_digest(found, secret_scan, list(secret_scan.BASE))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
     "op7_decontaminate": op7_decontaminate,
+    "op8_pieces": op8_pieces,
+    "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }

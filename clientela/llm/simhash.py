@@ -262,7 +262,7 @@ def near_duplicates(
     smallest = materialise(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct-fingerprints")
     roots = materialise(connected(links(smallest, reach), "a", "b"), "roots")
     joined = smallest.join(roots, smallest["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "low")
-    lowest = joined.groupBy("root").agg(F.min("low").alias("component_id"))
+    lowest = joined.groupBy("root").agg(F.min("low").alias("component_id")).repartition("component_id")
     component = joined.join(lowest, "root").select("fp", "component_id")
     # A fingerprint with a third of all rows is a skewed key here: a plain left join, which adaptive execution splits.
     return rows.join(component, "fp", "left").select(F.col("id").alias(key), "copy", "fp", "component_id")
