@@ -47,7 +47,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
+    "op6_warc": WARC,
     "op7_decontaminate": DECONTAMINATE,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientela.llm import decontaminate, line_dedup, pieces, pii, quality, secret_scan, simhash, token_counts
+from clientela.llm import decontaminate, line_dedup, pieces, pii, quality, secret_scan, simhash, token_counts, warc
 from clientela.llm.common import load
 
 
@@ -44,6 +44,11 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = warc.archive_pages(spark, load(spark, folder, "pages"))
+    return warc.records(chunks).withColumnRenamed("page", "page_id")
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
     return found.select(
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
+    "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
