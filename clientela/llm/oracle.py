@@ -60,8 +60,24 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+SEARCH = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+t AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY ALL),
+df AS (SELECT word, count(*) AS df FROM t GROUP BY 1),
+n AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM d),
+s AS (
+  SELECT q.doc_id AS query_id, t.doc_id,
+         round(sum(q.tf * ln(1 + (docs - df + 0.5) / (df + 0.5)) * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * len(w) / mean))), 6) AS score
+  FROM t q JOIN t USING (word) JOIN df USING (word) JOIN d ON d.doc_id = t.doc_id CROSS JOIN n
+  WHERE q.doc_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, doc_id, score, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
+    "op5_search": SEARCH,
     "op6_warc": WARC,
     "op7_decontaminate": DECONTAMINATE,
 }

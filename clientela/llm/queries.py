@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientela.llm import decontaminate, line_dedup, pieces, pii, quality, secret_scan, simhash, token_counts, warc
+from clientela.llm import decontaminate, line_dedup, pieces, pii, quality, search, secret_scan, simhash, token_counts, warc
 from clientela.llm.common import load
 
 
@@ -44,6 +44,12 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    found = search.top_k(docs, docs.where("doc_id % 50 = 0"))
+    return found.select(F.col("query").alias("query_id"), F.col("id").alias("doc_id"), "score", "rank")
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     chunks = warc.archive_pages(spark, load(spark, folder, "pages"))
     return warc.records(chunks).withColumnRenamed("page", "page_id")
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
+    "op5_search": op5_search,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_pieces": op8_pieces,
