@@ -19,7 +19,7 @@ from clientela.session import materialise
 K = 10
 K1, B = 1.2, 0.75
 # Documents of one shard, the unit that is indexed and searched in memory, and of one block within it.
-SHARD_DOCUMENTS = 4096
+SHARD_DOCUMENTS = 8192
 BLOCK_DOCUMENTS = 64
 # Lists that hold more than this share of a shard's documents are stored as whole rows of impacts.
 DENSE_SHARE = 1 / 24
@@ -83,10 +83,14 @@ def query_blocks(queries: DataFrame, key: str, text: str):
             continue
         hashes = [np.frombuffer(t, np.uint64) for t in table.column("terms").to_pylist()]
         counts = [np.frombuffer(c, np.int32) for c in table.column("counts").to_pylist()]
-        joined = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        # Queries with the same leading word are searched together: they skip the same blocks.
+        lead = [int(h[np.argmax(c)]) if len(h) else 0 for h, c in zip(hashes, counts, strict=True)]
+        order = sorted(range(len(lead)), key=lead.__getitem__)
+        hashes, counts = [hashes[i] for i in order], [counts[i] for i in order]
+        joined = np.concatenate(hashes)
         vocabulary, places = np.unique(joined, return_inverse=True)
         offsets = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-        yield Queries(table.column("id").to_numpy(), vocabulary, offsets, places.astype(np.int32), np.concatenate(counts))
+        yield Queries(table.column("id").to_numpy()[order], vocabulary, offsets, places.astype(np.int32), np.concatenate(counts))
 
 
 def statistics(docs: DataFrame, text: str, vocabulary: np.ndarray) -> tuple[int, float, np.ndarray]:
@@ -132,7 +136,7 @@ def statistics(docs: DataFrame, text: str, vocabulary: np.ndarray) -> tuple[int,
 class Shard:
     """Inverted index of a few thousand documents: impacts by term, block maxima by term."""
 
-    def __init__(self, ids, doc_terms: list[np.ndarray], impacts: list[np.ndarray], idf: np.ndarray):
+    def __init__(self, ids: np.ndarray, doc_terms: list[np.ndarray], impacts: list[np.ndarray], idf: np.ndarray):
         """Documents with the same leading term stand together, so blocks are alike inside and unlike outside."""
         first = [int(t[np.argmax(i / idf[t])]) if len(t) else -1 for t, i in zip(doc_terms, impacts, strict=True)]
         order = np.lexsort((ids, first))
@@ -146,32 +150,31 @@ class Shard:
         docs = np.repeat(np.arange(size), [len(t) for t in self.doc_terms])
         by_term = np.argsort(terms, kind="stable")
         terms, values, docs = terms[by_term], values[by_term], docs[by_term]
-        self.terms, start, lengths = np.unique(terms, return_index=True, return_counts=True)
+        own, lengths = np.unique(terms, return_counts=True)
         wide = lengths > size * DENSE_SHARE
-        self.dense_terms = self.terms[wide]
-        self.dense = np.zeros((len(self.dense_terms), self.blocks * BLOCK_DOCUMENTS), np.float32)
+        # Where each term of the vocabulary is kept: its dense row, its sparse list, or -1.
+        self.row_of = np.full(len(idf), -1, np.int32)
+        self.row_of[own[wide]] = np.arange(wide.sum())
+        self.list_of = np.full(len(idf), -1, np.int32)
+        self.list_of[own[~wide]] = np.arange((~wide).sum())
+        self.dense = np.zeros((int(wide.sum()), self.blocks * BLOCK_DOCUMENTS), np.float32)
         row = np.cumsum(wide) - 1
         place = np.repeat(np.arange(len(lengths)), lengths)
         inside = wide[place]
         self.dense[row[place[inside]], docs[inside]] = values[inside]
-        self.dense_max = self.dense.reshape(len(self.dense_terms), self.blocks, BLOCK_DOCUMENTS).max(axis=2)
+        self.dense_max = self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCUMENTS).max(axis=2)
         # The other lists: postings, and their maxima by block.
-        self.list_terms = self.terms[~wide]
+        thin = lengths[~wide]
         self.docs, self.values = docs[~inside], values[~inside]
-        self.starts = np.concatenate([[0], np.cumsum(lengths[~wide])])
-        key = np.repeat(np.arange(len(self.list_terms)), lengths[~wide]) * np.int64(self.blocks + 1) + self.docs // BLOCK_DOCUMENTS
+        self.starts = np.concatenate([[0], np.cumsum(thin)])
+        key = np.repeat(np.arange(len(thin)), thin) * np.int64(self.blocks + 1) + self.docs // BLOCK_DOCUMENTS
         head = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0] if len(key) else np.zeros(0, np.int64)
         self.max_blocks = (key[head] % (self.blocks + 1)).astype(np.int32)
         self.max_values = np.maximum.reduceat(self.values, head) if len(head) else np.zeros(0, np.float32)
-        self.max_starts = np.searchsorted(key[head] // (self.blocks + 1), np.arange(len(self.list_terms) + 1))
-
-    def lists(self, terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, at: np.ndarray, values: np.ndarray, size: int):
-        """Sum of the weighted entries of a query's sparse lists, by document or by block."""
-        if not len(self.list_terms):
-            return np.zeros(size, np.float32)
-        place = np.minimum(np.searchsorted(self.list_terms, terms), len(self.list_terms) - 1)
-        have = self.list_terms[place] == terms
-        place, weights = place[have], weights[have]
+        self.max_starts = np.searchsorted(key[head] // (self.blocks + 1), np.arange(len(thin) + 1))
+
+    def lists(self, place: np.ndarray, weights: np.ndarray, starts: np.ndarray, at: np.ndarray, values: np.ndarray, size: int):
+        """Sum of the weighted entries of sparse lists, by document or by block."""
         counts = starts[place + 1] - starts[place]
         inside = np.arange(counts.sum()) + np.repeat(starts[place] - np.cumsum(counts) + counts, counts)
         return np.bincount(at[inside], values[inside] * np.repeat(weights, counts), minlength=size)
@@ -202,20 +205,19 @@ def search_shard(shard: Shard, queries: Queries, weights: np.ndarray, tops: list
     width = shard.blocks * BLOCK_DOCUMENTS
     full = np.zeros(len(queries.vocabulary))
     for begin in range(0, len(tops), QUERIES_AT_ONCE):
-        group = np.arange(begin, min(len(tops), begin + QUERIES_AT_ONCE))
-        dense = np.zeros((len(group), len(shard.dense_terms)), np.float32)
-        own = []
+        group = range(begin, min(len(tops), begin + QUERIES_AT_ONCE))
+        dense = np.zeros((len(group), len(shard.dense)), np.float32)
+        own, sparse = [], []
         for row, q in enumerate(group):
             span = slice(queries.offsets[q], queries.offsets[q + 1])
             terms, weight = queries.terms[span], weights[span]
             own.append((terms, weight))
-            at = np.minimum(np.searchsorted(shard.dense_terms, terms), max(0, len(shard.dense_terms) - 1))
-            if len(shard.dense_terms):
-                have = shard.dense_terms[at] == terms
-                dense[row, at[have]] = weight[have]
+            rows, lists = shard.row_of[terms], shard.list_of[terms]
+            dense[row, rows[rows >= 0]] = weight[rows >= 0]
+            sparse.append((lists[lists >= 0], weight[lists >= 0]))
         bounds = dense @ shard.dense_max
         for row in range(len(group)):
-            bounds[row] += shard.lists(*own[row], shard.max_starts, shard.max_blocks, shard.max_values, shard.blocks)
+            bounds[row] += shard.lists(*sparse[row], shard.max_starts, shard.max_blocks, shard.max_values, shard.blocks)
         reached = np.array([tops[q].bound for q in group])
         floor = (reached * (1 - TOLERANCE) - TOLERANCE).astype(np.float32)
         alive = (bounds >= floor[:, None]) & (bounds > 0)
@@ -226,7 +228,7 @@ def search_shard(shard: Shard, queries: Queries, weights: np.ndarray, tops: list
         rows = np.nonzero(alive.any(axis=1))[0]
         scores = dense[rows] @ (shard.dense if len(used) == shard.blocks else shard.dense[:, columns])
         for line, row in enumerate(rows):
-            score = scores[line] + shard.lists(*own[row], shard.starts, shard.docs, shard.values, width)[columns]
+            score = scores[line] + shard.lists(*sparse[row], shard.starts, shard.docs, shard.values, width)[columns]
             least = floor[row]
             hits = np.nonzero((score >= least) & (score > 0))[0]
             if len(hits) > k:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientela.llm import decontaminate, line_dedup, quality, simhash
+from clientela.llm import decontaminate, line_dedup, pieces, quality, simhash
 from clientela.llm.common import load
 from clientela.session import materialise
 
@@ -31,11 +31,17 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: piece ids of every text, with the digest of what they decode to."""
+    return pieces.round_trip(docs)
+
+
 STAGES = [
     ("quality classifier", good_documents),
     ("line dedup", own_lines),
     ("simhash near-dedup", one_of_each),
     ("benchmark decontamination", uncontaminated),
+    ("sentencepiece encoding and decoding", token_ids),
 ]
 
 # The quality model and the fingerprints have no SQL form; tests compare with a brute-force version.
