@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -15,8 +18,6 @@ from clientela.session import materialise
 WINDOW = 10
 # Slots of the word filter shipped to the tasks: one bit each, 2 MB whatever the number of words.
 FILTER_SLOTS = 1 << 24
-# Words remembered per task: a cache, dropped when full.
-REMEMBERED = 400_000
 
 # A-Z to a-z, other ASCII outside 0-9 and a-z to a blank, everything else as it is.
 WORD_TABLE = bytes(
@@ -62,21 +63,21 @@ def word_filter(words: DataFrame, column: str) -> bytes:
 
 
 class WordFilter:
-    """Membership by bitmap, with answers remembered for frequent words."""
+    """Membership by bitmap."""
 
     def __init__(self, bitmap: bytes):
-        self.bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
-        self.known: dict[bytes, bool] = {}
+        self.bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
+
+    def among(self, words: list[bytes]) -> set[bytes]:
+        """The different words that may be in the set."""
+        different = list(set(words))
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, different, repeat(42)), np.uint64, len(different))
+        return {different[i] for i in np.nonzero(self.bits[hashes % np.uint64(FILTER_SLOTS)])[0].tolist()}
 
     def passes(self, words: list[bytes]) -> list[int]:
         """Positions of the words that may be in the set."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in set(words):
-            if word not in known:
-                known[word] = bool(self.bits[xxhash.xxh64_intdigest(word, 42) % FILTER_SLOTS])
-        return [i for i, word in enumerate(words) if known[word]]
+        found = self.among(words)
+        return [i for i, word in enumerate(words) if word in found] if found else []
 
 
 def corpus_counts(docs: DataFrame, text: str, vocabulary: DataFrame) -> DataFrame:
@@ -86,11 +87,12 @@ def corpus_counts(docs: DataFrame, text: str, vocabulary: DataFrame) -> DataFram
     def count(batches: Batches):
         keep = WordFilter(shipped.value)
         for batch in batches:
-            counts: dict[bytes, int] = {}
+            counts: Counter[bytes] = Counter()
             for data in raw_texts(batch.column(0)):
                 words = words_of(data)
-                for i in keep.passes(words):
-                    counts[words[i]] = counts.get(words[i], 0) + 1
+                own = Counter(words)
+                for word in keep.among(words):
+                    counts[word] += own[word]
             words_out = pa.array(list(counts), pa.binary()).cast(pa.string())
             yield arrow_batch(["word", "n"], [words_out, pa.array(list(counts.values()), pa.int64())])
 
