@@ -78,7 +78,9 @@ def holds(kind: str, found: Column) -> Column:
 
 def format_features(kind: int, span: Column) -> Column:
     """Numbers for the trees: format of the span, then its context."""
-    found, before, after = span["found"], span["before"], span["after"]
+    found, after = span["found"], span["after"]
+    # The plus sign of the base pattern tells base spans from others, which the trees must not see.
+    before = F.regexp_replace(span["before"], r"\+$", "")
     digits = digits_of(found)
     groups = F.filter(F.split(found, "[^0-9]+"), lambda g: F.length(g) > 0)
     longest = F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0))
