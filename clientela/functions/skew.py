@@ -5,36 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_PIECE = 1_000_000
-MAX_HOT_KEYS = 2_000
-TRACKED_KEYS = 20_000
-NULL_PIECES = 1_024
 
+def share_count(df: DataFrame) -> int:
+    """How many shuffle partitions the session deals rows to."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_keys(df: DataFrame, key: str, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
-    """Frequent keys with the number of pieces to cut each into (``key, pieces``).
 
-    One pass over a single column with a map-side frequent-items sketch; at most
-    ``MAX_HOT_KEYS`` rows come back, whatever the table size.
+def hot_keys(df: DataFrame, key: str, shares: int) -> DataFrame:
+    """Keys that hold more than one of ``shares`` equal parts of all rows, with the pieces to cut each into.
+
+    Exact counts, reduced on the map side. Fewer than ``shares`` keys can hold that
+    much, so the result is bounded without a cap.
     """
-    sketch = f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})"
-    top = df.where(F.col(key).isNotNull()).agg(F.expr(sketch).alias("top"))
-    return (
-        top.select(F.inline("top"))
-        .where(F.col("count") > rows_per_piece)
-        .select(
-            F.col("item").alias(key),
-            F.ceil(F.col("count") / F.lit(rows_per_piece)).cast("int").alias("_pieces"),
-        )
-    )
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    part = df.agg(F.count(F.lit(1)) / F.lit(shares)).scalar()
+    return counts.where(F.col("n") > part).select(key, F.ceil(F.col("n") / part).cast("int").alias("_pieces"))
 
 
 def spread_join(
-    fact: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    how: str = "left",
-    rows_per_piece: int = ROWS_PER_PIECE,
+    fact: DataFrame, dimension: DataFrame, key: str, how: str = "left", shares: int | None = None
 ) -> DataFrame:
     """Join ``fact`` to ``dimension`` on ``key`` with hot fact keys cut into pieces.
 
@@ -46,11 +35,12 @@ def spread_join(
     """
     if how not in ("left", "inner"):
         raise ValueError("spread_join supports left and inner joins")
-    # Size proven: hot_keys returns at most MAX_HOT_KEYS rows.
-    hot = F.broadcast(hot_keys(fact, key, rows_per_piece))
+    shares = shares or share_count(fact)
+    # Size proven: fewer than ``shares`` rows.
+    hot = F.broadcast(hot_keys(fact, key, shares))
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     position = F.monotonically_increasing_id()
-    fact_piece = F.when(F.col(key).isNull(), F.pmod(position, F.lit(NULL_PIECES))).otherwise(
+    fact_piece = F.when(F.col(key).isNull(), F.pmod(position, F.lit(shares))).otherwise(
         F.pmod(position, pieces)
     )
     spread_fact = (

@@ -18,7 +18,6 @@ from clientela.session import materialise
 
 TREES = 100
 SUBSAMPLE = 256
-POOL_FACTOR = 4
 HIT_FACTOR = 1.5
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = (
@@ -103,20 +102,17 @@ def tree_samples(
 ) -> DataFrame:
     """Rows with the trees whose subsample they may join (column ``tree``, ``draw``).
 
-    A row-level draw first reduces a large table to a pool of a few times
-    ``trees * subsample`` rows; only pool rows meet the per-tree draws. Every tree
-    still gets a uniform subsample of the whole table, and what is shuffled does
-    not grow with it.
+    Every pair of row and tree has a draw of its own, so subsamples are independent
+    of each other at any size. Only hits are exploded and shuffled: about
+    ``HIT_FACTOR * subsample`` rows for each tree, however large the table is.
     """
     rows = df.count()
-    pool_share = min(1.0, POOL_FACTOR * trees * subsample / max(rows, 1))
-    hit_share = min(1.0, HIT_FACTOR * subsample / max(rows * pool_share, 1.0))
+    hit_share = min(1.0, HIT_FACTOR * subsample / max(rows, 1))
     seeded = [F.col(key), F.lit(seed)]
-    pool = df if pool_share >= 1.0 else df.where(_uniform(*seeded, F.lit(-1)) < pool_share)
     hits = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _uniform(*seeded, t) < hit_share
     )
-    return pool.withColumn("tree", F.explode(hits)).withColumn("draw", F.xxhash64(*seeded, F.col("tree")))
+    return df.withColumn("tree", F.explode(hits)).withColumn("draw", F.xxhash64(*seeded, F.col("tree")))
 
 
 def fit_forest(

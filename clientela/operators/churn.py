@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.functions.columns import require_features
 from clientela.functions.ranks import roc_auc, running_totals, with_position
+from clientela.session import materialise
 
 KEY = "customer_hash"
 
@@ -134,8 +135,9 @@ def threshold_metrics(scored: DataFrame, score: str, label: str = "churned", at:
 def classification_metrics(split_scored: DataFrame, score: str) -> DataFrame:
     """AUC, F1, precision and recall on the test side plus the split statistics.
 
-    One-row tables side by side: each is an aggregate, so the joins add no rows.
+    Three aggregates read the scores, so they are written first: a model scores once.
     """
+    split_scored = materialise(split_scored.select("split", "churned", score), "scored-split")
     test = split_scored.where(F.col("split") == "test")
     row = split_statistics(split_scored)
     auc = roc_auc(test, score, "churned")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from clientela import settings as S
 from clientela.functions.columns import WHITESPACE, amount, cents, lenient_timestamp
-from clientela.functions.skew import ROWS_PER_PIECE, spread_join
 from clientela.sources.raw import INGEST_COLUMN
 
 ORDER_TIMES = [
@@ -23,7 +22,9 @@ def keep_one(df: DataFrame, key: str, order: str, last: bool = False) -> DataFra
     """One row per ``key``: the first (or last) by ``order``.
 
     An aggregate rather than a window: each map task reduces a repeated key to one
-    row before the shuffle, so a key with a third of all rows costs nothing extra.
+    row before the shuffle, so a key with a third of all rows reaches one task as one
+    row per map task. Whole rows make it a sort-based aggregate, so a table without
+    repeats pays one sort more than a plain shuffle.
     """
     pick = F.max_by if last else F.min_by
     chosen = pick(F.struct(*[F.col(c) for c in df.columns if c != key]), F.col(order))
@@ -82,22 +83,13 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     )
 
 
-def build_transactions(
-    orders: DataFrame,
-    items: DataFrame,
-    payments: DataFrame,
-    rows_per_piece: int = ROWS_PER_PIECE,
-) -> DataFrame:
+def build_transactions(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per order item with its order and the order's payment totals.
 
-    Orders and payment totals have one row per order, so they meet first; the item
-    table, the only large one, is then shuffled once instead of twice.
+    Every side meets on ``order_id``, so each table is shuffled once: the items and
+    the aggregated payments by the joins, the orders by their de-duplication. An
+    order has few items, so its key is never hot.
     """
-    per_order = (
-        orders.drop(INGEST_COLUMN)
-        .join(payments_per_order(payments), "order_id", "full")
-        .where(F.col("order_id").isNotNull())
-    )
-    clashing = [c for c in per_order.columns if c in items.columns and c != "order_id"]
-    rows = spread_join(items, per_order.drop(*clashing), "order_id", "left", rows_per_piece)
+    order_side = orders.drop(INGEST_COLUMN, *[c for c in orders.columns if c in items.columns and c != "order_id"])
+    rows = items.join(order_side, "order_id", "left").join(payments_per_order(payments), "order_id", "left")
     return rows.select(*[c for c in S.TRANSACTION_COLUMNS if c in rows.columns])

@@ -21,11 +21,11 @@ from clientela import settings as S
 from clientela.operators.anomaly import Forest, average_path
 from clientela.session import new_folder
 
-ANOMALY_SAMPLE = 500
 ANOMALY_TOP = 3
-CHURN_SAMPLE = 1000
 CHURN_TOP = 5
 SAMPLE_SEED = 42
+# Rows times leaf features looked at in one step: bounds the memory of a task.
+ROWS_TIMES_LEAVES = 1 << 20
 SHAP_SCHEMA = "customer_hash string, shap_values string"
 
 
@@ -62,32 +62,57 @@ class LeafTable:
             features = np.array([list(p) for p, _ in leaves], dtype=int)
             bounds = np.array([list(p.values()) for p, _ in leaves], dtype=float)
             values = np.array([v for _, v in leaves], dtype=float)
-            weights = np.array(
-                [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
-            )
-            self.groups.append((features, bounds, values, weights))
-
-    def contributions(self, row: np.ndarray) -> np.ndarray:
-        """Shapley value of each feature for one row of feature values."""
-        total = np.zeros(len(row))
-        for features, bounds, values, weights in self.groups:
+            self.groups.append((features, bounds[:, :, 0], bounds[:, :, 1], _shares(bounds[:, :, 2], values)))
+
+    def contributions(self, x: np.ndarray) -> np.ndarray:
+        """Shapley value of each feature for rows of feature values (all rows at once)."""
+        total = np.zeros(x.shape)
+        for features, low, high, shares in self.groups:
             leaves, m = features.shape
-            x = row[features]
-            known = ((x > bounds[:, :, 0]) & (x <= bounds[:, :, 1])).astype(float)
-            unknown = bounds[:, :, 2]
-            for j in range(m):
-                poly = np.ones((leaves, 1))
-                for i in range(m):
-                    if i != j:
-                        longer = np.zeros((leaves, poly.shape[1] + 1))
-                        longer[:, :-1] = poly * unknown[:, i : i + 1]
-                        longer[:, 1:] += poly * known[:, i : i + 1]
-                        poly = longer
-                share = values * (known[:, j] - unknown[:, j]) * (poly @ weights)
-                total += np.bincount(features[:, j], weights=share, minlength=len(row))
+            place = np.arange(leaves)
+            step = max(1, ROWS_TIMES_LEAVES // (leaves * m))
+            # Adds up what the paths say about one feature.
+            add = np.zeros((leaves * m, x.shape[1]))
+            add[np.arange(leaves * m), features.ravel()] = 1.0
+            for start in range(0, len(x), step):
+                seen = x[start : start + step][:, features]
+                known = (seen > low) & (seen <= high)
+                pattern = known @ (1 << np.arange(m))
+                part = shares[place, pattern].reshape(len(seen), leaves * m)
+                total[start : start + step] += part @ add
         return total
 
 
+def _shares(unknown: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Contributions of a leaf's features for every pattern of satisfied features.
+
+    ``(leaf, pattern, feature)``. The product of all factors (unknown + known t) is
+    built once; dividing one factor out again gives the sums over the coalitions of
+    the others, weighted by how often each size comes first.
+    """
+    leaves, m = unknown.shape
+    known = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)
+    product = np.zeros((leaves, 1 << m, m + 1))
+    product[:, :, 0] = 1.0
+    for i in range(m):
+        longer = product * unknown[:, i, None, None]
+        longer[:, :, 1:] += product[:, :, :-1] * known[None, :, i, None]
+        product = longer
+    weights = np.array([math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)])
+    out = np.empty((leaves, 1 << m, m))
+    for j in range(m):
+        u = unknown[:, j, None]
+        others = np.zeros((leaves, 1 << m, m))
+        # By (unknown + t) from the top, by the constant where the feature is not satisfied.
+        others[:, :, m - 1] = product[:, :, m]
+        for i in range(m - 1, 0, -1):
+            others[:, :, i - 1] = product[:, :, i] - u * others[:, :, i]
+        unmet = product[:, :, :m] / np.where(u == 0, 1.0, u)[:, :, None]
+        others = np.where(known[None, :, j, None] == 1, others, unmet)
+        out[:, :, j] = values[:, None] * (known[None, :, j] - u) * (others @ weights)
+    return out
+
+
 def forest_leaves(forest: Forest) -> LeafTable:
     """Explains the mean path length: negative contributions make a row stranger."""
     nodes = forest.nodes
@@ -120,35 +145,24 @@ def boosting_nodes(df: DataFrame, model: PipelineModel) -> pd.DataFrame:
 
 
 def explain_rows(
-    df: DataFrame, leaves: LeafTable, features: list[str], samples: int, key: str
+    df: DataFrame, leaves: LeafTable, features: list[str], samples: int | None, key: str
 ) -> DataFrame:
-    """``customer_hash, contributions, base`` for at most ``samples`` rows.
+    """``customer_hash, contributions, base`` of every row, where it stands.
 
-    The sample is the feature: rows are taken in hash order, so it is the same
-    whatever the partitioning. Its rows are then spread over the tasks.
+    With ``samples`` only that many rows, in hash order, so the choice is the same
+    whatever the partitioning.
     """
-    sampled = (
-        df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
-        .orderBy(F.xxhash64(F.col(key), F.lit(SAMPLE_SEED)), F.col(key))
-        .limit(samples)
-    )
+    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
+    if samples is not None:
+        rows = rows.orderBy(F.xxhash64(F.col(key), F.lit(SAMPLE_SEED)), F.col(key)).limit(samples)
     kind = dict(df.dtypes)[key]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float)
-            yield pd.DataFrame(
-                {
-                    key: pdf[key],
-                    "contributions": [leaves.contributions(r) for r in x],
-                    "base": leaves.base,
-                }
-            )
-
-    pieces = df.sparkSession.sparkContext.defaultParallelism
-    return sampled.repartition(pieces, key).mapInPandas(
-        explain, f"`{key}` {kind}, contributions array<double>, base double"
-    )
+            found = leaves.contributions(pdf[features].to_numpy(dtype=float))
+            yield pd.DataFrame({key: pdf[key], "contributions": list(found), "base": leaves.base})
+
+    return rows.mapInPandas(explain, f"`{key}` {kind}, contributions array<double>, base double")
 
 
 def top_contributions(
@@ -170,7 +184,7 @@ def top_contributions(
 def anomaly_shap(
     feature_matrix: DataFrame,
     forest: Forest,
-    samples: int = ANOMALY_SAMPLE,
+    samples: int | None = None,
     key: str = "customer_hash",
 ) -> DataFrame:
     """Top-3 contributions to the mean path length as JSON; empty if there is no tree."""
@@ -184,7 +198,7 @@ def churn_shap(
     prepared: DataFrame,
     model: PipelineModel,
     features: list[str] | None = None,
-    samples: int = CHURN_SAMPLE,
+    samples: int | None = None,
     key: str = "customer_hash",
 ) -> DataFrame:
     """Top-5 contributions to the churn log-odds as JSON; empty if there is no tree."""
@@ -197,7 +211,11 @@ def churn_shap(
 
 
 def explained_anomalies(scores: DataFrame, shap: DataFrame, key: str = "customer_hash") -> DataFrame:
-    """Flagged customers with their top contributions (null outside the sample)."""
+    """Flagged customers with their top contributions."""
     flagged = scores.where(F.col("anomaly_flag") != "normal")
-    # The explanations are a sample of fixed size, at most CHURN_SAMPLE rows.
-    return flagged.join(F.broadcast(shap), key, "left").orderBy(F.desc("anomaly_score"), key)
+    return flagged.join(shap, key, "left").orderBy(F.desc("anomaly_score"), key)
+
+
+def explained_risk(risk: DataFrame, shap: DataFrame, key: str = "customer_hash") -> DataFrame:
+    """The risk view with the top contributions to each customer's churn risk."""
+    return risk.join(shap.withColumnRenamed("shap_values", "churn_factors"), key, "left")

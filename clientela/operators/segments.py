@@ -10,21 +10,21 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from clientela import settings as S
 from clientela.functions.columns import require_features
 from clientela.functions.ranks import exact_quantiles
-from clientela.session import DIRECT_TASKS
 
 SCALER_SCHEMA = "feature string, mean double, scale double"
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>"
 QUANTILE_SHARES = [0.25, 0.50, 0.75, 0.90]
 MAX_ITERATIONS = 300
 SHIFT_TOLERANCE = 1e-4
-SEED_POOL = 4_096
-EUCLIDEAN_ROWS = 200_000
+# Rounds of drawing candidate starts and candidates of a round; more where k asks for more.
+CANDIDATE_ROUNDS = 5
+CANDIDATES = 64
 
 
 # --- scaling ----------------------------------------------------------------
@@ -43,9 +43,12 @@ def fit_scaler(df: DataFrame, features: Sequence[str] = S.SEGMENT_FEATURES) -> D
     return df.agg(F.array(*aggregates).alias("s")).select(F.inline("s"))
 
 
-def apply_scaler(df: DataFrame, scaler: DataFrame, prefix: str = "") -> DataFrame:
-    """Replace (or, with ``prefix``, add) each scaled feature. Reads one row per feature."""
-    rows = scaler.collect()
+def apply_scaler(df: DataFrame, scaler: DataFrame | list[Row], prefix: str = "") -> DataFrame:
+    """Replace (or, with ``prefix``, add) each scaled feature.
+
+    ``scaler`` is the table of :func:`fit_scaler` or its collected rows, one per feature.
+    """
+    rows = scaler if isinstance(scaler, list) else scaler.collect()
     scaled = {
         f"{prefix}{r['feature']}": (F.col(r["feature"]) - F.lit(r["mean"])) / F.lit(r["scale"])
         for r in rows
@@ -76,12 +79,11 @@ def _nearest(points: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _assignment_sums(
-    points: DataFrame, features: list[str], models: dict[int, np.ndarray], tasks: int
+    points: DataFrame, features: list[str], models: dict[int, np.ndarray]
 ) -> DataFrame:
     """Rows of (model, cluster): size, inertia part and feature sums.
 
-    Each task reduces its points to one row per cluster. The rows of a few tasks go
-    straight to the driver; those of many are added up by a shuffle first.
+    Each task reduces its points to one row per cluster; a shuffle adds those up.
     """
     schema = "model int, cluster int, n bigint, inertia double, " + ", ".join(
         f"s{i} double" for i in range(len(features))
@@ -106,25 +108,24 @@ def _assignment_sums(
         )
 
     partial = points.select(*features).mapInArrow(reduce, schema)
-    if tasks <= DIRECT_TASKS:
-        return partial
     return partial.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
 
 def _collect_sums(sums: DataFrame, models: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """Bounded: one row per cluster of each model, from at most ``DIRECT_TASKS`` tasks."""
+    """Bounded: one row per cluster of each model."""
     found = {m: np.zeros((len(c), 2 + c.shape[1])) for m, c in models.items()}
     for row in sums.collect():
-        found[row["model"]][row["cluster"]] += np.array(list(row)[2:], dtype=float)
+        found[row["model"]][row["cluster"]] = np.array(list(row)[2:], dtype=float)
     return found
 
 
-def _batch_sums(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Per cluster: size, inertia and feature sums of one block of points."""
+def _batch_sums(x: np.ndarray, centroids: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    """Per cluster: size, inertia and feature sums of one block of (weighted) points."""
     labels, gaps = _nearest(x, centroids)
     k = len(centroids)
-    columns = [np.bincount(labels, minlength=k), np.bincount(labels, weights=gaps, minlength=k)]
-    columns += [np.bincount(labels, weights=x[:, j], minlength=k) for j in range(x.shape[1])]
+    w = np.ones(len(x)) if weights is None else weights
+    columns = [np.bincount(labels, weights=w, minlength=k), np.bincount(labels, weights=w * gaps, minlength=k)]
+    columns += [np.bincount(labels, weights=w * x[:, j], minlength=k) for j in range(x.shape[1])]
     return np.column_stack(columns)
 
 
@@ -136,24 +137,72 @@ def _moved(centroids: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, bool]:
     return updated, ((updated - centroids) ** 2).sum() > SHIFT_TOLERANCE
 
 
-def _starting_centroids(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ (Arthur and Vassilvitskii 2007) on the pool, refined on the pool.
+def _candidates(
+    points: DataFrame, features: list[str], per_round: int, seed: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate starts drawn from the whole table, and how many points each is nearest to.
 
-    Refining the start on a fixed-size sample (Bradley and Fayyad 1998) saves most of
-    the scans over the whole table.
+    k-means|| (Bahmani et al. 2012): every round scans all points and draws some with
+    a chance in proportion to their squared distance from the candidates so far. The
+    draw keeps the smallest keys -log(u)/d^2 with u from a hash of the row, which
+    needs no total beforehand and does not depend on the partitioning. Bounded: at
+    most 1 + rounds x ``per_round`` candidates.
     """
-    chosen = [pool[rng.integers(len(pool))]]
-    nearest = ((pool - chosen[0]) ** 2).sum(1)
+    first = points.orderBy("draw", *features).select(*features).limit(1).collect()
+    if not first:
+        return np.zeros((0, len(features))), np.zeros(0)
+    found = np.array([list(first[0])], dtype=float)
+    schema = "key double, " + ", ".join(f"`{c}` double" for c in features)
+
+    for number in range(CANDIDATE_ROUNDS):
+        centres = found
+
+        def pick(batches: Iterator[pa.RecordBatch], centres=centres, number=number) -> Iterator[pa.RecordBatch]:
+            best = np.zeros((0, 1 + len(features)))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = _matrix(batch, features)
+                gaps = _nearest(x, centres)[1]
+                mixed = _mixed(batch.column("draw").to_numpy(zero_copy_only=False), seed + number)
+                far = gaps > 1e-12
+                keys = -np.log(mixed[far]) / gaps[far]
+                best = np.vstack([best, np.column_stack([keys, x[far]])])
+                best = best[np.argsort(best[:, 0], kind="stable")[:per_round]]
+            names = ["key", *features]
+            yield pa.RecordBatch.from_arrays([pa.array(best[:, i]) for i in range(len(names))], names=names)
+
+        drawn = points.select("draw", *features).mapInArrow(pick, schema)
+        rows = drawn.orderBy("key", *features).limit(per_round).collect()
+        if not rows:
+            break
+        found = np.vstack([found, np.array([list(r)[1:] for r in rows], dtype=float)])
+    sums = _collect_sums(_assignment_sums(points, features, {0: found}), {0: found})
+    return found, sums[0][:, 0]
+
+
+def _mixed(draw: np.ndarray, seed: int) -> np.ndarray:
+    """Uniform numbers in (0, 1] from 64-bit hashes and a seed (a finalising bit mix)."""
+    z = draw.astype(np.int64).view(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 1) % (1 << 64))
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / float(1 << 53) + 2.0**-54
+
+
+def _starting_centroids(pool: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ (Arthur and Vassilvitskii 2007) on the weighted candidates, refined on them."""
+    chosen = [pool[rng.choice(len(pool), p=weights / weights.sum())]]
+    nearest = weights * ((pool - chosen[0]) ** 2).sum(1)
     for _ in range(1, k):
         total = nearest.sum()
         pick = rng.choice(len(pool), p=nearest / total) if total > 0 else rng.integers(len(pool))
         chosen.append(pool[pick])
-        nearest = np.minimum(nearest, ((pool - chosen[-1]) ** 2).sum(1))
+        nearest = np.minimum(nearest, weights * ((pool - chosen[-1]) ** 2).sum(1))
     centroids, moving = np.array(chosen), True
     for _ in range(MAX_ITERATIONS):
         if not moving:
             break
-        centroids, moving = _moved(centroids, _batch_sums(pool, centroids))
+        centroids, moving = _moved(centroids, _batch_sums(pool, centroids, weights))
     return centroids
 
 
@@ -183,33 +232,27 @@ def fit_kmeans(
 
     All models advance together: one iteration is one scan that assigns every row
     to every still-moving model, instead of one scan per k and start. The driver
-    only holds centroids. Starts are drawn from a hash-ordered pool of points, so a
-    seed gives the same models however the table is partitioned. ``points`` is read
-    for the pool and again for the cached copy: pass a written table.
+    only holds centroids. Starts come from candidates drawn over the whole table, by
+    a hash of the key, so a seed gives the same models however the table is
+    partitioned.
     """
     features = list(features)
-    draw = F.xxhash64(F.col(key), F.lit(seed))
-    pool_rows = points.select(*features).orderBy(draw, *features).limit(SEED_POOL).collect()
-    pool = np.array([list(r) for r in pool_rows], dtype=float)
-    if len(pool) < max(ks):
-        raise ValueError(f"cannot fit {max(ks)} clusters to {len(pool)} rows")
+    draw = F.xxhash64(F.col(key), F.lit(seed)).alias("draw")
+    points = points.select(draw, *features).persist(StorageLevel.MEMORY_AND_DISK)
     models: dict[int, np.ndarray] = {}
     k_of: dict[int, int] = {}
-    for k in ks:
-        for s in range(starts):
-            rng = np.random.default_rng([seed, k, s])
-            k_of[len(models)] = k
-            models[len(models)] = _starting_centroids(pool, k, rng)
-    points = points.select(*features)
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    tasks = points.rdd.getNumPartitions()
-    if tasks < cores:
-        points, tasks = points.repartition(cores), cores
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        pool, weights = _candidates(points, features, max(CANDIDATES, 2 * max(ks)), seed)
+        if weights.sum() < max(ks):
+            raise ValueError(f"cannot fit {max(ks)} clusters to {int(weights.sum())} rows")
+        for k in ks:
+            for s in range(starts):
+                rng = np.random.default_rng([seed, k, s])
+                k_of[len(models)] = k
+                models[len(models)] = _starting_centroids(pool, weights, k, rng)
         moving = dict(models)
         for _ in range(max_iterations):
-            sums = _collect_sums(_assignment_sums(points, features, moving, tasks), moving)
+            sums = _collect_sums(_assignment_sums(points, features, moving), moving)
             for m, total in sums.items():
                 models[m], still = _moved(models[m], total)
                 if still:
@@ -218,7 +261,7 @@ def fit_kmeans(
                     del moving[m]
             if not moving:
                 break
-        final = _collect_sums(_assignment_sums(points, features, models, tasks), models)
+        final = _collect_sums(_assignment_sums(points, features, models), models)
     finally:
         points.unpersist()
     best: dict[int, KMeansFit] = {}
@@ -315,14 +358,13 @@ def cluster_quality(
             {
                 "a": F.when(own_n > 1, a),
                 "b": b,
-                "gap": (
-                    F.col("sq")
-                    - 2 * dot(F.col("x"), F.col("own")["total"]) / own_n
-                    + dot(F.col("own")["total"], F.col("own")["total"]) / (own_n * own_n)
+                "gap": fold(
+                    F.zip_with("x", F.col("own")["total"], lambda p, q: (p - q / own_n) * (p - q / own_n)),
+                    F.lit(0.0),
+                    lambda acc, v: acc + v,
                 ),
             }
         )
-        .withColumn("gap", F.greatest("gap", F.lit(0.0)))
     )
     silhouette = F.when(own_n == 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
@@ -371,57 +413,6 @@ def cluster_quality(
     )
 
 
-def euclidean_silhouette(
-    labelled: DataFrame, features: Sequence[str], label: str = "cluster_id"
-) -> DataFrame:
-    """One row ``silhouette_score``: the plain Euclidean silhouette over all rows.
-
-    Needs every distance, so it is quadratic; the table is checked to have at most
-    ``EUCLIDEAN_ROWS`` rows before its points are sent to the tasks, and a larger
-    one is refused. Use ``cluster_quality`` there.
-    """
-    features = list(features)
-    spark = labelled.sparkSession
-    rows = labelled.where(F.col(label).isNotNull()).select(*features, F.col(label).alias("label"))
-    count = rows.limit(EUCLIDEAN_ROWS + 1).count()
-    if count > EUCLIDEAN_ROWS:
-        raise ValueError(f"more than {EUCLIDEAN_ROWS} rows: use the squared silhouette")
-    table = rows.toArrow()
-    labels = table.column("label").to_numpy()
-    names, codes = np.unique(labels, return_inverse=True)
-    order = np.argsort(codes, kind="stable")
-    points = np.column_stack([table.column(c).to_numpy() for c in features])[order]
-    sizes = np.bincount(codes)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    shared = spark.sparkContext.broadcast((points, names, sizes, starts))
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, names, sizes, starts = shared.value
-        norms = (every**2).sum(1)
-        for batch in batches:
-            x = _matrix(batch, features)
-            own = np.searchsorted(names, batch.column("label").to_numpy(zero_copy_only=False))
-            scores = np.zeros(len(x))
-            for i in range(0, len(x), 256):
-                part, mine = x[i : i + 256], own[i : i + 256]
-                squared = (part**2).sum(1)[:, None] - 2 * part @ every.T + norms
-                sums = np.add.reduceat(np.sqrt(np.maximum(squared, 0.0)), starts, axis=1)
-                at = np.arange(len(part))
-                inner = sums[at, mine] / np.maximum(sizes[mine] - 1, 1)
-                means = sums / sizes
-                means[at, mine] = np.inf
-                outer = means.min(1)
-                top = np.maximum(inner, outer)
-                ok = (sizes[mine] > 1) & np.isfinite(outer) & (top > 0)
-                scores[i : i + 256][ok] = ((outer - inner)[ok]) / top[ok]
-            yield pa.RecordBatch.from_arrays([pa.array(scores)], names=["s"])
-
-    pieces = spark.sparkContext.defaultParallelism
-    scored = rows.repartition(pieces).mapInArrow(measure, "s double")
-    value = F.avg("s") if len(names) > 1 else F.lit(None).cast("double")
-    return scored.agg(value.alias("silhouette_score"))
-
-
 def find_optimal_k(
     points: DataFrame,
     k_min: int = S.K_MIN,
@@ -429,12 +420,11 @@ def find_optimal_k(
     seed: int = S.SEED,
     starts: int = S.KMEANS_STARTS,
     key: str = "customer_hash",
-    euclidean: bool = False,
 ) -> tuple[DataFrame, dict[int, KMeansFit]]:
     """Quality table for each k in ``k_min..k_max`` and the fitted models.
 
-    ``euclidean=True`` replaces the squared silhouette by the plain one (quadratic,
-    see ``euclidean_silhouette``).
+    ``silhouette_scores`` is the squared-distance silhouette of :func:`cluster_quality`,
+    which is linear in the rows; the k it prefers can differ from that of the plain one.
     """
     fits = fit_kmeans(points, range(k_min, k_max + 1), seed, starts, key=key)
     columns = {k: f"_c{k}" for k in fits}
@@ -443,14 +433,6 @@ def find_optimal_k(
         *[nearest_cluster(f.centroids, S.SEGMENT_FEATURES).alias(columns[k]) for k, f in fits.items()],
     )
     quality = cluster_quality(labelled, S.SEGMENT_FEATURES, columns)
-    if euclidean:
-        plain = points.sparkSession.createDataFrame([], "k_values int, silhouette_scores double")
-        for k, column in columns.items():
-            score = euclidean_silhouette(labelled, S.SEGMENT_FEATURES, column)
-            plain = plain.unionByName(
-                score.select(F.lit(k).alias("k_values"), F.col("silhouette_score").alias("silhouette_scores"))
-            )
-        quality = quality.drop("silhouette_scores").join(plain, "k_values")
     names = ["k_values", "inertias", "silhouette_scores", "davies_bouldin_scores"]
     return quality.select(*names).orderBy("k_values"), fits
 

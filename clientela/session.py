@@ -11,10 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-# Up to this many tasks, small fixed-size partial results go straight to the driver;
-# those of more tasks are added up by a shuffle first.
-DIRECT_TASKS = 64
-
 
 def get_spark(app_name: str = "clientela", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings the jobs rely on (UTC, AQE with skew handling)."""

@@ -1,7 +1,7 @@
 """All-or-nothing publishing of score tables and alerts.
 
 A publish writes each table to a folder of its own and, as the last step, appends
-one line to the release log. Readers follow the newest line, so they see either
+one line to the release log. Readers follow the line with the highest number, so they see either
 the complete new release or the complete old one; a failed run leaves no line.
 """
 
@@ -12,13 +12,13 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from clientela.sources.tables import table_exists
 
 RELEASE_LOG = "releases"
-LOG_SCHEMA = "release string, published_at timestamp, tables map<string,string>"
+LOG_SCHEMA = "number bigint, release string, published_at timestamp, tables map<string,string>"
 
 SCORE_SCHEMAS = {
     "anomaly_scores": (
@@ -79,21 +79,34 @@ def publish_segment_assignments(df: DataFrame, folder: str, now: datetime | None
     return stage_scores(df, "segment_assignments", folder, now)
 
 
-def current_release(spark: SparkSession, root: str) -> dict[str, str]:
-    """Folder of each table in the newest release; empty before the first one."""
+def newest_line(spark: SparkSession, root: str) -> Row | None:
+    """The log line with the highest commit number; none before the first release."""
     try:
         log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{RELEASE_LOG}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return {}
-    newest = log.orderBy(F.desc("published_at"), F.desc("release")).limit(1).collect()
-    return dict(newest[0]["tables"]) if newest else {}
+        return None
+    # Lines of one number come from publishers that ran at once: the release name decides.
+    newest = log.orderBy(F.desc_nulls_last("number"), F.desc("release")).limit(1).collect()
+    return newest[0] if newest else None
+
+
+def current_release(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folder of each table in the newest release; empty before the first one."""
+    newest = newest_line(spark, root)
+    return dict(newest["tables"]) if newest else {}
 
 
 def commit_release(spark: SparkSession, root: str, tables: dict[str, str], now: datetime) -> None:
-    """Make the tables current: one log line, written only after all of them exist."""
-    line = spark.createDataFrame([(uuid.uuid4().hex, now, tables)], LOG_SCHEMA)
+    """Make the tables current: one log line, written only after all of them exist.
+
+    Lines are ordered by a commit number. ``now`` stamps the data only, so a second
+    publish with the same or an older stamp still becomes current.
+    """
+    newest = newest_line(spark, root)
+    number = (newest["number"] or 0) + 1 if newest else 1
+    line = spark.createDataFrame([(number, uuid.uuid4().hex, now, tables)], LOG_SCHEMA)
     line.coalesce(1).write.mode("append").json(f"{root}/{RELEASE_LOG}")
 
 

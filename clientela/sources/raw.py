@@ -49,9 +49,11 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Fal
     """Header CSV with a known schema; fields are matched to columns by header name.
 
     Only the columns named in ``schema`` that the file has are returned, so a file
-    with more, fewer or reordered columns still reads correctly.
+    with more, fewer or reordered columns still reads correctly. Files of one folder
+    must share their header: one that differs fails the read instead of shifting
+    columns.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
     header = spark.read.options(**options).csv(path).columns
     wanted = dict(part.strip().split(" ") for part in schema.split(","))
     text = ", ".join(f"`{c}` {wanted.get(c, 'string')}" for c in header)

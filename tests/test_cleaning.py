@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from clientela.functions.privacy import pseudonymize_customers
@@ -106,18 +107,27 @@ def test_transactions_keep_every_item(spark, orders):
     assert got["zz", "p9"]["payment_value"] is None
 
 
-def test_transactions_with_a_hot_order(spark, tmp_path):
-    many = spark.range(4000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("big")).otherwise(F.concat(F.lit("o"), F.col("id") % 50)).alias("order_id"),
-        F.col("id").cast("string").alias("product_id"),
-    )
-    many.write.parquet(str(tmp_path / "items"))
-    items = spark.read.parquet(str(tmp_path / "items"))
+def test_transactions_shuffle_each_table_once(spark, tmp_path):
+    """Plain joins on the order: three exchanges, none into one task, each table scanned once."""
+    items = spark.range(4000).select(F.concat(F.lit("o"), F.col("id") % 900).alias("order_id"), F.col("id").cast("string").alias("product_id"))
     orders = items.select("order_id").distinct().withColumn("customer_id", F.concat(F.lit("c"), "order_id"))
     payments = orders.select("order_id", F.lit(1.5).alias("payment_value"), F.lit(2).alias("payment_installments"))
-    tx = cleaning.build_transactions(orders, items, payments, rows_per_piece=100)
-    assert tx.count() == 4000
-    assert tx.where((F.col("customer_id") == F.concat(F.lit("c"), "order_id")) & (F.col("payment_value") == 1.5)).count() == 4000
+    stored = {}
+    for name, df in {"items": items, "orders": orders.withColumn("ingest_seq", F.lit(1)), "payments": payments}.items():
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = cleaning.keep_one(stored["orders"], "order_id", "ingest_seq")
+        tx = cleaning.build_transactions(kept, stored["items"], stored["payments"])
+        plan = tx._jdf.queryExecution().sparkPlan().toString(), tx._jdf.queryExecution().executedPlan().toString()
+        assert tx.count() == 4000
+        assert tx.where((F.col("customer_id") == F.concat(F.lit("c"), "order_id")) & (F.col("payment_value") == 1.5)).count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan[1].count("Exchange hashpartitioning") == 3
+    assert "SinglePartition" not in plan[1]
+    assert plan[0].count("FileScan") == 3
 
 
 def test_customers_lose_readable_ids(spark):
@@ -145,3 +155,11 @@ def test_csv_review_text_with_line_breaks(spark, tmp_path):
     assert got[0]["review_comment_message"] == 'two\nlines, "quoted"'
     with pytest.raises(ValueError, match="unknown"):
         raw.read_raw_tables(spark, {"nothing": "x"})
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_files_with_other_headers_fail(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("order_id,payment_type,payment_sequential\no1,credit_card,1\n")
+    (tmp_path / "b.csv").write_text("order_id,payment_sequential,payment_type\no2,2,voucher\n")
+    with pytest.raises(Py4JJavaError, match="header"):
+        raw.read_csv(spark, str(tmp_path), raw.RAW_SCHEMAS["order_payments"], multi_line).collect()

@@ -161,33 +161,35 @@ def test_ks_distance_matches_numpy(spark):
     assert (got["n_first"], got["n_second"]) == (300, 200)
 
 
-def path_share(n, m, statistic):
-    """Share of orderings of n and m distinct values whose ECDF gap reaches the statistic."""
-    inside = {(0, 0): 1}
-    for i in range(n + 1):
-        for j in range(m + 1):
-            if (i, j) != (0, 0):
-                near = abs(i * m - j * n) < round(statistic * n * m)
-                inside[i, j] = (inside.get((i - 1, j), 0) + inside.get((i, j - 1), 0)) if near else 0
-    return 1 - inside[n, m] / math.comb(n + m, n)
-
-
-@pytest.mark.parametrize(("n", "m"), [(4, 4), (5, 7), (20, 20), (12, 30)])
-def test_exact_p_value_counts_paths(n, m):
-    for k in range(1, n + 1):
-        d = k / n
-        assert ranks.ks_p_value(d, n, m) == pytest.approx(path_share(n, m, d), abs=1e-9)
+@pytest.mark.parametrize("x", [0.05, 0.3, 0.6, 0.95, 0.999, 1.0, 1.001, 1.2, 1.8, 3.0])
+def test_p_value_is_the_limit_distribution(x):
+    """Against the alternating series with as many terms as it takes."""
+    terms = (2 * (-1) ** (j - 1) * math.exp(-2 * j * j * x * x) for j in range(1, 4000))
+    n = 2_000
+    assert ranks.ks_p_value(x / math.sqrt(n / 2), n, n) == pytest.approx(min(1.0, math.fsum(terms)), abs=1e-12)
 
 
 def test_p_value_of_known_cases():
-    # Two samples of 20 without overlap: 2 / C(40, 20).
-    assert ranks.ks_p_value(1.0, 20, 20) == pytest.approx(2 / math.comb(40, 20), rel=1e-3, abs=1e-12)
     assert ranks.ks_p_value(0.0, 20, 20) == 1.0
-    # Limit series: the 5 % point of the Kolmogorov distribution is 1.3581.
+    assert ranks.ks_p_value(0.5, 0, 20) == 1.0
+    # Nearly equal samples.
+    assert ranks.ks_p_value(0.0001, 20_000, 20_000) == pytest.approx(1.0)
+    assert ranks.ks_p_value(0.00001, 1_000_000, 1_000_000) == pytest.approx(1.0)
+    # The 5 % point of the Kolmogorov distribution is 1.3581.
     n = 1_000_000
     assert ranks.ks_p_value(1.3581 / math.sqrt(n / 2), n, n) == pytest.approx(0.05, abs=1e-4)
 
 
+@pytest.mark.parametrize("digits", [0, 1, 2, 3])
+def test_fixed_prints_any_number(spark, digits):
+    values = [130.0, 127.995, -0.5, -130.005, 0.5, 1.5, 2.5, 99.995, 0.9999, 1e9 + 0.25, 2.0**53, 123456.789, 0.865]
+    rng = random.Random(2)
+    values += [rng.uniform(-500, 500) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in df.select("v", text.fixed("v", digits).alias("t")).collect():
+        assert row["t"] == f"{row['v']:.{digits}f}"
+
+
 # --- hot keys ------------------------------------------------------------------------
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_spread_join_equals_plain_join(spark, tmp_path, how):
@@ -198,7 +200,7 @@ def test_spread_join_equals_plain_join(spark, tmp_path, how):
     fact = spark.read.parquet(str(tmp_path / "fact"))
     dims = [("hot", "h1"), ("hot", "h2")] + [(f"k{i}", f"d{i}") for i in range(0, 300, 2)]
     dimension = spark.createDataFrame(dims, "k string, d string")
-    spread = skew.spread_join(fact, dimension, "k", how, rows_per_piece=100)
+    spread = skew.spread_join(fact, dimension, "k", how, shares=60)
     plain = fact.join(dimension, "k", how)
     count = lambda df: Counter(tuple(r) for r in df.select("k", "v", "d").collect())
     assert count(spread) == count(plain)
@@ -206,5 +208,6 @@ def test_spread_join_equals_plain_join(spark, tmp_path, how):
 
 def test_hot_key_is_cut_into_pieces(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    hot = skew.hot_keys(df, "k", rows_per_piece=500).collect()
+    hot = skew.hot_keys(df, "k", shares=18).collect()
     assert [(r["k"], r["_pieces"]) for r in hot] == [(-1, 6)]
+    assert skew.hot_keys(df.limit(0), "k", shares=18).count() == 0

@@ -1,4 +1,4 @@
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,6 +201,20 @@ def counts(df):
     return {r["label"]: r["rows"] for r in df.collect()}
 
 
+@pytest.mark.parametrize("step", [0, -1])
+def test_the_last_publish_is_current(spark, tmp_path, step):
+    """Whatever the stamps say: the same one each time, or older ones."""
+    root = str(tmp_path / "serving")
+    start = datetime(2020, 1, 9, tzinfo=UTC)
+    for i in range(5):
+        scores = spark.createDataFrame([(f"c{i}", i / 10)], "customer_hash string, anomaly_score double")
+        scores = scores.selectExpr("*", "false is_anomaly", "'normal' anomaly_flag")
+        folder = str(tmp_path / f"scores{i}")
+        scores.write.parquet(folder)
+        jobs.publish_job(spark, root, {"anomaly_scores": folder}, start + timedelta(days=i * step))
+        assert [r["customer_hash"] for r in publish.read_published(spark, root, "anomaly_scores").collect()] == [f"c{i}"]
+
+
 def test_publish_and_reload(spark, tmp_path, score_paths):
     root = str(tmp_path / "serving")
     assert publish.read_published(spark, root, "anomaly_scores").count() == 0
