@@ -21,9 +21,11 @@ UNKNOWN_TEXT = " ⁇ "
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 # Code points of text handled at a time, of new words indexed at a time, and words remembered per process.
-TEXT_AT_ONCE = 6_000_000
-INDEX_AT_ONCE = 1_000_000
-REMEMBERED = 400_000
+TEXT_AT_ONCE = 4_000_000
+INDEX_AT_ONCE = 600_000
+REMEMBERED = 250_000
+# Rows of an Arrow batch turned into Python objects at a time.
+ROWS_AT_ONCE = 256
 # Words of more symbols are merged one by one with a heap.
 LONG_WORD = 128
 NONE = np.int64(1) << 31
@@ -73,28 +75,54 @@ def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def dense_codes(codes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Codes renumbered from 1 in their order, and how many there are."""
+    used = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    used[codes] = True
+    return np.cumsum(used)[codes], int(used.sum())
+
+
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Start positions in the order of the ``depth`` symbols that follow: symbols are packed, then ranks doubled."""
-    alphabet, dense = np.unique(codes, return_inverse=True)
-    bits = len(alphabet).bit_length() + 1
+    dense, alphabet = dense_codes(codes)
+    bits = max(1, alphabet.bit_length())
     covered = min(depth, 62 // bits)
 
     def ahead(values: np.ndarray, by: int) -> np.ndarray:
         out = np.zeros(len(values), np.int64)
-        out[: max(0, len(values) - by)] = values[by:] + 1
+        out[: max(0, len(values) - by)] = values[by:]
         return out
 
     key = np.zeros(len(codes), np.int64)
     for j in range(covered):
         key = (key << bits) | ahead(dense, j)
     while covered < depth:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(len(key), np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
+        rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         key = rank * np.int64(len(key) + 2) + ahead(rank, covered)
         covered *= 2
-    return np.argsort(key, kind="stable")
+    return np.argsort(key)
+
+
+class Edges:
+    """Piece occurrences by position: which lengths start there, and the piece of each."""
+
+    def __init__(self, position: np.ndarray, length: np.ndarray, piece: np.ndarray, size: int, depth: int):
+        self.depth, self.piece = depth, piece
+        # One bit for each length; set bits below a length count the edges before it.
+        self.lengths = np.bincount(position, weights=np.exp2(length), minlength=size).astype(np.uint64)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(position, minlength=size))])
+
+    def find(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Piece number of the edge from start to end, or -1."""
+        length = end - start
+        bit = np.uint64(1) << np.minimum(length, self.depth + 1).astype(np.uint64)
+        mask = self.lengths[start]
+        at = self.first[start] + np.bitwise_count(mask & (bit - np.uint64(1)))
+        hit = (mask & bit) != 0
+        return np.where(hit, self.piece[np.where(hit, at, 0)], -1) if len(self.piece) else np.full(len(start), -1)
 
 
 class Encoder:
@@ -115,37 +143,44 @@ class Encoder:
         self.splitter = re.compile(".+" if inside else f" *[^ {line_ends}]+|{line_ends or '(?!)'}| +", re.DOTALL)
         self.known: dict[str, bytes] = {}
 
-    def ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Binary search of every piece in the suffix array: the ranges of its occurrences."""
+    def ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Binary search of every piece in the suffix array: piece numbers and the ranges of their occurrences.
+
+        Pieces with a character that the text lacks have none.
+        """
+        used = np.zeros(max(int(codes.max(initial=0)), int(self.table.max())) + 1, bool)
+        used[codes] = used[0] = True
+        rows = np.nonzero(used[self.table].all(axis=1))[0]
+        table, lengths = self.table[rows], self.lengths[rows]
         padded = np.concatenate([codes, np.zeros(self.depth, np.uint32)])
-        within = np.arange(self.depth) < self.lengths[:, None]
-        rows = np.arange(len(self.table))
+        within = np.arange(self.depth) < lengths[:, None]
+        place = np.arange(len(rows))
 
         def bound(after_equal: bool) -> np.ndarray:
             low, high = np.zeros(len(rows), np.int64), np.full(len(rows), len(order), np.int64)
             while (open_ := low < high).any():
                 mid = (low + high) // 2
                 seen = padded[order[np.minimum(mid, len(order) - 1)][:, None] + np.arange(self.depth)] * within
-                differ = seen != self.table
+                differ = seen != table
                 at = differ.argmax(axis=1)
-                less = seen[rows, at] < self.table[rows, at]
-                right = np.where(differ[rows, at], less, after_equal) & open_
+                less = seen[place, at] < table[place, at]
+                right = np.where(differ[place, at], less, after_equal) & open_
                 low, high = np.where(right, mid + 1, low), np.where(right | ~open_, high, mid)
             return low
 
-        return bound(False), bound(True)
+        return rows, bound(False), bound(True)
 
-    def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All occurrences of all pieces, sorted by position: keys (position and length) and piece numbers."""
+    def edges(self, codes: np.ndarray) -> Edges:
+        """All occurrences of all pieces, sorted by position and length."""
         order = suffix_array(codes, self.depth)
-        low, high = self.ranges(codes, order)
+        rows, low, high = self.ranges(codes, order)
         counts = high - low
-        piece = np.repeat(np.arange(len(counts)), counts)
+        piece = np.repeat(rows, counts)
         inside = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
         position = order[np.repeat(low, counts) + inside]
-        key = position * np.int64(self.depth + 1) + self.lengths[piece]
-        by_position = np.argsort(key, kind="stable")
-        return key[by_position], piece[by_position]
+        length = self.lengths[piece]
+        by_position = np.argsort(position * np.int64(self.depth + 1) + length)
+        return Edges(position[by_position], length[by_position], piece[by_position], len(codes), self.depth)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as 32-bit numbers.
@@ -157,22 +192,13 @@ class Encoder:
         codes = codes_of(SPACE.join([w.replace(" ", SPACE) for w in words]))
         sizes = np.array([len(w) for w in words], np.int64)
         first = np.cumsum(sizes + 1) - sizes - 1
-        keys, pieces = self.edges(codes)
-        wide = np.int64(self.depth + 1)
-
-        def find(start: np.ndarray, end: np.ndarray) -> np.ndarray:
-            """Piece number of the edge from start to end, or -1."""
-            wanted = start * wide + (end - start)
-            at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-            hit = (end - start <= self.depth) & (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
-            return np.where(hit, pieces[at] if len(keys) else -1, -1)
-
+        edges = self.edges(codes)
         word = np.repeat(np.arange(len(words)), sizes)
         start = np.repeat(first, sizes) + np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         end = start + 1
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for w in np.nonzero(sizes > LONG_WORD)[0]:
-            own = self.merge_long(int(first[w]), int(first[w] + sizes[w]), keys, pieces)
+            own = self.merge_long(int(first[w]), int(first[w] + sizes[w]), edges)
             done.append((np.full(len(own) - 1, w), own[:-1], own[1:]))
         short = sizes[word] <= LONG_WORD
         word, start, end = word[short], start[short], end[short]
@@ -181,7 +207,7 @@ class Encoder:
             pair = np.zeros(len(word), bool)
             pair[:-1] = word[:-1] == word[1:]
             at = np.nonzero(pair)[0]
-            found = find(start[at], end[at + 1])
+            found = edges.find(start[at], end[at + 1])
             rank = np.full(len(word), NONE)
             rank[at] = np.where(found >= 0, self.ranks[found], NONE)
             head = np.nonzero(np.concatenate([[True], word[1:] != word[:-1]]))[0]
@@ -197,18 +223,14 @@ class Encoder:
         word, start, end = [np.concatenate(x) for x in zip(*done, strict=True)]
         by_start = np.argsort(start, kind="stable")
         word, start, end = word[by_start], start[by_start], end[by_start]
-        found = find(start, end)
+        found = edges.find(start, end)
         ids = np.where(found >= 0, self.ids[found], -1).astype(np.int32)
-        cuts = np.searchsorted(word, np.arange(len(words) + 1))
-        loose = np.zeros(len(words), bool)
-        loose[word[found < 0]] = True
-        out = []
-        for w in range(len(words)):
+        cuts = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
+        data = ids.tobytes()
+        out = [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        for w in np.unique(word[found < 0]):
             a, b = cuts[w], cuts[w + 1]
-            if loose[w]:
-                out.append(self.with_bytes(codes, start[a:b], ids[a:b]))
-            else:
-                out.append(ids[a:b].tobytes())
+            out[w] = self.with_bytes(codes, start[a:b], ids[a:b])
         return out
 
     def with_bytes(self, codes: np.ndarray, start: np.ndarray, ids: np.ndarray) -> bytes:
@@ -222,11 +244,15 @@ class Encoder:
                 out.append(self.v.unknown)
         return np.array(out, np.int32).tobytes()
 
-    def merge_long(self, begin: int, stop: int, keys: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    def merge_long(self, begin: int, stop: int, edges: Edges) -> np.ndarray:
         """Symbol borders of one long word: the same relaxation with a heap of edges instead of rounds."""
         wide = self.depth + 1
-        low, high = np.searchsorted(keys, [begin * wide, stop * wide])
-        ranks = dict(zip(keys[low:high].tolist(), self.ranks[pieces[low:high]].tolist(), strict=True))
+        ranks: dict[int, int] = {}
+        for size in range(2, wide):
+            starts = np.arange(begin, stop - size + 1)
+            found = edges.find(starts, starts + size)
+            have = found >= 0
+            ranks.update(zip((starts[have] * wide + size).tolist(), self.ranks[found[have]].tolist(), strict=True))
         after = {s: s + 1 for s in range(begin, stop)}
         before = {s + 1: s for s in range(begin, stop)}
         heap: list[tuple[int, int, int, int]] = []
@@ -265,7 +291,7 @@ class Encoder:
         new = present - known.keys()
         batch: list[str] = []
         size = 0
-        for word in sorted(new):
+        for word in new:
             batch.append(word)
             size += len(word) + 1
             if size >= INDEX_AT_ONCE:
@@ -288,6 +314,21 @@ def process_encoder(vocabulary: Vocabulary) -> Encoder:
     return _encoders[number]
 
 
+def slices(column: pa.Array):
+    """``start, texts`` of a column's rows, few enough at a time to hold as Python strings."""
+    held: list[str | None] = []
+    begin = size = 0
+    for at in range(0, len(column), ROWS_AT_ONCE):
+        for text in column.slice(at, ROWS_AT_ONCE).to_pylist():
+            if held and size + len(text or "") > TEXT_AT_ONCE:
+                yield begin, held
+                begin, size, held = begin + len(held), 0, []
+            held.append(text)
+            size += len(text or "")
+    if held:
+        yield begin, held
+
+
 def encode(docs: DataFrame, text: str = "text", model_file: str = MODEL_FILE) -> DataFrame:
     """``docs`` with ``ids`` in place of ``text`` and ``n_tokens``.
 
@@ -301,29 +342,23 @@ def encode(docs: DataFrame, text: str = "text", model_file: str = MODEL_FILE) ->
     def run(batches: Batches):
         encoder = process_encoder(shipped.value)
         for batch in batches:
-            texts = batch.column(len(rest)).to_pylist()
-            start = 0
-            while start < len(texts):
-                stop, size = start, 0
-                while stop < len(texts) and (stop == start or size + len(texts[stop] or "") <= TEXT_AT_ONCE):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                encoded = encoder.encode([t or "" for t in texts[start:stop]])
+            for start, texts in slices(batch.column(len(rest))):
+                encoded = encoder.encode([t or "" for t in texts])
                 lengths = np.array([len(e) // 4 for e in encoded], np.int64)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
                 values = pa.array(np.frombuffer(b"".join(encoded), np.int32))
                 ids = pa.ListArray.from_arrays(offsets, values)
-                kept = [batch.column(i).slice(start, stop - start) for i in range(len(rest))]
+                kept = [batch.column(i).slice(start, len(texts)) for i in range(len(rest))]
                 yield arrow_batch([*rest, "ids", "n_tokens"], [*kept, ids, pa.array(lengths)])
-                start = stop
 
     fields = [docs.schema[c] for c in rest]
     kind = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
     return docs.select(*rest, text).mapInArrow(run, kind)
 
 
-def decode_ids(ids: list[int], surfaces: list[bytes], prefix: bool) -> str:
-    data = b"".join([surfaces[i] for i in ids])
+def decode_ids(ids: np.ndarray, surfaces: np.ndarray, prefix: bool) -> str:
+    """Text of piece ids; ``surfaces`` holds the bytes of every piece."""
+    data = b"".join(surfaces[ids].tolist())
     if prefix and data.startswith(b" "):
         data = data[1:]
     return data.decode("utf-8", "replace")
@@ -341,9 +376,15 @@ def decode(encoded: DataFrame, text: str = "text", model_file: str = MODEL_FILE)
 
     def run(batches: Batches):
         v = shipped.value
+        surfaces = np.array(v.surfaces, object)
         for batch in batches:
-            texts = [decode_ids(ids or [], v.surfaces, v.prefix) for ids in batch.column(place).to_pylist()]
-            yield arrow_batch([*rest, text], [*[batch.column(i) for i in range(len(rest))], pa.array(texts, pa.string())])
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                ids = part.column(place)
+                values, cuts = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+                texts = [decode_ids(values[a:b], surfaces, v.prefix) for a, b in zip(cuts, cuts[1:], strict=False)]
+                kept = [part.column(i) for i in range(len(rest))]
+                yield arrow_batch([*rest, text], [*kept, pa.array(texts, pa.string())])
 
     kind = T.StructType([*[encoded.schema[c] for c in rest], T.StructField(text, T.StringType())])
     return encoded.select(*rest).mapInArrow(run, kind)
