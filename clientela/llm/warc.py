@@ -13,6 +13,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientela.functions.skew import share_count
 from clientela.llm.common import Batches, arrow_batch
 from clientela.session import materialise, new_folder
 
@@ -258,8 +259,8 @@ def read_archives(spark: SparkSession, archives: DataFrame, chunk: int = CHUNK)
                 if rows:
                     yield arrow_batch(names, [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)])
 
-    # Files are the unit of work; their list is dealt out so that every core gets some.
-    paths = archives.select("path").distinct().repartition("path")
+    # Files are the unit of work. A given number of parts, as adaptive execution would join the short list in one.
+    paths = archives.select("path").distinct().repartition(share_count(archives), "path")
     return paths.mapInArrow(read, RECORDS)
 
 
