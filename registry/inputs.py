@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,18 @@ NOW = datetime(2001, 8, 2, 12, 0, 0, tzinfo=UTC)
 SALT = "oracle-salt"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# A given forest, tree by tree: (node, feature, threshold, left, right, size, depth).
+GIVEN_SUBSAMPLE = 256
+GIVEN_TREES = [
+    [(0, 0, 100.5, 1, 2, 256, 0), (1, 2, 900000.0, 3, 4, 100, 1), (2, 1, 12.5, 5, 6, 156, 1),
+     (3, -1, 0.0, -1, -1, 60, 2), (4, -1, 0.0, -1, -1, 40, 2), (5, -1, 0.0, -1, -1, 155, 2), (6, -1, 0.0, -1, -1, 1, 2)],
+    [(0, 1, 8.5, 1, 2, 256, 0), (1, -1, 0.0, -1, -1, 2, 1), (2, 0, 40.5, 3, 4, 254, 1),
+     (3, -1, 0.0, -1, -1, 54, 2), (4, 1, 15.5, 5, 6, 200, 2), (5, -1, 0.0, -1, -1, 120, 3), (6, -1, 0.0, -1, -1, 80, 3)],
+    [(0, -1, 0.0, -1, -1, 256, 0)],
+]
+# Given centroids of scaled points, one number for each segmentation feature.
+GIVEN_CENTROIDS = [(-1.0, 1.0, 0.5, 0.0, 0.0, 0.25, 0.0), (0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0), (1.0, -1.0, -0.5, 0.5, 0.0, 0.0, 0.25)]
+
 
 class Inputs:
     """Lazy tables of one data folder."""
@@ -120,3 +133,9 @@ def whole(df: DataFrame, *columns: str) -> DataFrame:
     """Count columns as 64-bit integers."""
     return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
 
+
+
+def given_forest() -> anomaly.Forest:
+    names = ["node", "feature", "threshold", "left", "right", "size", "depth"]
+    rows = [(tree, *node) for tree, nodes in enumerate(GIVEN_TREES) for node in nodes]
+    return anomaly.Forest(pd.DataFrame(rows, columns=["tree", *names]), GIVEN_SUBSAMPLE)

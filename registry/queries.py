@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,18 @@ from clientela.operators import (
 from clientela.plans import jobs
 from clientela.session import materialise, new_folder, ship_package
 from clientela.sources import publish, raw, tables
-from registry.inputs import NOW, SALT, SNAPSHOT, Inputs, given_clusters, rounded, text_times, whole
+from registry.inputs import (
+    GIVEN_CENTROIDS,
+    NOW,
+    SALT,
+    SNAPSHOT,
+    Inputs,
+    given_clusters,
+    given_forest,
+    rounded,
+    text_times,
+    whole,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,6 +119,17 @@ def s6_publish_release(t: Inputs) -> DataFrame:
     return publish.publish_all(t.spark, root, inputs, serving.generate_alerts, NOW)
 
 
+@query
+def s6_second_publish(t: Inputs) -> DataFrame:
+    """Two publishes under one stamp: the second is what readers get."""
+    root = new_folder(t.spark, "twice")
+    for number, scores in enumerate((t.churn_scores(), t.churn_scores().where("churn_probability >= 0.5"))):
+        folder = f"{root}/in/{number}"
+        scores.write.parquet(folder)
+        publish.publish_all(t.spark, root, {"churn_scores": folder}, serving.generate_alerts, NOW)
+    return publish.read_published(t.spark, root, "churn_scores").drop("scored_at")
+
+
 @query
 def s7_tolerant_read(t: Inputs) -> DataFrame:
     path = new_folder(t.spark, "present")
@@ -625,7 +648,7 @@ def m3_ks_statistic(t: Inputs) -> DataFrame:
 
 @query
 def m3_model_drift(t: Inputs) -> DataFrame:
-    return rounded(monitoring.model_drift(t.churn_scores(), t.newer_churn_scores()).drop("p_value"))
+    return rounded(monitoring.model_drift(t.churn_scores(), t.newer_churn_scores()))
 
 
 @query
@@ -858,6 +881,146 @@ def _centroids(t: Inputs, points: DataFrame) -> DataFrame:
     return segments.fit_kmeans(points, [S.DEFAULT_CLUSTERS])[S.DEFAULT_CLUSTERS].to_frame(t.spark)
 
 
+# --- fitted models: given ones with values, and what holds for every fit -----------------
+@query
+def a2_forest_invariants(t: Inputs) -> DataFrame:
+    nodes = anomaly.fit_forest(t.stored_matrix).node_frame(t.spark)
+    sides = [nodes.select("tree", F.col("node").alias(side), F.col("size").alias(f"{side}_size"), F.col("depth").alias(f"{side}_depth")) for side in ("left", "right")]
+    inner = nodes.join(sides[0], ["tree", "left"]).join(sides[1], ["tree", "right"])
+    off = (F.col("left_size") + F.col("right_size") != F.col("size")) | (F.col("left_depth") != F.col("depth") + 1) | (F.col("right_depth") != F.col("depth") + 1)
+    unbalanced = inner.where(off).agg(F.count(F.lit(1))).scalar()
+    roots = F.when(F.col("node") == 0, F.col("size"))
+    return nodes.agg(
+        F.count_distinct("tree").alias("trees"),
+        F.min(roots).alias("smallest_root"),
+        F.max(roots).alias("largest_root"),
+        F.count_if(F.col("depth") > 8).alias("too_deep"),
+    ).withColumn("unbalanced", unbalanced)
+
+
+@query
+def a3_given_forest_scores(t: Inputs) -> DataFrame:
+    return rounded(anomaly.raw_scores(t.matrix, given_forest()))
+
+
+@query
+def a6_given_forest_sums(t: Inputs) -> DataFrame:
+    """Contributions and base of the given forest add up to the mean path of each row."""
+    found = explain.explain_rows(t.matrix, explain.forest_leaves(given_forest()), S.ANOMALY_FEATURES, None, "customer_hash")
+    total = F.aggregate("contributions", F.col("base"), lambda a, v: a + v)
+    return rounded(found.select("customer_hash", total.alias("path")))
+
+
+def _assigned(points: DataFrame, centroids: list) -> DataFrame:
+    """One assignment step: size, inertia and new centre of every cluster."""
+    sums = segments._assignment_sums(points, S.SEGMENT_FEATURES, {0: np.array(centroids, dtype=float)})
+    means = [(F.col(f"s{i}") / F.col("n")).alias(c) for i, c in enumerate(S.SEGMENT_FEATURES)]
+    return sums.where("n > 0").select("cluster", "n", "inertia", *means)
+
+
+@query
+def g3_lloyd_step(t: Inputs) -> DataFrame:
+    return rounded(_assigned(segments.prepare_points(t.matrix)[0], GIVEN_CENTROIDS))
+
+
+@query
+def g8_fixed_point(t: Inputs) -> DataFrame:
+    """Another step from the fitted centroids moves none of them."""
+    points, _ = segments.prepare_points(t.stored_matrix)
+    fit = segments.fit_kmeans(points, [S.DEFAULT_CLUSTERS])[S.DEFAULT_CLUSTERS]
+    centres = t.spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(fit.centroids)], "cluster int, centre array<double>")
+    moved = F.aggregate(
+        F.zip_with(F.array(*S.SEGMENT_FEATURES), "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
+    )
+    stepped = _assigned(points, fit.centroids).join(F.broadcast(centres), "cluster")
+    return stepped.agg(
+        F.count(F.lit(1)).alias("clusters"), F.sum("n").cast("bigint").alias("rows"), (F.sum(moved) <= 2 * segments.SHIFT_TOLERANCE).alias("settled")
+    )
+
+
+@query
+def c9_private_optimum(t: Inputs) -> DataFrame:
+    """Without noise the fit is the minimum of the ridge loss: its gradient, added up in SQL functions, is zero."""
+    train = churn.ordered_split(materialise(_given_features(t), "churn")).where("split = 'train'")
+    model = private.fit_private_logistic(train, float("inf"))
+    rows = private.private_probability(train, model)
+    rows = private.unit_rows(rows, S.CHURN_FEATURES, model.scaler)
+    names = [f"_z_{c}" for c in S.CHURN_FEATURES] + ["_z_one"]
+    gradient = [F.abs(F.sum(F.col(c) * (F.col("churn_probability") - F.col("churned"))) + float(w)) < 1e-3 for c, w in zip(names, model.weights, strict=True)]
+    size = sum([F.col(c) * F.col(c) for c in names[1:]], F.col(names[0]) * F.col(names[0]))
+    return rows.agg(reduce(lambda a, b: a & b, gradient).alias("optimal"), (F.max(size) <= 1 + 1e-9).alias("unit_rows"))
+
+
+@query
+def x10_tradeoff_levels(t: Inputs) -> DataFrame:
+    table = private.privacy_tradeoff(churn.ordered_split(materialise(_given_features(t), "churn")))
+    return table.select("epsilon", "dp_training_failed", "train_size", "test_size")
+
+
+def _wrong(df: DataFrame, wrong) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("wrong"))
+
+
+def _margin(result: jobs.TrainingResult) -> DataFrame:
+    """Log-odds of every customer, walked through the booster's node table with SQL functions."""
+    nodes = explain.boosting_nodes(result.churn_features, result.models.booster)
+    # Bounded: rounds x 63 nodes.
+    walks = []
+    for _, tree in nodes.groupby("tree"):
+        by_node = tree.set_index("node")
+
+        def walk(at: int, by_node=by_node):
+            n = by_node.loc[at]
+            if n["left"] < 0:
+                return F.lit(float(n["value"]))
+            goes_left = F.col(S.CHURN_FEATURES[int(n["feature"])]).cast("double") <= float(n["threshold"])
+            return F.when(goes_left, walk(int(n["left"]))).otherwise(walk(int(n["right"])))
+
+        walks.append(walk(0))
+    # One array of leaf values: a sum of this many terms would nest too deep.
+    return result.churn_features.select("customer_hash", F.aggregate(F.array(*walks), F.lit(0.0), lambda a, v: a + v).alias("margin"))
+
+
+@query
+def c10_walked_scores(t: Inputs) -> DataFrame:
+    _, result = _training(t)
+    both = _margin(result).join(result.churn_scores, "customer_hash")
+    return _wrong(both, F.abs(1 / (1 + F.exp(-F.col("margin"))) - F.col("churn_probability")) > 1e-9)
+
+
+@query
+def c11_contributions_add_up(t: Inputs) -> DataFrame:
+    _, result = _training(t)
+    leaves = explain.LeafTable(explain.boosting_nodes(result.churn_features, result.models.booster))
+    found = explain.explain_rows(result.churn_features, leaves, S.CHURN_FEATURES, None, "customer_hash")
+    total = F.aggregate("contributions", F.col("base"), lambda a, v: a + v)
+    both = found.join(_margin(result), "customer_hash")
+    return _wrong(both, F.abs(total - F.col("margin")) > 1e-6)
+
+
+@query
+def c12_saved_equals_fresh(t: Inputs) -> DataFrame:
+    matrix, result = _training(t)
+    root = new_folder(t.spark, "models")
+    result.models.save(t.spark, root)
+    scored = jobs.scoring_from_saved(t.spark, matrix, root)
+    saved = serving.customer_risk(scored["anomaly_scores"], scored["churn_scores"], scored["segment_assignments"])
+    fresh = serving.customer_risk(result.anomaly_scores, result.churn_scores, result.segment_assignments)
+    fresh = fresh.select("customer_hash", F.struct(*[c for c in saved.columns if c != "customer_hash"]).alias("fresh"))
+    saved = saved.select("customer_hash", F.struct(*[c for c in saved.columns if c != "customer_hash"]).alias("saved"))
+    return _wrong(saved.join(fresh, "customer_hash"), ~F.col("saved").eqNullSafe(F.col("fresh")))
+
+
+@query
+def x11_all_explained(t: Inputs) -> DataFrame:
+    """Flagged customers without an explanation, and flagged customers that the list lacks."""
+    matrix, result = _training(t)
+    listed = explain.explained_anomalies(result.anomaly_scores, explain.anomaly_shap(matrix, result.models.forest))
+    flagged = result.anomaly_scores.where("anomaly_flag <> 'normal'").agg(F.count(F.lit(1))).scalar()
+    counted = listed.agg(F.count_if(F.col("shap_values").isNull()).alias("unexplained"), F.count(F.lit(1)).alias("n"))
+    return counted.select("unexplained", (flagged - F.col("n")).alias("missing"))
+
+
 @query
 def m5_monitoring_job(t: Inputs) -> DataFrame:
     root = new_folder(t.spark, "monitoring")
