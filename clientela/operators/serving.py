@@ -154,7 +154,13 @@ def risk_profiles(risk: DataFrame, wanted: DataFrame | None = None) -> DataFrame
     if wanted is None:
         return profiles
     asked = wanted.select(KEY).distinct().join(profiles, KEY, "left")
-    return asked.withColumn("status", F.coalesce("status", F.lit("not_found")))
+    missing = F.col("status").isNull()
+    return asked.withColumns(
+        {
+            "status": F.coalesce("status", F.lit("not_found")),
+            "message": F.when(missing, S.NOT_FOUND_TEXT),
+        }
+    )
 
 
 def generate_alerts(
@@ -265,6 +271,8 @@ def segment_lookup(
 ) -> DataFrame:
     """Per label: size, description, profile means (2 digits) and marketing text.
 
+    ``note`` says so where a label has no profile.
+
     With ``wanted`` (a table of ``segment_label``) a label outside the six gets status
     ``invalid_segment`` and a message listing the valid ones.
     """
@@ -276,6 +284,7 @@ def segment_lookup(
         labels.join(F.broadcast(sizes), "segment_label", "left")
         .join(F.broadcast(rounded_profiles(profiles.where(known))), "segment_label", "left")
         .withColumn("customer_count", F.coalesce("customer_count", F.lit(0)).cast("bigint"))
+        .withColumn("note", F.when(F.col("count").isNull(), S.NO_PROFILE_TEXT))
         .drop("place")
     )
     if wanted is None:

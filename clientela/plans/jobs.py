@@ -10,6 +10,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from clientela.sources.raw import INGEST_COLUMN
 @dataclass
 class CleanTables:
     orders: DataFrame
-    customers: DataFrame
+    customers: DataFrame | None
     reviews: DataFrame
     payments: DataFrame
     items: DataFrame
@@ -36,7 +37,7 @@ class CleanTables:
 def clean_tables(raw: Mapping[str, DataFrame], valid_statuses: list[str] | None = None) -> CleanTables:
     return CleanTables(
         orders=cleaning.clean_orders(raw["orders"], valid_statuses),
-        customers=cleaning.clean_customers(raw["customers"]),
+        customers=cleaning.clean_customers(raw["customers"]) if "customers" in raw else None,
         reviews=cleaning.clean_reviews(raw["order_reviews"]),
         payments=cleaning.clean_payments(raw["order_payments"]),
         items=raw["order_items"],
@@ -47,6 +48,16 @@ def transactions(clean: CleanTables) -> DataFrame:
     return cleaning.build_transactions(clean.orders, clean.items, clean.payments)
 
 
+def feature_tables(clean: CleanTables, lines: DataFrame, snapshot_date: str = S.SNAPSHOT_DATE) -> dict[str, DataFrame]:
+    """The four feature tables by customer, from the item-level transactions ``lines``."""
+    return {
+        "rfm_features": features.rfm(lines, snapshot_date),
+        "review_features": features.review_features(clean.reviews, clean.orders),
+        "delivery_features": features.delivery_features(lines),
+        "payment_features": features.payment_features(lines),
+    }
+
+
 def pseudonymized_tables(clean: CleanTables, salt: str) -> dict[str, DataFrame]:
     """Customers and transactions without readable customer ids."""
     known = transactions(clean).where(F.col("customer_id").isNotNull())
@@ -132,6 +143,8 @@ class Models:
             [f"{root}/forest/nodes", f"{root}/forest/meta"]
             + [f"{root}/{n}" for n in ("scaler", "centroids", "labels")],
         )
+        # The booster is a model folder, not a table: its description is text.
+        tables.require_tables(spark, [f"{root}/booster/metadata"], "text")
         return Models(
             forest=anomaly.Forest.load(spark, f"{root}/forest"),
             scaler=spark.read.parquet(f"{root}/scaler"),
@@ -164,12 +177,17 @@ def training_job(
     step: float = S.BOOSTING_STEP,
     k_range: tuple[int, int] = (S.K_MIN, S.K_MAX),
     epsilon: float | None = S.DP_EPSILON,
+    delta: float = S.DP_DELTA,
+    anomaly_threshold: float = S.ANOMALY_THRESHOLD,
+    churn_threshold: float = S.CHURN_RISK_THRESHOLD,
 ) -> TrainingResult:
-    """Fit the three models and score the training table."""
-    matrix = materialise(feature_matrix, "feature-matrix")
+    """Fit the three models and score the training table.
 
+    ``feature_matrix`` is read many times: pass a stored table.
+    """
+    matrix = feature_matrix
     forest, raw, anomaly_metrics = anomaly.train_isolation_forest(matrix, contamination, seed)
-    scores = anomaly.score_raw(raw, forest.cut)
+    scores = anomaly.score_raw(raw, forest.cut, anomaly_threshold)
 
     points, scaler = segments.prepare_points(matrix)
     k_analysis, fits = segments.find_optimal_k(points, *k_range, seed)
@@ -187,13 +205,13 @@ def training_job(
     merged = materialise(churn.merge_churn_features(labelled, scores, assigned), "churn-features")
     split = churn.ordered_split(churn.require_features(merged, S.CHURN_FEATURES))
     booster, churn_metrics = churn.train_churn_model(split, rounds, step, seed)
-    private_metrics = train_private_model(split, epsilon, seed=seed)[1] if epsilon else None
+    private_metrics = train_private_model(split, epsilon, delta, seed)[1] if epsilon else None
 
     return TrainingResult(
         models=Models(forest, scaler, centroids, labels, booster),
         anomaly_scores=scores,
         segment_assignments=assigned,
-        churn_scores=churn.score_churn(merged, booster),
+        churn_scores=churn.score_churn(merged, booster, churn_threshold),
         segment_profiles=segments.segment_profiles(matrix, assigned),
         k_analysis=k_analysis,
         anomaly_metrics=anomaly_metrics,
@@ -212,11 +230,15 @@ def explanation_tables(feature_matrix: DataFrame, result: TrainingResult) -> dic
 
 
 def scoring_job(
-    feature_matrix: DataFrame, models: Models, reuse_training_span: bool = False
+    feature_matrix: DataFrame,
+    models: Models,
+    reuse_training_span: bool = False,
+    anomaly_threshold: float = S.ANOMALY_THRESHOLD,
+    churn_threshold: float = S.CHURN_RISK_THRESHOLD,
 ) -> dict[str, DataFrame]:
     """Score a batch with saved models; nothing is refitted."""
     scores = anomaly.score_anomalies(
-        feature_matrix, models.forest, reuse_training_span=reuse_training_span
+        feature_matrix, models.forest, anomaly_threshold, reuse_training_span
     )
     points, _ = segments.prepare_points(feature_matrix, scaler=models.scaler)
     clustered = segments.assign_clusters(points, models.centroids)
@@ -229,20 +251,28 @@ def scoring_job(
     return {
         "anomaly_scores": scores,
         "segment_assignments": assigned,
-        "churn_scores": churn.score_churn(merged, models.booster),
+        "churn_scores": churn.score_churn(merged, models.booster, churn_threshold),
     }
 
 
-def scoring_from_saved(spark: SparkSession, feature_matrix: DataFrame, model_root: str) -> dict[str, DataFrame]:
+def scoring_from_saved(
+    spark: SparkSession, feature_matrix: DataFrame, model_root: str, **thresholds: float
+) -> dict[str, DataFrame]:
     """Daily inference: load the current models and score; refuses if none are saved."""
-    return scoring_job(feature_matrix, Models.load(spark, model_root))
+    return scoring_job(feature_matrix, Models.load(spark, model_root), **thresholds)
 
 
 def publish_job(
-    spark: SparkSession, root: str, score_paths: dict[str, str], now: datetime | None = None
+    spark: SparkSession,
+    root: str,
+    score_paths: dict[str, str],
+    now: datetime | None = None,
+    anomaly_alert: float = S.ANOMALY_ALERT_THRESHOLD,
+    churn_alert: float = S.CHURN_ALERT_THRESHOLD,
 ) -> DataFrame:
     """Publish score tables and fresh alerts as one release; returns counts."""
-    return publish.publish_all(spark, root, score_paths, serving.generate_alerts, now or datetime.now(UTC))
+    make = partial(serving.generate_alerts, anomaly_threshold=anomaly_alert, churn_threshold=churn_alert)
+    return publish.publish_all(spark, root, score_paths, make, now or datetime.now(UTC))
 
 
 @dataclass

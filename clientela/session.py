@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +46,29 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_run_folder: str | None = None
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_folder(spark)}/clientela/{name}-{uuid.uuid4().hex}"
+    """An unused path below the shared folder, inside the run's own folder if there is one."""
+    return f"{_run_folder or shared_folder(spark) + '/clientela'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep everything that is materialised meanwhile in one folder, and delete that at the end.
+
+    For jobs whose results are written elsewhere: afterwards no lazy table may still
+    read from the folder.
+    """
+    global _run_folder
+    before, _run_folder = _run_folder, f"{shared_folder(spark)}/clientela/run-{uuid.uuid4().hex}"
+    try:
+        yield _run_folder
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_run_folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _run_folder = before
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -174,6 +174,8 @@ RATE_TEXT_LOW = (
     "Low anomaly rate. Customer behavior appears normal. "
     "Monitor flagged customers for any emerging patterns."
 )
+NOT_FOUND_TEXT = "No scores found for this customer hash."
+NO_PROFILE_TEXT = "Detailed profile not available. Run training pipeline."
 NO_SCORES_TEXT = "No anomaly scores found. Run the training pipeline first."
 
 HIGH_RISK = 0.6

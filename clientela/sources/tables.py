@@ -38,9 +38,9 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFra
     return df.sparkSession.table(table)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str, form: str = "parquet") -> bool:
     try:
-        spark.read.parquet(path)
+        spark.read.format(form).load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
@@ -55,8 +55,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> D
     return spark.createDataFrame([], schema)
 
 
-def require_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+def require_tables(spark: SparkSession, paths: Iterable[str], form: str = "parquet") -> None:
     """Fail before any work starts if an input is absent, naming every one."""
-    missing = [p for p in paths if not table_exists(spark, p)]
+    missing = [p for p in paths if not table_exists(spark, p, form)]
     if missing:
         raise FileNotFoundError(f"Missing required inputs: {missing}")

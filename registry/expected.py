@@ -42,6 +42,8 @@ FEATURE_MATRIX_COLUMNS = [
 ]
 K_MAX = 8
 K_MIN = 3
+NOT_FOUND_TEXT = "No scores found for this customer hash."
+NO_PROFILE_TEXT = "Detailed profile not available. Run training pipeline."
 MARKETING_SUGGESTIONS = {
     'champions': 'Send a VIP early-access email for new products. Offer a referral bonus.',
     'loyal': 'Introduce a points-based loyalty program. Offer bundle discounts.',

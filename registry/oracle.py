@@ -808,7 +808,8 @@ SELECT customer_hash, 'found' AS status, risk_level, round(anomaly_score, 4) AS
 FROM risk_levels"""
 Q["q4_risk_lookup"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS customer_hash, CASE WHEN l.customer_hash IS NULL THEN 'not_found' ELSE 'found' END AS status,
-       l.risk_level FROM customer LEFT JOIN risk_levels l ON CAST(c_custkey AS VARCHAR) = l.customer_hash"""
+       l.risk_level, CASE WHEN l.customer_hash IS NULL THEN 'No scores found for this customer hash.' END AS message
+FROM customer LEFT JOIN risk_levels l ON CAST(c_custkey AS VARCHAR) = l.customer_hash"""
 ALERT_OUT = (
     "SELECT id, customer_hash, alert_type, score, threshold, '2001-08-02 12:00:00' AS created_at,"
     " false AS is_resolved, CAST(NULL AS VARCHAR) AS notes FROM alerts"
@@ -830,7 +831,8 @@ _labels = " UNION ALL ".join(
     for s in S.SEGMENT_LABELS
 )
 Q["q8_segment_lookup"] = f"""
-SELECT d.*, coalesce(n.customer_count, 0) AS customer_count, p.count, {", ".join(r("p." + c, 2) for c in PROFILE_MEANS)}
+SELECT d.*, coalesce(n.customer_count, 0) AS customer_count, p.count,
+       CASE WHEN p.count IS NULL THEN {quoted(S.NO_PROFILE_TEXT)} END AS note, {", ".join(r("p." + c, 2) for c in PROFILE_MEANS)}
 FROM ({_labels}) d
 LEFT JOIN (SELECT segment_label, count(*) AS customer_count FROM segment_given GROUP BY 1) n ON d.segment_label = n.segment_label
 LEFT JOIN segment_profile p ON d.segment_label = p.segment_label"""

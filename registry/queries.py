@@ -699,7 +699,7 @@ def q4_risk_profiles(t: Inputs) -> DataFrame:
 def q4_risk_lookup(t: Inputs) -> DataFrame:
     risk = serving.customer_risk(*_partial_scores(t))
     profiles = serving.risk_profiles(risk, wanted=t.people)
-    return profiles.select("customer_hash", "status", "risk_level")
+    return profiles.select("customer_hash", "status", "risk_level", "message")
 
 
 def _alerts(t: Inputs) -> DataFrame:

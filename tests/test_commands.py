@@ -1,10 +1,12 @@
 import csv
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from clientela.__main__ import main
+from clientela.session import materialise, run_folder
 from clientela.sources import publish
 
 STATUSES = ["delivered"] * 6 + ["shipped", "invoiced", "canceled"]
@@ -64,7 +66,10 @@ def test_raw_files_to_alerts_and_monitoring(spark, raw_dir, tmp_path, monkeypatc
     matrix = spark.read.parquet(f"{data}/feature_matrix")
     customers = matrix.count()
     assert customers > 100
+    for name in ("orders_clean", "customers_clean", "reviews_clean", "payments_clean", "rfm_features", "review_features", "delivery_features", "payment_features"):
+        assert spark.read.parquet(f"{data}/{name}").count() > 0, name
     main(["train", "--data", data, "--rounds", "3"])
+    assert spark.read.parquet(f"{data}/feature_matrix_with_labels").where("churned in (0, 1)").count() == customers
     before = spark.read.parquet(f"{data}/anomaly_scores").toPandas()
     assert len(before) == customers
     assert spark.read.parquet(f"{data}/segment_profiles").agg(F.sum("count")).first()[0] == customers
@@ -72,12 +77,29 @@ def test_raw_files_to_alerts_and_monitoring(spark, raw_dir, tmp_path, monkeypatc
     after = spark.read.parquet(f"{data}/anomaly_scores").toPandas()
     key = "customer_hash"
     assert before.sort_values(key, ignore_index=True).equals(after.sort_values(key, ignore_index=True))
+    main(["publish", "--data", data, "--anomaly-alert", "0.0", "--churn-alert", "2.0"])
+    alerts = publish.read_published(spark, f"{data}/serving", "alerts")
+    assert {r["alert_type"] for r in alerts.collect()} == {"anomaly"} and alerts.count() == customers
     main(["publish", "--data", data])
     assert publish.read_published(spark, f"{data}/serving", "churn_scores").count() == customers
     matrix.write.parquet(f"{data}/feature_matrix_reference")
     main(["monitor", "--data", data])
     main(["monitor", "--data", data])
     assert "completed" in capsys.readouterr().out
+    main(["score", "--data", data, "--anomaly-threshold", "0.0", "--churn-threshold", "2.0"])
+    assert spark.read.parquet(f"{data}/anomaly_scores").where("anomaly_flag <> 'anomalous'").count() == 0
+    assert spark.read.parquet(f"{data}/churn_scores").where("predicted_churn").count() == 0
+    main(["clean", "--raw", raw_dir, "--data", data, "--statuses", "shipped"])
+    assert {r["order_status"] for r in spark.read.parquet(f"{data}/orders_clean").collect()} <= {"shipped"}
+
+
+def test_a_run_clears_its_folder(spark):
+    with run_folder(spark) as folder:
+        stored = materialise(spark.range(5).toDF("id"), "five")
+        assert stored.count() == 5 and stored.inputFiles()[0].startswith(folder if "://" in folder else "file:")
+        path = folder.removeprefix("file://").removeprefix("file:")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
 
 
 def test_features_need_raw_files():
