@@ -37,12 +37,18 @@ def running_totals(
     totals = ranged.groupBy("_part", *by).agg(*[F.sum(w).alias(w) for w in weights])
     # One row per range partition (and group): bounded by the shuffle partition count.
     across = Window.partitionBy(*by).orderBy("_part")
+    # Groups may be null, so rows meet their offsets by null-safe equality.
     offsets = totals.select(
-        "_part", *by, *[(F.sum(w).over(across) - F.col(w)).alias(f"_{w}_offset") for w in weights]
+        F.col("_part").alias("_at"),
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        *[(F.sum(w).over(across) - F.col(w)).alias(f"_{w}_offset") for w in weights],
     )
+    own = F.col("_part") == F.col("_at")
+    for c in by:
+        own = own & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
     return (
         ranged.select("*", *[F.sum(w).over(inside).alias(f"_{w}_through") for w in weights])
-        .join(F.broadcast(offsets), ["_part", *by])
+        .join(F.broadcast(offsets), own)
         .select(
             *df.columns,
             *[
