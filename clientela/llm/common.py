@@ -16,8 +16,19 @@ BLANKS = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 
 
-def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+# Bytes of an Arrow batch, about: tasks hold a few batches, as bytes and as Python objects, however long texts are.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 6 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session: the package on the executors, batches of bounded size."""
     ship_package(spark)
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +25,7 @@ BPE = 2
 # Code points of text handled at a time, of new words indexed at a time, and words remembered per process.
 TEXT_AT_ONCE = 4_000_000
 INDEX_AT_ONCE = 600_000
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 # Rows of an Arrow batch turned into Python objects at a time.
 ROWS_AT_ONCE = 256
 # Words of more symbols are merged one by one with a heap.
@@ -302,6 +304,8 @@ class Encoder:
         return [b"".join([known[w] for w in p]) for p in parts]
 
 
+ID_FIELDS = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+
 _encoders: dict[int, Encoder] = {}
 
 
@@ -329,6 +333,38 @@ def slices(column: pa.Array):
         yield begin, held
 
 
+def encoded(batches: Batches, vocabulary: Vocabulary, rest: list[str]) -> Batches:
+    """Batches of the ``rest`` columns and a text, with ids and their number in place of the text."""
+    encoder = process_encoder(vocabulary)
+    for batch in batches:
+        for start, texts in slices(batch.column(len(rest))):
+            found = encoder.encode([t or "" for t in texts])
+            lengths = np.array([len(f) // 4 for f in found], np.int64)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            values = pa.array(np.frombuffer(b"".join(found), np.int32))
+            kept = [batch.column(i).slice(start, len(texts)) for i in range(len(rest))]
+            yield arrow_batch([*rest, "ids", "n_tokens"], [*kept, pa.ListArray.from_arrays(offsets, values), pa.array(lengths)])
+
+
+def decode_ids(ids: np.ndarray, surfaces: np.ndarray, prefix: bool) -> str:
+    """Text of piece ids; ``surfaces`` holds the bytes of every piece."""
+    data = b"".join(surfaces[ids].tolist())
+    if prefix and data.startswith(b" "):
+        data = data[1:]
+    return data.decode("utf-8", "replace")
+
+
+def decoded(batches: Batches, vocabulary: Vocabulary) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Batches with a column ``ids``, a few rows at a time, each with the texts of its rows."""
+    surfaces = np.array(vocabulary.surfaces, object)
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(start, ROWS_AT_ONCE)
+            ids = part.column("ids")
+            values, cuts = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            yield part, [decode_ids(values[a:b], surfaces, vocabulary.prefix) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def encode(docs: DataFrame, text: str = "text", model_file: str = MODEL_FILE) -> DataFrame:
     """``docs`` with ``ids`` in place of ``text`` and ``n_tokens``.
 
@@ -338,62 +374,42 @@ def encode(docs: DataFrame, text: str = "text", model_file: str = MODEL_FILE) ->
     """
     shipped = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(model_file))
     rest = [c for c in docs.columns if c not in (text, "ids", "n_tokens")]
-
-    def run(batches: Batches):
-        encoder = process_encoder(shipped.value)
-        for batch in batches:
-            for start, texts in slices(batch.column(len(rest))):
-                encoded = encoder.encode([t or "" for t in texts])
-                lengths = np.array([len(e) // 4 for e in encoded], np.int64)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-                values = pa.array(np.frombuffer(b"".join(encoded), np.int32))
-                ids = pa.ListArray.from_arrays(offsets, values)
-                kept = [batch.column(i).slice(start, len(texts)) for i in range(len(rest))]
-                yield arrow_batch([*rest, "ids", "n_tokens"], [*kept, ids, pa.array(lengths)])
-
-    fields = [docs.schema[c] for c in rest]
-    kind = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
-    return docs.select(*rest, text).mapInArrow(run, kind)
+    kind = T.StructType([*[docs.schema[c] for c in rest], *ID_FIELDS])
+    return docs.select(*rest, text).mapInArrow(lambda batches: encoded(batches, shipped.value, rest), kind)
 
 
-def decode_ids(ids: np.ndarray, surfaces: np.ndarray, prefix: bool) -> str:
-    """Text of piece ids; ``surfaces`` holds the bytes of every piece."""
-    data = b"".join(surfaces[ids].tolist())
-    if prefix and data.startswith(b" "):
-        data = data[1:]
-    return data.decode("utf-8", "replace")
-
-
-def decode(encoded: DataFrame, text: str = "text", model_file: str = MODEL_FILE) -> DataFrame:
-    """``encoded`` with ``text`` put together from ``ids``; null ids give an empty text.
+def decode(rows: DataFrame, text: str = "text", model_file: str = MODEL_FILE) -> DataFrame:
+    """``rows`` with ``text`` put together from ``ids``; null ids give an empty text.
 
     Encoding turns the sign U+2581 into a blank, so texts holding it come back with blanks; all others come back as
     they were. Byte sequences that are no UTF-8 give replacement characters.
     """
-    shipped = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(model_file))
-    rest = [c for c in encoded.columns if c != text]
-    place = rest.index("ids")
+    shipped = rows.sparkSession.sparkContext.broadcast(Vocabulary.read(model_file))
+    rest = [c for c in rows.columns if c != text]
 
     def run(batches: Batches):
-        v = shipped.value
-        surfaces = np.array(v.surfaces, object)
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(start, ROWS_AT_ONCE)
-                ids = part.column(place)
-                values, cuts = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-                texts = [decode_ids(values[a:b], surfaces, v.prefix) for a, b in zip(cuts, cuts[1:], strict=False)]
-                kept = [part.column(i) for i in range(len(rest))]
-                yield arrow_batch([*rest, text], [*kept, pa.array(texts, pa.string())])
+        for part, texts in decoded(batches, shipped.value):
+            yield arrow_batch([*rest, text], [*part.columns, pa.array(texts, pa.string())])
 
-    kind = T.StructType([*[encoded.schema[c] for c in rest], T.StructField(text, T.StringType())])
-    return encoded.select(*rest).mapInArrow(run, kind)
+    kind = T.StructType([*[rows.schema[c] for c in rest], T.StructField(text, T.StringType())])
+    return rows.select(*rest).mapInArrow(run, kind)
 
 
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", model_file: str = MODEL_FILE) -> DataFrame:
-    """``key, ids, n_tokens, text_sha256`` (of the decoded text) and ``exact``: it equals the source."""
-    source = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    rows = docs.select(F.col(key).alias("_id"), source.alias("_source"), F.col(text).alias("text"))
-    back = decode(encode(rows, "text", model_file), "text", model_file)
-    found = F.sha2(F.col("text").cast("binary"), 256)
-    return back.select(F.col("_id").alias(key), "ids", "n_tokens", found.alias("text_sha256"), (found == F.col("_source")).alias("exact"))
+    """``key, ids, n_tokens, text_sha256`` (of the decoded text) and ``exact``: it equals the source.
+
+    Encoding and decoding run in one Python process per task, so ids do not travel in between.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(model_file))
+    source = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("source")
+
+    def run(batches: Batches):
+        v = shipped.value
+        for part, texts in decoded(encoded(batches, v, ["id", "source"]), v):
+            digests = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+            exact = pa.array([d == s for d, s in zip(digests, part.column("source").to_pylist(), strict=True)])
+            yield arrow_batch(["id", "ids", "n_tokens", "text_sha256", "exact"], [part.column(0), part.column(2), part.column(3), pa.array(digests), exact])
+
+    fields = [T.StructField("id", docs.schema[key].dataType), *ID_FIELDS, T.StructField("text_sha256", T.StringType()), T.StructField("exact", T.BooleanType())]
+    rows = docs.select(F.col(key).alias("id"), source, F.col(text).alias("text"))
+    return rows.mapInArrow(run, T.StructType(fields)).withColumnRenamed("id", key)
