@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +13,15 @@ from pyspark.sql import functions as F
 
 from clientela.functions.ranks import running_totals
 from clientela.llm.common import Batches, arrow_batch
+from clientela.session import materialise
 
 RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Word pattern that belongs to these ranks (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Blank runs beyond this are counted piecewise: the pattern's look-ahead costs a step back for each blank.
+# Runs of blanks from this length on are cut out before the pattern sees them: its look-ahead steps back over the whole
+# run, and a run of a million overflows its stack. The blanks of the pattern (a fixed value: Unicode White_Space).
 LONG_BLANKS = 10_000
+BLANK_RUNS = re.compile(r"([\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,})" % LONG_BLANKS)
 
 _encoders: dict[int, object] = {}
 
@@ -33,6 +38,22 @@ def encoder(ranks: bytes, pattern: str):
     return _encoders[number]
 
 
+def encoded_length(encoder, text: str) -> int:
+    """Number of tokens of a text.
+
+    Of a run of blanks before other text the pattern takes all but the last as one piece; at the end it takes all.
+    """
+    if len(text) < LONG_BLANKS:
+        return len(encoder.encode_ordinary(text))
+    total, parts = 0, BLANK_RUNS.split(text)
+    for i in range(1, len(parts), 2):
+        run = parts[i]
+        if parts[i + 1]:
+            run, parts[i + 1] = run[:-1], run[-1] + parts[i + 1]
+        total += len(encoder._encode_single_piece(run.encode()))
+    return total + sum(len(encoder.encode_ordinary(p)) for p in parts[::2])
+
+
 def read_file(spark: SparkSession, path: str) -> bytes:
     """A vocabulary file as the driver sees it (about 1 MB), to be broadcast: executors need no copy of their own."""
     with open(path, "rb") as file:
@@ -46,9 +67,9 @@ def encoded_lengths(docs: DataFrame, text: str = "text", by: Sequence[str] = (),
     by = list(by)
 
     def count(batches: Batches):
-        encode = encoder(shipped.value, PATTERN).encode_ordinary
+        tokenizer = encoder(shipped.value, PATTERN)
         for batch in batches:
-            lengths = [len(encode(t)) if t else 0 for t in batch.column(len(by)).to_pylist()]
+            lengths = [encoded_length(tokenizer, t) if t else 0 for t in batch.column(len(by)).to_pylist()]
             yield arrow_batch([*by, "length"], [*[batch.column(i) for i in range(len(by))], pa.array(lengths, pa.int64())])
 
     kind = docs.select(*by, F.lit(0).cast("long").alias("length")).schema
@@ -61,7 +82,8 @@ def length_histogram(docs: DataFrame, text: str = "text", by: Sequence[str] = ()
     Counted on the map side, so a source with a third of all rows costs no more than any other.
     """
     lengths = encoded_lengths(docs, text, by, ranks_file)
-    return lengths.groupBy(*by, "length").agg(F.count(F.lit(1)).alias("n_docs"))
+    # Written, since all answers read it again: the texts are encoded once.
+    return materialise(lengths.groupBy(*by, "length").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
 
 
 def context_limits(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -73,9 +95,15 @@ def context_limits(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     weighed = histogram.withColumn("tokens", F.col("n_docs") * F.col("length"))
     summed = running_totals(weighed, [F.desc("length")], ["n_docs", "tokens"], by=by)
-    totals = histogram.groupBy(*by).agg(F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("length")).alias("all_tokens"))
-    # One row for each group, at most as many as the ``by`` columns have values.
-    joined = summed.join(totals, list(by)) if by else summed.select("*", totals.select("docs").scalar().alias("docs"), totals.select("all_tokens").scalar().alias("all_tokens"))
+    totals = histogram.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
+        F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("length")).alias("all_tokens")
+    )
+    # One row for each group (null is one), at most as many as the ``by`` columns have values.
+    if by:
+        same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+        joined = summed.join(totals, reduce(lambda a, b: a & b, same))
+    else:
+        joined = summed.select("*", *[totals.select(c).scalar().alias(c) for c in ("docs", "all_tokens")])
     longer, tokens = F.col("n_docs_before"), F.col("tokens_before")
     return joined.select(
         *by,
