@@ -25,9 +25,10 @@ BLOCK_DOCUMENTS = 64
 DENSE_SHARE = 1 / 24
 # Query terms of one pass: a pass broadcasts that many (16 bytes each) and searches all shards with them.
 TERMS_AT_ONCE = 4_000_000
-QUERIES_AT_ONCE = 64
+QUERIES_AT_ONCE = 128
 # Seeds: one document in so many is searched first, and its k-th best score bounds every other shard from the start.
-SEED_EVERY = 64
+# About k times this many documents of the whole table reach that score, so a query's rows do not grow with the shards.
+SEED_EVERY = 8
 # Allowed error of the 32-bit block scores; whoever may be in the top k is scored again in 64 bits.
 TOLERANCE = 1e-4
 DIGITS = 6
@@ -141,13 +142,15 @@ class Shard:
         first = [int(t[np.argmax(i / idf[t])]) if len(t) else -1 for t, i in zip(doc_terms, impacts, strict=True)]
         order = np.lexsort((ids, first))
         self.ids = ids[order]
-        self.doc_terms = [doc_terms[i] for i in order]
-        self.doc_impacts = [impacts[i] for i in order]
         size = len(order)
         self.blocks = -(-size // BLOCK_DOCUMENTS)
-        terms = np.concatenate(self.doc_terms)
-        values = np.concatenate(self.doc_impacts).astype(np.float32)
-        docs = np.repeat(np.arange(size), [len(t) for t in self.doc_terms])
+        # Document by document, for exact scores.
+        self.doc_terms = np.concatenate([doc_terms[i] for i in order])
+        self.doc_impacts = np.concatenate([impacts[i] for i in order])
+        counts = np.array([len(doc_terms[i]) for i in order])
+        self.doc_starts = np.concatenate([[0], np.cumsum(counts)])
+        terms, values = self.doc_terms, self.doc_impacts.astype(np.float32)
+        docs = np.repeat(np.arange(size), counts)
         by_term = np.argsort(terms, kind="stable")
         terms, values, docs = terms[by_term], values[by_term], docs[by_term]
         own, lengths = np.unique(terms, return_counts=True)
@@ -179,9 +182,12 @@ class Shard:
         inside = np.arange(counts.sum()) + np.repeat(starts[place] - np.cumsum(counts) + counts, counts)
         return np.bincount(at[inside], values[inside] * np.repeat(weights, counts), minlength=size)
 
-    def exact(self, doc: int, weights: np.ndarray) -> float:
-        """64-bit score, added up in the order of the terms."""
-        return float(weights[self.doc_terms[doc]] @ self.doc_impacts[doc])
+    def exact(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """64-bit scores, each added up in the order of the document's terms."""
+        counts = self.doc_starts[docs + 1] - self.doc_starts[docs]
+        starts = np.cumsum(counts) - counts
+        inside = np.arange(counts.sum()) + np.repeat(self.doc_starts[docs] - starts, counts)
+        return np.add.reduceat(weights[self.doc_terms[inside]] * self.doc_impacts[inside], starts)
 
 
 class Top:
@@ -224,11 +230,15 @@ def search_shard(shard: Shard, queries: Queries, weights: np.ndarray, tops: list
         used = np.nonzero(alive.any(axis=0))[0]
         if not len(used):
             continue
-        columns = (used[:, None] * BLOCK_DOCUMENTS + np.arange(BLOCK_DOCUMENTS)).ravel()
         rows = np.nonzero(alive.any(axis=1))[0]
-        scores = dense[rows] @ (shard.dense if len(used) == shard.blocks else shard.dense[:, columns])
+        # Blocks that are alike stand together, so the living ones are mostly one stretch, which needs no copy.
+        stretch = np.arange(used[0], used[-1] + 1)
+        blocks = stretch if len(stretch) <= 1.25 * len(used) else used
+        columns = (blocks[:, None] * BLOCK_DOCUMENTS + np.arange(BLOCK_DOCUMENTS)).ravel()
+        picked = slice(columns[0], columns[-1] + 1) if blocks is stretch else columns
+        scores = dense[rows] @ shard.dense[:, picked]
         for line, row in enumerate(rows):
-            score = scores[line] + shard.lists(*sparse[row], shard.starts, shard.docs, shard.values, width)[columns]
+            score = scores[line] + shard.lists(*sparse[row], shard.starts, shard.docs, shard.values, width)[picked]
             least = floor[row]
             hits = np.nonzero((score >= least) & (score > 0))[0]
             if len(hits) > k:
@@ -241,7 +251,8 @@ def search_shard(shard: Shard, queries: Queries, weights: np.ndarray, tops: list
             full[terms] = weight
             docs = columns[hits]
             docs = docs[docs < len(shard.ids)]
-            tops[group[row]].offer([(round(shard.exact(d, full), DIGITS), int(shard.ids[d])) for d in docs], k)
+            exact = np.round(shard.exact(docs, full), DIGITS)
+            tops[group[row]].offer(list(zip(exact.tolist(), shard.ids[docs].tolist(), strict=True)), k)
             full[terms] = 0
 
 
@@ -311,6 +322,8 @@ def top_k(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
         totals = statistics(docs, text, block.vocabulary)
         none = np.zeros(len(block.ids))
         seeds = docs.where(F.pmod(F.xxhash64(F.col(key)), F.lit(SEED_EVERY)) == 0)
+        # Whole shards: every task searches with all queries, so small parts would cost most.
+        seeds = seeds.repartition(max(1, totals[0] // (SEED_EVERY * SHARD_DOCUMENTS)))
         first = merged(search_pass(seeds, key, text, block, totals, none, k), k)
         # The k-th best among the seeds: one row for a query of the block.
         reached = first.where(F.col("rank") == k).select("query", "score").toArrow()

@@ -88,8 +88,8 @@ def test_blocks_below_the_bound_are_skipped():
     impacts = [np.array([1.0, 1.0])] * 64 + [np.array([0.1, 0.1])] * 64
     shard = search.Shard(np.arange(128), terms, impacts, idf)
     queries = search.Queries(np.array([1]), np.arange(6), np.array([0, 4]), np.array([0, 1, 4, 5], np.int32), np.ones(4, np.int32))
-    scored = []
-    shard.exact = lambda d, w: scored.append(d) or float(w[shard.doc_terms[d]] @ shard.doc_impacts[d])
+    scored, exact = [], shard.exact
+    shard.exact = lambda docs, weights: scored.extend(docs.tolist()) or exact(docs, weights)
     top = search.Top(1.5)
     search.search_shard(shard, queries, np.ones(4), [top], 3)
     assert [r for _, r in top.rows] == [0, 1, 2]
