@@ -65,10 +65,10 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).repartition("m")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).repartition(F.xxhash64("u"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         current = materialise(large, "large-star")
-        low = current.groupBy("u").agg(F.min("v").alias("m")).repartition("m")
+        low = current.groupBy("u").agg(F.min("v").alias("m")).repartition(F.xxhash64("u"))
         joined = current.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()

@@ -68,7 +68,7 @@ def drop_shared_lines(
         .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("kept"))
         .where(F.col("n") >= min_documents)
         # Dealt anew, so that the join has two plain shuffles and adaptive execution can split a line many hold.
-        .repartition("kept")
+        .repartition(F.xxhash64("hash"))
     )
     drops = (
         holders.join(shared, "hash")
