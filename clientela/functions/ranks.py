@@ -120,6 +120,17 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     return sums.select(F.try_divide(F.col("wins").cast("double") / 2.0, pairs).alias("roc_auc"))
 
 
+def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
+    """One row ``auc_pr``: precision at each score, weighted by the positives that score adds; null without positives."""
+    counts = df.groupBy((-F.col(score)).alias("_falling")).agg(
+        F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
+    )
+    ranked = running_totals(counts, ["_falling"], ["pos", "n"])
+    found, seen = F.col("pos_before") + F.col("pos"), F.col("n_before") + F.col("n")
+    weighed = F.col("pos") * found.cast("double") / seen
+    return ranked.agg(F.try_divide(F.sum(weighed), F.sum("pos").cast("double")).alias("auc_pr"))
+
+
 def ks_distance(first: DataFrame, second: DataFrame, column: str) -> DataFrame:
     """One row ``ks_statistic, n_first, n_second``: largest gap of the two ECDFs."""
 

@@ -739,6 +739,11 @@ FROM (SELECT churned, avg(pos) OVER (PARTITION BY churn_probability) AS rk,
              sum(churned) OVER () AS p, sum(1 - churned) OVER () AS n
       FROM (SELECT churned, churn_probability, row_number() OVER (ORDER BY churn_probability) AS pos FROM labelled))
 GROUP BY p, n"""
+for _name, _score in (("c6_average_precision", "churn_probability"), ("c6_average_precision_with_ties", "round(churn_probability, 1)")):
+    Q[_name] = f"""
+SELECT round(sum(pos * found / seen) / sum(pos), 6) AS auc_pr
+FROM (SELECT pos, CAST(sum(pos) OVER (ORDER BY s DESC) AS DOUBLE) AS found, sum(n) OVER (ORDER BY s DESC) AS seen
+      FROM (SELECT {_score} AS s, sum(churned) AS pos, count(*) AS n FROM labelled GROUP BY 1))"""
 Q["c7_threshold_metrics"] = """
 SELECT round(2.0 * tp / (2 * tp + fp + fn), 6) AS f1, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision,
        round(CAST(tp AS DOUBLE) / (tp + fn), 6) AS recall

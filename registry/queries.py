@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.functions.columns import missing_values
 from clientela.functions.privacy import is_valid_hash, pseudonymize, pseudonymize_customers
-from clientela.functions.ranks import exact_quantiles, ks_distance, roc_auc
+from clientela.functions.ranks import average_precision, exact_quantiles, ks_distance, roc_auc
 from clientela.operators import (
     anomaly,
     churn,
@@ -595,6 +595,17 @@ def c6_roc_auc(t: Inputs) -> DataFrame:
     return rounded(roc_auc(t.scored_labels, "churn_probability", "churned"))
 
 
+@query
+def c6_average_precision(t: Inputs) -> DataFrame:
+    return rounded(average_precision(t.scored_labels, "churn_probability", "churned"))
+
+
+@query
+def c6_average_precision_with_ties(t: Inputs) -> DataFrame:
+    """The same with scores rounded to one digit, so that many customers share one."""
+    return rounded(average_precision(t.scored_labels.withColumn("s", F.round("churn_probability", 1)), "s", "churned"))
+
+
 @query
 def c7_threshold_metrics(t: Inputs) -> DataFrame:
     return rounded(churn.threshold_metrics(t.scored_labels, "churn_probability"))

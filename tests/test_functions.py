@@ -190,6 +190,19 @@ def test_fixed_prints_any_number(spark, digits):
         assert row["t"] == f"{row['v']:.{digits}f}"
 
 
+def test_average_precision(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 30) / 30, int(rng.random() < 0.3)) for _ in range(500)]
+    total, area, seen, found = sum(y for _, y in rows), 0.0, 0, 0
+    for score in sorted({s for s, _ in rows}, reverse=True):
+        tied = [y for s, y in rows if s == score]
+        seen, found = seen + len(tied), found + sum(tied)
+        area += sum(tied) / total * found / seen
+    df = spark.createDataFrame(rows, "p double, y int").repartition(5)
+    assert ranks.average_precision(df, "p", "y").first()["auc_pr"] == pytest.approx(area)
+    assert ranks.average_precision(df.where("y = 0"), "p", "y").first()["auc_pr"] is None
+
+
 # --- hot keys ------------------------------------------------------------------------
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_spread_join_equals_plain_join(spark, tmp_path, how):
