@@ -75,9 +75,71 @@ SELECT query_id, doc_id, score, rank::INTEGER AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10
 """
 
+# Patterns of the secret scan for an engine without look-around: whole runs first, conditions on them after.
+_KEYWORD = "|".join(
+    "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token", "api_?key")
+)
+_LEAD = "(?:" + _KEYWORD + r")[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?"
+_SECRET_RUNS = {
+    # name: kind number, pattern of a run, condition on the run r
+    "assign": (0, _LEAD + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(r, '^{_LEAD}', '')) >= 6"),
+    "access": (1, "AKIA[A-Z0-9]+", "length(r) >= 20"),
+    "hex": (2, "[0-9a-f]{24,}", "true"),
+    "weak_id": (3, "[A-Za-z0-9_]+", "regexp_full_match(r, '[A-Z][A-Z0-9]{15,31}') AND regexp_matches(r[2:32], '[0-9]')"),
+    "weak_secret": (
+        4,
+        "[A-Za-z0-9+/_=-]+",
+        "regexp_full_match(r, '[A-Za-z0-9+/_-]{20,88}={0,2}') AND regexp_matches(r[:61], '[0-9]')"
+        " AND regexp_matches(r[:61], '[A-Z]') AND regexp_matches(r[:61], '[a-z]')",
+    ),
+    "endpoint": (5, "[Hh][Tt][Tt][Pp][Ss]?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?", "true"),
+}
+
+
+def _runs(name: str) -> str:
+    """Spans of one kind: the texts between matches, and the matches before, add up to a start."""
+    number, pattern, condition = _SECRET_RUNS[name]
+    return f"""
+SELECT doc_id, {number} AS kind, a AS "start", a + length(r) AS "end" FROM (
+  SELECT doc_id, m[i] AS r,
+         length(array_to_string(g[1:i], '')) + coalesce(length(array_to_string(m[1:i - 1], '')), 0) AS a
+  FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+    SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_split_to_array(t, '{pattern}') AS g FROM texts)))
+WHERE {condition}"""
+
+
+_NAME = "['assign', 'access', 'hex', 'weak_id', 'weak_secret', 'endpoint'][kind + 1]"
+_LISTED = f"""string_agg({_NAME} || ':' || "start"::BIGINT || ':' || "end"::BIGINT, ',' ORDER BY "start", kind, "end")"""
+SECRETS = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({" UNION ALL ".join(_runs(n) for n in ("assign", "access", "hex"))}),
+weak AS (
+  SELECT w.* FROM ({" UNION ALL ".join(_runs(n) for n in ("weak_id", "weak_secret", "endpoint"))}) w
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b."start" < w."end" AND w."start" < b."end")
+),
+parts AS (
+  SELECT *, CASE WHEN kind IN (0, 2, 4) THEN 'secret' WHEN kind IN (1, 3) THEN 'id' ELSE 'endpoint' END AS role
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM weak)
+),
+added AS (
+  SELECT w.doc_id, w.kind, w."start", w."end" FROM weak w JOIN parts p
+  ON p.doc_id = w.doc_id AND abs(p."start" - w."start") <= 240
+  GROUP BY ALL
+  HAVING CASE w.kind WHEN 3 THEN bool_or(p.role = 'secret') WHEN 4 THEN bool_or(p.role = 'id')
+         ELSE bool_or(p.role = 'secret') AND bool_or(p.role = 'id') END
+),
+b AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+             count(*) FILTER (kind = 2) AS n_hex, {_LISTED} AS listed FROM base GROUP BY 1),
+e AS (SELECT doc_id, {_LISTED} AS listed FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b.listed, '')) AS base_sha256, coalesce(e.listed, '') AS spans
+FROM texts LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op5_search": SEARCH,
     "op6_warc": WARC,
     "op7_decontaminate": DECONTAMINATE,
+    "op9_secrets": SECRETS,
 }

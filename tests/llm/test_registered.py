@@ -21,7 +21,7 @@ def test_every_operator_has_one_query():
     assert len(corpus_pipeline.STAGES) == 5
 
 
-@pytest.mark.parametrize("name", ["op3_line_dedup", "op5_search", "op6_warc", "op7_decontaminate"])
+@pytest.mark.parametrize("name", ["op3_line_dedup", "op5_search", "op6_warc", "op7_decontaminate", "op9_secrets"])
 def test_queries_match_sql(spark, name):
     assert differences(entry.queries()[name](spark, FOLDER), connect(FOLDER), entry.oracle_sql()[name]) == []
 

@@ -2,11 +2,13 @@
 
 import random
 import re
+import shutil
 from collections import Counter
 
+from compare import connect, differences
 from rows import DOCS, docs_table, prose
 
-from clientela.llm import pii, secret_scan
+from clientela.llm import oracle, pii, queries, secret_scan
 
 
 def luhn(digits):
@@ -131,6 +133,17 @@ def test_scope_border_is_exact(spark):
         assert bool(r["added"]) == near
 
 
+def test_secrets_query_matches_sql(spark, tmp_path):
+    """On texts that hold every kind, near and far."""
+    bits = [*SECRET_BITS, ACCESS, WEAK_SECRET, WEAK_ID, URL, "token: abcdef99", " filler" * 30, " x "]
+    rows = [(i, soup(i, bits, 25)) for i in range(150)] + [(500, None), (501, "")]
+    docs_table(spark, rows, clash=False).coalesce(1).write.parquet(str(tmp_path / "files"))
+    shutil.copy(next((tmp_path / "files").glob("part-*.parquet")), tmp_path / "documents.parquet")
+    found = queries.op9_secrets(spark, str(tmp_path))
+    assert differences(found, connect(str(tmp_path)), oracle.ORACLES["op9_secrets"]) == []
+    assert found.where("spans like '%weak_secret%'").count() > 5 and found.where("spans like '%endpoint%'").count() > 5
+
+
 def test_empty_tables(spark):
     assert pii.find_personal_data(docs_table(spark, [])).count() == 0
     assert secret_scan.find_secrets(docs_table(spark, [])).count() == 0
