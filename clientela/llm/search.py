@@ -69,7 +69,8 @@ def query_blocks(queries: DataFrame, key: str, text: str):
                 ],
             )
 
-    rows = queries.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), text)
+    # A repeated row is one query.
+    rows = queries.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), text).distinct()
     stored = rows.mapInArrow(scan, "id long, terms binary, counts binary, size long")
     # Words in the order of a hash: the running count of terms cuts blocks; a block is a range of that order.
     stored = materialise(stored.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(1 << 20))), "query-terms")
@@ -142,6 +143,9 @@ class Shard:
         first = [int(t[np.argmax(i / idf[t])]) if len(t) else -1 for t, i in zip(doc_terms, impacts, strict=True)]
         order = np.lexsort((ids, first))
         self.ids = ids[order]
+        # Place of every document among the different ids, if any id is repeated.
+        different, places = np.unique(self.ids, return_inverse=True)
+        self.different, self.places = len(different), places if len(different) < len(ids) else None
         size = len(order)
         self.blocks = -(-size // BLOCK_DOCUMENTS)
         # Document by document, for exact scores.
@@ -189,15 +193,23 @@ class Shard:
         inside = np.arange(counts.sum()) + np.repeat(self.doc_starts[docs] - starts, counts)
         return np.add.reduceat(weights[self.doc_terms[inside]] * self.doc_impacts[inside], starts)
 
+    def kth_best(self, docs: np.ndarray, scores: np.ndarray, k: int) -> float:
+        """The k-th best of positive scores, the best one of each id; 0 if there are fewer ids."""
+        if self.places is not None:
+            best = np.zeros(self.different, scores.dtype)
+            np.maximum.at(best, self.places[docs], scores)
+            scores = best[best > 0]
+        return np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
+
 
 class Top:
-    """The k best of a query so far: higher score first, then smaller id."""
+    """The k best of a query so far: higher score first, then smaller id; repeated ones count once."""
 
     def __init__(self, bound: float):
         self.bound, self.rows = bound, []
 
     def offer(self, rows: list[tuple[float, int]], k: int) -> None:
-        self.rows = sorted([*self.rows, *rows], key=lambda r: (-r[0], r[1]))[:k]
+        self.rows = sorted({*self.rows, *rows}, key=lambda r: (-r[0], r[1]))[:k]
         if len(self.rows) == k:
             self.bound = max(self.bound, self.rows[-1][0])
 
@@ -242,7 +254,7 @@ def search_shard(shard: Shard, queries: Queries, weights: np.ndarray, tops: list
             least = floor[row]
             hits = np.nonzero((score >= least) & (score > 0))[0]
             if len(hits) > k:
-                kth = np.partition(score[hits], len(hits) - k)[len(hits) - k]
+                kth = shard.kth_best(columns[hits], score[hits], k)
                 least = max(least, kth * (1 - 2 * TOLERANCE) - TOLERANCE)
                 hits = hits[score[hits] >= least]
             if not len(hits):

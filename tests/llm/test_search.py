@@ -73,6 +73,24 @@ def test_copies_tie_by_id(spark):
     assert [r["id"] for r in got] == [300, 301, 302, 303] * 2
 
 
+def test_repeated_rows_take_one_place(spark, monkeypatch):
+    """One row stands more often than k in one task, in every shard and among the seeds, and as a query."""
+    monkeypatch.setattr(search, "SEED_EVERY", 1)
+    hot = (7, "the same words again and again")
+    rows = [hot] * 60 + [(20 + i, "same words " + prose(i, 4 + i)) for i in range(12)] + [hot] * 60
+    docs = docs_table(spark, rows).coalesce(1)
+    for size in (50, 8192):
+        monkeypatch.setattr(search, "SHARD_DOCUMENTS", size)
+        got = search.top_k(docs, docs_table(spark, [hot] * 30 + [rows[65]]), k=5).collect()
+        assert len(got) == 10
+        compare(got, brute(rows, [hot, rows[65]], 5))
+
+
+def test_repeated_query_rows_are_one_query(spark):
+    blocks = list(search.query_blocks(docs_table(spark, [(7, "same words")] * 30 + [(7, "other words")]), "doc_id", "text"))
+    assert [len(b.ids) for b in blocks] == [2]
+
+
 def test_nothing_to_find(spark):
     empty = docs_table(spark, [])
     assert search.top_k(empty, empty).count() == 0
