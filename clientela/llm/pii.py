@@ -6,11 +6,13 @@ The whole path is DataFrame and SQL functions and Spark ML.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clientela.llm.spans import joined, match_columns, of_kind, spans
 from clientela.session import materialise
@@ -38,8 +40,8 @@ CUES = {
     "card": "card|visa|credit|pay|account|iban",
     "phone": "phone|tel|call|fax|mobile|cell|dial",
 }
-# Candidates of each label that the trees are fitted on, at most, in the order of a hash; smaller tables than
-# LEAST_ROWS of either label give no model and no further spans.
+# Candidates of each label that the trees are fitted on, at most, in equal parts by kind, each in the order of a hash;
+# smaller tables than LEAST_ROWS of either label give no model and no further spans.
 FIT_ROWS = 20_000
 LEAST_ROWS = 40
 TREES, DEPTH = 20, 4
@@ -164,20 +166,37 @@ def fit(candidates: DataFrame) -> SpanModel | None:
 
     Base spans are the known positives. Other candidates may be personal data too, so a score estimates the chance of
     being *known*; the chance of being positive is that divided by the mean score of known positives (Elkan and Noto
-    2008). A kind's threshold is half of that mean, measured on candidates that the trees have not seen.
+    2008). A kind's threshold is half of that mean, over all known positives that the trees have not seen: one in four
+    of the sample, the first of each kind included, and all outside it. So every kind with a known positive has one.
     """
     order = F.xxhash64("row", "start", "end", "kind")
     labelled = candidates.where("label is not null").withColumn("o", order)
-    halves = [labelled.where(F.col("label") == value).orderBy("o", "row", "start").limit(FIT_ROWS) for value in (0, 1)]
+    most = FIT_ROWS // len(KINDS)
+
+    def part(label: int, kind: int) -> DataFrame:
+        rows = labelled.where((F.col("label") == label) & (F.col("kind") == kind))
+        return rows.orderBy("o", "row", "start", "end").limit(most)
+
     # At most 2 * FIT_ROWS rows.
-    sample = materialise(halves[0].unionByName(halves[1]), "pii-sample")
+    sample = reduce(DataFrame.unionByName, [part(label, kind) for label in (0, 1) for kind in range(len(KINDS))])
+    place = F.row_number().over(Window.partitionBy("label", "kind").orderBy("o", "row", "start", "end"))
+    sample = materialise(sample.withColumn("place", place), "pii-sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if min(sizes.get(0, 0), sizes.get(1, 0)) < LEAST_ROWS:
         return None
-    rows = sample.select("kind", "o", F.col("label").cast("double").alias("label"), array_to_vector("features").alias("vector"))
-    unseen = F.pmod("o", F.lit(4)) == 0
-    trees = GBTClassifier(featuresCol="vector", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(rows.where(~unseen))
-    scored = trees.transform(rows.where(unseen & (F.col("label") == 1)))
+    unseen = F.col("place") % 4 == 1
+    vector = array_to_vector("features").alias("vector")
+    rows = sample.where(~unseen).select(F.col("label").cast("double").alias("label"), vector)
+    trees = GBTClassifier(featuresCol="vector", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(rows)
+    known = F.col("label") == 1
+    # One row per kind: where the sample ends, if the kind fills its part of it.
+    ends = sample.where(known).groupBy("kind").agg(F.max("o").alias("o"), F.max("place").alias("n")).collect()
+    outside = F.lit(False)
+    for end in ends:
+        if end["n"] == most:
+            outside = outside | ((F.col("kind") == end["kind"]) & (F.col("o") > end["o"]))
+    others = labelled.where(known & outside).select("kind", vector)
+    scored = trees.transform(sample.where(known & unseen).select("kind", vector).unionByName(others))
     means = scored.groupBy("kind").agg(F.avg(chance()).alias("mean")).collect()  # one row per kind
     return SpanModel(trees, {r["kind"]: max(0.3, r["mean"] / 2) for r in means})
 
