@@ -206,7 +206,7 @@ def chance() -> Column:
 
 
 def further_spans(candidates: DataFrame, model: SpanModel) -> DataFrame:
-    """``row, added``: candidates over their kind's threshold; of overlapping ones the best stays."""
+    """``row, added``: candidates over their kind's threshold, best first, each that overlaps none kept so far."""
     rows = candidates.where(F.col("label") == 0).withColumn("vector", array_to_vector("features"))
     limit = F.lit(None).cast("double")
     for kind, value in model.thresholds.items():
@@ -214,11 +214,13 @@ def further_spans(candidates: DataFrame, model: SpanModel) -> DataFrame:
     taken = model.trees.transform(rows).select("row", "kind", "start", "end", chance().alias("score")).where(F.col("score") >= limit)
     # Best first: score, length, earlier start, kind.
     rank = F.struct(F.col("score"), F.col("end") - F.col("start"), -F.col("start"), -F.col("kind"))
-    grouped = taken.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", rank.alias("rank"))).alias("all"))
-    best = F.filter(
-        "all",
-        lambda s: ~F.exists("all", lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & (o["rank"] > s["rank"])),
-    )
+    grouped = taken.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "kind", "start", "end")), False).alias("all"))
+
+    def keep(kept: Column, s: Column) -> Column:
+        overlaps = F.exists(kept, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+        return F.when(overlaps, kept).otherwise(F.concat(kept, F.array(s)))
+
+    best = F.aggregate("all", F.filter("all", lambda s: F.lit(False)), keep)
     return grouped.select("row", of_any(best).alias("added"))
 
 
