@@ -9,6 +9,10 @@ from clientela.llm import decontaminate, line_dedup, pieces, quality, simhash
 from clientela.llm.common import load
 from clientela.session import materialise
 
+SHINGLE, SIMILAR = 5, 0.8
+# Fingerprints of a pair of similarity 0.8 differ in about 10 of 64 bits.
+REACH = 14
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 1: documents that the quality model rejects go."""
@@ -22,8 +26,8 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 3: one document of each group of near duplicates stays."""
-    return simhash.keep_one(docs)
+    """Stage 3: one document of each group of near duplicates stays (five words, similarity 0.8 or more)."""
+    return simhash.keep_one_similar(docs, SHINGLE, REACH, SIMILAR)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
