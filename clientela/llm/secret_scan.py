@@ -97,7 +97,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", scope
 
     ``base`` holds all spans of the agreed patterns. ``added`` holds weak parts that complete a credential: an access
     identifier near a secret, a secret near an identifier, an endpoint near both. Weak parts that overlap a base span
-    are left to it. Places are code points, end exclusive. Null counts as empty; an empty text has no spans; repeated
+    are left to it. By rule a weak identifier has 16 to 32 characters, a weak secret 20 to 88 besides padding, with a digit
+    and both cases among its first 61; longer runs are neither. Places are code points, end exclusive. Null counts as empty; an empty text has no spans; repeated
     rows each get their row. Other columns are ignored.
     """
     scanned = scan(docs, key, text)
