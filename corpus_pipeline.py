@@ -1,4 +1,11 @@
-"""The document pipeline: quality, shared lines, near duplicates, benchmark passages, tokens."""
+"""The document pipeline: quality, shared lines, near duplicates, benchmark passages, tokens.
+
+Null texts count as empty throughout. An empty text is scored like any other (stage 1), is one empty line (2), has the
+fingerprint zero, so that one of all texts without words stays (3), holds no passage (4) and has no pieces (5). Repeated
+rows are separate rows until stage 3, which keeps one. Rows with a null ``doc_id`` go on like others; in stage 3 one
+stays only where its group has no other. Ties are broken by key, then text hash. Empty tables give empty results:
+without labels nothing is rejected, without a benchmark nothing is contaminated.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +16,6 @@ from clientela.llm import decontaminate, line_dedup, pieces, quality, simhash
 from clientela.llm.common import load
 from clientela.session import materialise
 
-SHINGLE, SIMILAR = 5, 0.8
-# Fingerprints of a pair of similarity 0.8 differ in about 10 of 64 bits.
-REACH = 14
-
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 1: documents that the quality model rejects go."""
@@ -26,8 +29,8 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 3: one document of each group of near duplicates stays (five words, similarity 0.8 or more)."""
-    return simhash.keep_one_similar(docs, SHINGLE, REACH, SIMILAR)
+    """Stage 3: one document of each group of near duplicates stays (shingles of three words, 3 bits at most)."""
+    return simhash.keep_one(docs, shingle=simhash.SHINGLE, reach=simhash.DISTANCE)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
