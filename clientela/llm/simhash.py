@@ -30,13 +30,6 @@ VANTAGE_TRIES = 6
 SHINGLES_AT_ONCE = 1 << 14
 
 
-def shingles(data: bytes, shingle: int) -> np.ndarray:
-    """Sorted hashes of the different shingles, with words as in :func:`fingerprint`."""
-    words = data.lower().split()
-    parts = {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else set()
-    return np.sort(np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in parts), np.uint64, len(parts)))
-
-
 def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     """64 bits; one is set when it is set in over half of the shingles' hashes, repeats included.
 
@@ -191,23 +184,6 @@ def linked_in_shard(members: np.ndarray, visitors: np.ndarray, reach: int) -> li
     return [(int(fps[a]), int(fps[b])) for a, b in forest.pairs]
 
 
-def crossing_in_shard(
-    members: np.ndarray, visitors: np.ndarray, reach: int, own_groups: np.ndarray, visiting_groups: np.ndarray
-) -> list[np.ndarray]:
-    """Places (among members, then visitors) of all pairs (any, member) within ``reach`` that are of different groups."""
-    fps, groups = np.concatenate([members, visitors]), np.concatenate([own_groups, visiting_groups])
-    found = [np.zeros((0, 2), np.int64)]
-    step = max(1, BLOCK // max(1, len(members)))
-    for start in range(0, len(fps), step):
-        part = slice(start, start + step)
-        i, j = np.nonzero(np.bitwise_count(fps[part][:, None] ^ members[None, :]) <= reach)
-        i += start
-        # A pair of members meets twice.
-        once = (groups[i] != own_groups[j]) & ((i >= len(members)) | (i < j))
-        found.append(np.stack([i[once], j[once]], axis=1))
-    return found
-
-
 def fit_top(sample: np.ndarray, shards: int) -> tuple:
     """Top of the tree: nested (split, near, far) with shard numbers as leaves."""
     numbers = iter(range(1 << 30))
@@ -239,14 +215,13 @@ def deal_to_shards(top, fps: np.ndarray, reach: int):
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
-def links(distinct: DataFrame, reach: int = DISTANCE, groups: bool = False) -> DataFrame:
+def links(distinct: DataFrame, reach: int = DISTANCE) -> DataFrame:
     """``a, b``: links between different fingerprints (column ``fp``) that connect all within ``reach`` bits.
 
     Top of a vantage-point tree, fitted on a bounded sample, deals every fingerprint to one shard, and those near a
     border to the shards across it as visitors; every shard then searches its own tree. All fingerprints are
     indexed; only which points serve as vantage points comes from the sample. A shard returns a spanning forest of
-    its links, so a group of g near copies costs it g - 1 rows, not g^2. With ``groups`` (column ``grp``) the result is
-    ``a, a_grp, b, b_grp``: all links between different groups.
+    its links, so a group of g near copies costs it g - 1 rows, not g^2.
     """
     shards = max(1, math.ceil(distinct.count() / SHARD_MEMBERS))
     wanted = min(SAMPLE_MOST, SAMPLE_PER_SHARD * shards)
@@ -261,9 +236,7 @@ def links(distinct: DataFrame, reach: int = DISTANCE, groups: bool = False) -> D
                 continue
             fps = batch.column(0).to_numpy(zero_copy_only=False)
             shard, at, member = deal_to_shards(top, fps.view(np.uint64), reach)
-            more = [batch.column(1).take(pa.array(at))] if groups else []
-            names = ["shard", "fp", "member", *["grp" for _ in more]]
-            yield arrow_batch(names, [pa.array(shard, pa.int32()), pa.array(fps[at]), pa.array(member), *more])
+            yield arrow_batch(["shard", "fp", "member"], [pa.array(shard, pa.int32()), pa.array(fps[at]), pa.array(member)])
 
     def search(group: pa.Table) -> pa.Table:
         fps = group.column("fp").to_numpy().view(np.uint64)
@@ -271,17 +244,6 @@ def links(distinct: DataFrame, reach: int = DISTANCE, groups: bool = False) -> D
         pairs = np.array(linked_in_shard(fps[member], fps[~member], reach), np.uint64).reshape(-1, 2).view(np.int64)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    def cross(group: pa.Table) -> pa.Table:
-        member = group.column("member").to_numpy()
-        order = np.concatenate([np.nonzero(member)[0], np.nonzero(~member)[0]])
-        fps, grp, n = group.column("fp").to_numpy()[order], group.column("grp").to_numpy()[order], int(member.sum())
-        bits = fps.view(np.uint64)
-        at = np.concatenate(crossing_in_shard(bits[:n], bits[n:], reach, grp[:n], grp[n:])).T
-        return pa.table({"a": fps[at[0]], "a_grp": grp[at[0]], "b": fps[at[1]], "b_grp": grp[at[1]]})
-
-    if groups:
-        dealt = distinct.select("fp", "grp").mapInArrow(deal, "shard int, fp long, member boolean, grp long")
-        return dealt.groupBy("shard").applyInArrow(cross, "a long, a_grp long, b long, b_grp long")
     dealt = distinct.select("fp").mapInArrow(deal, "shard int, fp long, member boolean")
     return dealt.groupBy("shard").applyInArrow(search, "a long, b long")
 
@@ -307,7 +269,11 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: that with the smallest key, then text hash."""
+    """``docs`` with one row of each group of near duplicates: that with the smallest key, then text hash.
+
+    Groups as in :func:`near_duplicates`. Texts without words are alike, so one of them stays; of repeated rows one stays;
+    a row with a null key stays only where its group has no other. An empty table gives an empty one.
+    """
     found = near_duplicates(docs, key, text, **options)
     # Rows of null keys only: their fingerprint stands for the group.
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
@@ -315,95 +281,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     return only(docs, found.groupBy(group).agg(first), key, text)
 
 
-def shingle_nodes(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """``id, copy, fp, node, n`` of every row: ``node`` is a hash of the set of shingles, ``n`` its size."""
-
-    def scan(batches: Batches):
-        for batch in batches:
-            texts = raw_texts(batch.column(1))
-            parts = [shingles(t, shingle) for t in texts]
-            fps = [fingerprint(t, shingle) for t in texts]
-            nodes = np.array([xxhash.xxh64_intdigest(p.tobytes(), SEED) for p in parts], np.uint64).view(np.int64)
-            sizes = pa.array([len(p) for p in parts], pa.int64())
-            columns = [batch.column(0), batch.column(2), pa.array(fps, pa.int64()), pa.array(nodes), sizes]
-            yield arrow_batch(["id", "copy", "fp", "node", "n"], columns)
-
-    longs = [T.StructField(name, T.LongType()) for name in ("fp", "node", "n")]
-    kind = T.StructType([T.StructField("id", docs.schema[key].dataType), T.StructField("copy", T.StringType()), *longs])
-    return docs.select(F.col(key), F.col(text), row_hash(key, text).alias("_copy")).mapInArrow(scan, kind)
-
-
-def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Those of the node pairs ``u, v`` whose shingle sets have a Jaccard similarity of ``least`` or more.
-
-    Sizes too far apart rule a pair out; of the other nodes one text each (``copy, t``) is read again.
-    """
-
-    def cut(batches: Batches):
-        for batch in batches:
-            parts = [shingles(t, shingle).tobytes() for t in raw_texts(batch.column(1))]
-            yield arrow_batch(["node", "parts"], [batch.column(0), pa.array(parts, pa.binary())])
-
-    def check(batches: Batches):
-        for batch in batches:
-            right = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                right.append(common >= least * (len(x) + len(y) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(right, pa.bool_()))
-
-    one = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
-    sized = one.join(nodes.select(F.col("node").alias("u"), F.col("n").alias("un")), "u")
-    sized = sized.join(nodes.select(F.col("node").alias("v"), F.col("n").alias("vn")), "v")
-    sized = sized.where(F.least("un", "vn") >= least * F.greatest("un", "vn")).select("u", "v")
-    sized = materialise(sized, "candidates")
-    needed = sized.select(F.col("u").alias("node")).union(sized.select("v")).distinct().join(nodes, "node").select("node", "copy")
-    sets = texts.join(needed, "copy").select("node", "t").mapInArrow(cut, "node long, parts binary")
-    # Repeated rows of one key and text.
-    sets = materialise(sets.dropDuplicates(["node"]), "shingle-sets")
-    met = sized.join(sets.select(F.col("node").alias("u"), F.col("parts").alias("x")), "u")
-    met = met.join(sets.select(F.col("node").alias("v"), F.col("parts").alias("y")), "v")
-    return materialise(met.select("u", "v", "x", "y").mapInArrow(check, "u long, v long"), "verified")
-
-
-def similar_groups(rows: DataFrame, texts: DataFrame, shingle: int, reach: int, least: float) -> DataFrame:
-    """``node, root``: nodes of :func:`shingle_nodes` joined by verified links; nodes without a link are left out.
-
-    Candidates are pairs of fingerprints within ``reach`` bits. First a spanning forest of them is verified, which
-    joins a group of g near copies by about g pairs; then all candidates that still lead from one group to another.
-    """
-    nodes = materialise(rows.groupBy("node").agg(F.min("copy").alias("copy"), F.first("n").alias("n")), "nodes")
-    places = materialise(rows.select("fp", "node").distinct(), "places")
-    lowest = materialise(places.groupBy("fp").agg(F.min("node").alias("low")), "lowest")
-    forest = links(lowest, reach).join(lowest.select(F.col("fp").alias("a"), F.col("low").alias("u")), "a")
-    forest = forest.join(lowest.select(F.col("fp").alias("b"), F.col("low").alias("v")), "b").select("u", "v")
-    same = places.join(lowest, "fp").select(F.col("node").alias("u"), F.col("low").alias("v"))
-    first = verified(forest.unionByName(same), texts, nodes, shingle, least)
-    roots = connected(first, "u", "v")
-    grouped = places.join(roots, "node", "left").select("fp", "node", F.coalesce("root", "node").alias("grp"))
-    grouped = materialise(grouped, "grouped")
-    apart = links(grouped.select("fp", "grp").distinct(), reach, groups=True).distinct()
-    left = grouped.select(F.col("fp").alias("a"), F.col("grp").alias("a_grp"), F.col("node").alias("u"))
-    right = grouped.select(F.col("fp").alias("b"), F.col("grp").alias("b_grp"), F.col("node").alias("v"))
-    rest = apart.join(left, ["a", "a_grp"]).join(right, ["b", "b_grp"]).select("u", "v")
-    rest = verified(rest, texts, nodes, shingle, least)
-    return materialise(connected(first.unionByName(rest), "u", "v"), "similar-roots")
-
-
-def keep_one_similar(docs: DataFrame, shingle: int, reach: int, least: float, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of similar texts: that with the smallest key, then text hash.
-
-    Rows link when their sets of ``shingle`` words have a Jaccard similarity of ``least`` or more, verified exactly
-    for all pairs whose fingerprints differ in at most ``reach`` bits. Texts without words are alike.
-    """
-    rows = materialise(shingle_nodes(docs, key, text, shingle), "shingles")
-    texts = docs.select(row_hash(key, text).alias("copy"), F.col(text).alias("t"))
-    found = rows.select("id", "copy", "node").join(similar_groups(rows, texts, shingle, reach, least), "node", "left")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copy")).alias("first")
-    return only(docs, found.groupBy(F.coalesce("root", "node")).agg(first), key, text)
-
-
 def only(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
     """The rows of ``docs`` that ``first.copy`` names, each once."""
     kept = chosen.select(F.col("first.copy").alias("_copy"))

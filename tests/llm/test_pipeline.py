@@ -5,7 +5,7 @@ import random
 import pytest
 from rows import DOCS, PASSAGE, docs_table, prose
 from test_lines_and_windows import brute_lines, brute_windows
-from test_simhash import Sets, brute_components
+from test_simhash import brute_components
 
 import corpus_pipeline
 from clientela.llm import quality
@@ -70,47 +70,6 @@ def test_near_duplicate_stage(stages):
     assert {k for k, _ in after if k is not None} == {c for c in groups if isinstance(c, int)}
 
 
-def similarity(x, y):
-    x, y = ({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (x.split(), y.split()))
-    return len(x & y) / len(x | y)
-
-
-def test_near_copies_of_changed_words_go(spark):
-    """One to four words changed in 200: similarity 0.8 or more, mostly beyond 3 bits."""
-    texts = [" ".join(f"w{s}x{i}" for i in range(200)) for s in range(6)]
-    rows = [(s, t) for s, t in enumerate(texts)]
-    for s, t in enumerate(texts):
-        for changed in (1, 2, 3, 4):
-            words = t.split()
-            for c in range(changed):
-                words[20 + 50 * c] = f"other{s}x{changed}"
-            rows.append((100 + 10 * s + changed, " ".join(words)))
-            assert similarity(t, rows[-1][1]) >= 0.8
-    words = texts[0].split()
-    for c in range(0, 200, 12):
-        words[c] = "far"
-    rows.append((900, " ".join(words)))
-    assert max(similarity(rows[-1][1], t) for _, t in rows[:-1]) < 0.8
-    docs = docs_table(spark, rows, clash=False)
-    assert sorted(k for k, _ in pairs(corpus_pipeline.one_of_each(spark, docs, ""))) == [0, 1, 2, 3, 4, 5, 900]
-
-
-def test_near_duplicate_stage_by_similarity(stages):
-    """Groups by five-word similarity of all pairs."""
-    _, left = stages
-    before, sets = pairs(left[2]), Sets()
-    texts = [" ".join(t.lower().split()) if t else "" for _, t in before]
-    for i, x in enumerate(texts):
-        for j in range(i):
-            if similarity(x, texts[j]) >= 0.8:
-                sets.join(i, j)
-    groups = {}
-    for i, (k, _) in enumerate(before):
-        groups.setdefault(sets.root(i), []).append(k)
-    want = [min((k for k in g if k is not None), default=None) for g in groups.values()]
-    assert sorted((k for k, _ in pairs(left[3])), key=str) == sorted(want, key=str)
-
-
 def test_benchmark_stage(stages):
     _, left = stages
     bad = {k for (k, *_, hit), _ in brute_windows(pairs(left[3]), [(1, PASSAGE), (2, None)]).items() if hit}
@@ -124,3 +83,10 @@ def test_token_stage(stages):
     got = sorted(((r["doc_id"], r["ids"]) for r in left[5].collect()), key=str)
     assert got == sorted(((k, library.encode(t)) for k, t in pairs(left[4])), key=str)
     assert left[5].where("not exact").count() == 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    docs_table(spark, [], clash=False).selectExpr("doc_id", "text", "'en' lang", "'s' source", "0L n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
