@@ -136,10 +136,109 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 """
 
+# CRC-32 of a list of bytes, by its defining table.
+_CRC_TABLE = """
+SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::UBIGINT, range(8)::UBIGINT[]),
+         lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END)) AS crc_table
+"""
+SHARDING = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+rows AS (SELECT doc_id, encode(coalesce(text, '')) AS data, md5(coalesce(text, '')) AS grp FROM documents),
+codes AS (
+  SELECT grp, octet_length(data)::BIGINT + 1 AS size,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(data), '..'), lambda h: ('0x' || h)::UBIGINT)),
+           lambda c, b: xor(c // 256, crc_table[(xor(c, b) % 256 + 1)::INTEGER])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM (SELECT grp, any_value(data) AS data FROM rows GROUP BY 1), crc
+),
+groups AS (SELECT grp, size * (SELECT count(*) FROM rows r WHERE r.grp = codes.grp) AS bytes FROM codes),
+ordered AS (SELECT bytes::BIGINT AS bytes, row_number() OVER (ORDER BY bytes DESC, grp) AS i FROM groups),
+steps(i, bytes, shard, loads) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, NULL::INTEGER, list_transform(range(16), lambda x: 0::BIGINT)
+  UNION ALL
+  SELECT ordered.i, ordered.bytes, pick - 1, list_transform(loads, lambda x, j: CASE WHEN j = pick THEN x + ordered.bytes ELSE x END)
+  FROM (SELECT i, loads, list_position(loads, list_min(loads))::INTEGER AS pick FROM steps) s JOIN ordered ON ordered.i = s.i + 1
+),
+dealt AS (
+  SELECT grp, shard FROM (SELECT grp, bytes, row_number() OVER (PARTITION BY bytes ORDER BY grp) AS r FROM groups)
+  JOIN (SELECT bytes, shard, row_number() OVER (PARTITION BY bytes ORDER BY shard) AS r FROM steps WHERE i > 0) USING (bytes, r)
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, grp) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM rows JOIN codes USING (grp) JOIN dealt USING (grp)
+"""
+
+
+def _vectors(factor: int, condition: str) -> str:
+    return f"""
+every AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({factor} * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+kept AS (SELECT row_number() OVER (ORDER BY vec_id, q) AS r, * FROM every WHERE {condition}),"""
+
+
+def _floored(total: str, n: str) -> str:
+    return f"(({total} - (({total} % {n}) + {n}) % {n}) // {n})::BIGINT"
+
+
+def _cluster_round(number: int) -> str:
+    return f"""
+a{number} AS MATERIALIZED (
+  SELECT r, min(d * 64 + c) % 64 AS c, min(d * 64 + c) // 64 AS d
+  FROM (SELECT r, c, sum((x - v) * (x - v))::BIGINT AS d FROM parts JOIN c{number} USING (p) GROUP BY r, c) GROUP BY r
+),
+c{number + 1} AS MATERIALIZED (
+  SELECT c, p, coalesce({_floored("s", "n")}, v) AS v FROM c{number} LEFT JOIN (
+    SELECT c, p, sum(x)::BIGINT AS s, count(*) AS n FROM a{number} JOIN parts USING (r) GROUP BY c, p) USING (c, p)
+),"""
+
+
+CLUSTERS = f"""
+WITH {_vectors(256, "len(q) = 64")}
+parts AS MATERIALIZED (SELECT r, unnest(q) AS x, generate_subscripts(q, 1) AS p FROM kept),
+first AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS c FROM kept QUALIFY c < 40),
+c0 AS MATERIALIZED (SELECT c, p, x AS v FROM first JOIN parts USING (r)),
+{"".join(_cluster_round(i) for i in range(6))}
+names AS (SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY p)) AS centroid_sha256 FROM c5 GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a5 JOIN kept USING (r) JOIN names USING (c)
+"""
+
+
+def _code_round(number: int) -> str:
+    return f"""
+a{number} AS MATERIALIZED (
+  SELECT r, part, min(d * 16 + c) % 16 AS c, min(d * 16 + c) // 16 AS d
+  FROM (SELECT r, part, c, sum((x - v) * (x - v))::BIGINT AS d FROM parts JOIN c{number} USING (part, p) GROUP BY r, part, c) GROUP BY r, part
+),
+c{number + 1} AS MATERIALIZED (
+  SELECT part, c, p, coalesce({_floored("s", "n")}, v) AS v FROM c{number} LEFT JOIN (
+    SELECT part, c, p, sum(x)::BIGINT AS s, count(*) AS n FROM a{number} JOIN parts USING (r, part) GROUP BY part, c, p) USING (part, c, p)
+),"""
+
+
+VECTOR_CODES = f"""
+WITH {_vectors(4096, "len(q) = (SELECT len(q) FROM every WHERE len(q) > 0 AND len(q) % 8 = 0 GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1)")}
+parts AS MATERIALIZED (
+  SELECT r, x, (i - 1) // (width // 8) AS part, (i - 1) % (width // 8) AS p
+  FROM (SELECT r, len(q) AS width, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM kept)
+),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS c, p, x AS v FROM parts WHERE r <= 16),
+{"".join(_code_round(i) for i in range(7))}
+books AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, c, p)) AS codebooks_sha256 FROM c6),
+codes AS (SELECT r, string_agg(printf('%02x', c), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (r), books
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op5_search": SEARCH,
     "op6_warc": WARC,
     "op7_decontaminate": DECONTAMINATE,
     "op9_secrets": SECRETS,
+    "op11_sharding": SHARDING,
+    "op12_clustering": CLUSTERS,
+    "op13_vector_codes": VECTOR_CODES,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientela.llm import decontaminate, line_dedup, pieces, pii, quality, search, secret_scan, simhash, token_counts, warc
+from clientela.llm import (
+    centroids,
+    decontaminate,
+    line_dedup,
+    pieces,
+    pii,
+    quality,
+    search,
+    secret_scan,
+    sharding,
+    simhash,
+    token_counts,
+    vector_codes,
+    warc,
+)
 from clientela.llm.common import load
 
 
@@ -80,6 +94,27 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shard_documents(load(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_report(load(spark, folder, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.code_report(load(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -91,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op11_sharding": op11_sharding,
+    "op12_clustering": op12_clustering,
+    "op13_vector_codes": op13_vector_codes,
 }
