@@ -85,12 +85,12 @@ _SECRET_RUNS = {
     "assign": (0, _LEAD + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(r, '^{_LEAD}', '')) >= 6"),
     "access": (1, "AKIA[A-Z0-9]+", "length(r) >= 20"),
     "hex": (2, "[0-9a-f]{24,}", "true"),
-    "weak_id": (3, "[A-Za-z0-9_]{16,}", "regexp_full_match(r, '[A-Z][A-Z0-9]{15,31}') AND regexp_matches(r[2:32], '[0-9]')"),
+    "weak_id": (3, "[A-Za-z0-9_]{16,}", "regexp_full_match(r, '[A-Z][A-Z0-9]{15,}') AND regexp_matches(r, '[0-9]')"),
     "weak_secret": (
         4,
         "[A-Za-z0-9+/_=-]{20,}",
-        "regexp_full_match(r, '[A-Za-z0-9+/_-]{20,88}={0,2}') AND regexp_matches(r[:61], '[0-9]')"
-        " AND regexp_matches(r[:61], '[A-Z]') AND regexp_matches(r[:61], '[a-z]')",
+        "regexp_full_match(r, '[A-Za-z0-9+/_-]{20,}={0,2}') AND regexp_matches(r, '[0-9]')"
+        " AND regexp_matches(r, '[A-Z]') AND regexp_matches(r, '[a-z]')",
     ),
     "endpoint": (5, "[Hh][Tt][Tt][Pp][Ss]?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?", "true"),
 }

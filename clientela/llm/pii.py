@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clientela.llm.spans import joined, match_columns, of_kind, spans
+from clientela.llm.spans import blocks, joined, let, match_columns, meeting, of_kind, spans
 from clientela.session import materialise
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -40,10 +40,8 @@ CUES = {
     "card": "card|visa|credit|pay|account|iban",
     "phone": "phone|tel|call|fax|mobile|cell|dial",
 }
-# Candidates of each label that the trees are fitted on, at most, in equal parts by kind, each in the order of a hash;
-# smaller tables than LEAST_ROWS of either label give no model and no further spans.
+# Candidates of each label that the trees are fitted on, at most, in equal parts by kind, each in the order of a hash.
 FIT_ROWS = 20_000
-LEAST_ROWS = 40
 TREES, DEPTH = 20, 4
 # Shorter candidates hold fewer than the 7 digits or letters that any kind has.
 LEAST_LENGTH = 7
@@ -145,12 +143,20 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def candidates_of(scanned: DataFrame) -> DataFrame:
-    """One row per candidate: ``label`` 1 if it stands for a base span of its kind, 0 if it touches none, else null."""
-    one = scanned.select("row", "base", F.explode("candidates").alias("c")).select("row", "base", "c.*")
-    common = lambda b: F.least(b["end"], F.col("end")) - F.greatest(b["start"], F.col("start"))
-    stands = F.exists("base", lambda b: (b["kind"] == F.col("kind")) & (common(b) >= COVER * (b["end"] - b["start"])))
-    touches = F.exists("base", lambda b: common(b) > 0)
-    return one.select("row", "kind", "start", "end", "features", F.when(stands, 1).when(~touches, 0).alias("label"))
+    """One row per candidate: ``label`` 1 if it stands for a base span of its kind, 0 if it touches none, else null.
+
+    Labels are found inside the row, so the exploded rows do not carry the base spans.
+    """
+
+    def labelled(blocked: Column, c: Column) -> Column:
+        common = lambda b: F.least(b["end"], c["end"]) - F.greatest(b["start"], c["start"])
+        stands = lambda b: (b["kind"] == c["kind"]) & (common(b) >= COVER * (b["end"] - b["start"]))
+        near = meeting(blocked, c["start"], c["end"])
+        known = let(near, lambda n: F.when(F.exists(n, stands), 1).when(~F.exists(n, lambda b: common(b) > 0), 0))
+        return F.struct(*[c[name].alias(name) for name in ("kind", "start", "end", "features")], known.alias("label"))
+
+    all_labelled = let(blocks(F.col("base")), lambda blocked: F.transform("candidates", lambda c: labelled(blocked, c)))
+    return scanned.select("row", F.explode(all_labelled).alias("c")).select("row", "c.*")
 
 
 @dataclass
@@ -168,6 +174,7 @@ def fit(candidates: DataFrame) -> SpanModel | None:
     being *known*; the chance of being positive is that divided by the mean score of known positives (Elkan and Noto
     2008). A kind's threshold is half of that mean, over all known positives that the trees have not seen: one in four
     of the sample, the first of each kind included, and all outside it. So every kind with a known positive has one.
+    Without known positives and negatives that the trees may see there is nothing to learn, and no model.
     """
     order = F.xxhash64("row", "start", "end", "kind")
     labelled = candidates.where("label is not null").withColumn("o", order)
@@ -181,10 +188,9 @@ def fit(candidates: DataFrame) -> SpanModel | None:
     sample = reduce(DataFrame.unionByName, [part(label, kind) for label in (0, 1) for kind in range(len(KINDS))])
     place = F.row_number().over(Window.partitionBy("label", "kind").orderBy("o", "row", "start", "end"))
     sample = materialise(sample.withColumn("place", place), "pii-sample")
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if min(sizes.get(0, 0), sizes.get(1, 0)) < LEAST_ROWS:
-        return None
     unseen = F.col("place") % 4 == 1
+    if sample.where(~unseen).select("label").distinct().count() < 2:
+        return None
     vector = array_to_vector("features").alias("vector")
     rows = sample.where(~unseen).select(F.col("label").cast("double").alias("label"), vector)
     trees = GBTClassifier(featuresCol="vector", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(rows)
@@ -198,7 +204,7 @@ def fit(candidates: DataFrame) -> SpanModel | None:
     others = labelled.where(known & outside).select("kind", vector)
     scored = trees.transform(sample.where(known & unseen).select("kind", vector).unionByName(others))
     means = scored.groupBy("kind").agg(F.avg(chance()).alias("mean")).collect()  # one row per kind
-    return SpanModel(trees, {r["kind"]: max(0.3, r["mean"] / 2) for r in means})
+    return SpanModel(trees, {r["kind"]: r["mean"] / 2 for r in means})
 
 
 def chance() -> Column:
@@ -214,14 +220,22 @@ def further_spans(candidates: DataFrame, model: SpanModel) -> DataFrame:
     taken = model.trees.transform(rows).select("row", "kind", "start", "end", chance().alias("score")).where(F.col("score") >= limit)
     # Best first: score, length, earlier start, kind.
     rank = F.struct(F.col("score"), F.col("end") - F.col("start"), -F.col("start"), -F.col("kind"))
-    grouped = taken.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "kind", "start", "end")), False).alias("all"))
+    # Only candidates of one chain, each overlapping the next, can stand against each other.
+    along = Window.partitionBy("row").orderBy("start", "end", "kind")
+    reached = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int")
+    chain = F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chained = taken.withColumn("opens", opens).withColumn("chain", chain)
+    ranked = F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "kind", "start", "end")), False)
+    grouped = chained.groupBy("row", "chain").agg(ranked.alias("all"))
 
     def keep(kept: Column, s: Column) -> Column:
         overlaps = F.exists(kept, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
         return F.when(overlaps, kept).otherwise(F.concat(kept, F.array(s)))
 
     best = F.aggregate("all", F.filter("all", lambda s: F.lit(False)), keep)
-    return grouped.select("row", of_any(best).alias("added"))
+    chosen = grouped.select("row", of_any(best).alias("some"))
+    return chosen.groupBy("row").agg(F.flatten(F.collect_list("some")).alias("added"))
 
 
 def of_any(found: Column) -> Column:
@@ -233,8 +247,8 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     ``base`` holds all spans of the agreed patterns, ``added`` those that the trees take from the candidates that
     touch no base span. Places are code points, end exclusive. Null counts as empty; an empty text has no spans;
-    repeated rows each get their row; tables with too few candidates to fit trees add nothing. Other columns are
-    ignored.
+    repeated rows each get their row; tables without candidates that stand for base spans, or without others, teach the
+    trees nothing and add nothing. A text may be of any length and hold any number of spans. Other columns are ignored.
     """
     scanned = scan(docs, key, text)
     candidates = candidates_of(scanned)

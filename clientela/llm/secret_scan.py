@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientela.llm.spans import joined, match_columns, of_kind, spans
+from clientela.llm.spans import blocks, joined, let, match_columns, meeting, of_kind, spans
 from clientela.session import materialise
 
 KINDS = ["assign", "access", "hex", "weak_id", "weak_secret", "endpoint"]
@@ -24,10 +24,12 @@ VALUE = r"^[A-Za-z_]+[\"']?\x20*+[:=]\x20*+[\"']?"
 LEAST_VALUE = 6
 # Weak parts: each says little alone.
 WEAK = {
-    "weak_id": r"(?<![A-Za-z0-9_])[A-Z](?=[A-Z0-9]{0,30}[0-9])[A-Z0-9]{15,31}+(?![A-Za-z0-9_])",
-    "weak_secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{0,60}[0-9])(?=[A-Za-z0-9+/_-]{0,60}[A-Z])(?=[A-Za-z0-9+/_-]{0,60}[a-z])[A-Za-z0-9+/_-]{20,88}+={0,2}(?![A-Za-z0-9+/_=-])",
+    "weak_id": r"(?<![A-Za-z0-9_])[A-Z][A-Z0-9]{15,}+(?![A-Za-z0-9_])",
+    "weak_secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])",
     "endpoint": r"[Hh][Tt][Tt][Pp][Ss]?://[A-Za-z0-9.-]++(?::[0-9]{1,5}+)?",
 }
+# Characters that a weak part must hold besides.
+MARKS = {"weak_id": ["[0-9]"], "weak_secret": ["[0-9]", "[A-Z]", "[a-z]"]}
 # What part of a credential a kind is, and which parts must stand near a weak one before it is reported.
 ROLE = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
 NEEDS = {"weak_id": ["secret"], "weak_secret": ["id"], "endpoint": ["id", "secret"]}
@@ -36,6 +38,10 @@ ROLES = ["id", "secret", "endpoint"]
 SCOPE = 240
 
 
+def holding(mark: str):
+    return lambda s: s["found"].rlike(mark)
+
+
 def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``row, id, base, weak`` of every row, written once: the join does not touch the texts."""
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -44,6 +50,9 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     found["assign"] = F.filter(
         found["assign"], lambda s: F.length(F.regexp_replace(s["found"], VALUE, "")) >= LEAST_VALUE
     )
+    for kind, marks in MARKS.items():
+        for mark in marks:
+            found[kind] = F.filter(found[kind], holding(mark))
     numbered = {k: of_kind(v, KINDS.index(k)) for k, v in found.items()}
     out = matched.select(
         "id", F.concat(*[numbered[k] for k in BASE]).alias("base"), F.concat(*[numbered[k] for k in WEAK]).alias("weak")
@@ -97,12 +106,17 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", scope
 
     ``base`` holds all spans of the agreed patterns. ``added`` holds weak parts that complete a credential: an access
     identifier near a secret, a secret near an identifier, an endpoint near both. Weak parts that overlap a base span
-    are left to it. By rule a weak identifier has 16 to 32 characters, a weak secret 20 to 88 besides padding, with a digit
-    and both cases among its first 61; longer runs are neither. Places are code points, end exclusive. Null counts as empty; an empty text has no spans; repeated
-    rows each get their row. Other columns are ignored.
+    are left to it. A weak identifier is a whole run of 16 or more capitals and digits, a weak secret one of 20 or more
+    characters besides padding with a digit and both cases; neither has an upper length. Places are code points, end
+    exclusive. Null counts as empty; an empty text has no spans; repeated rows each get their row. A text may be of any
+    length and hold any number of spans. Other columns are ignored.
     """
     scanned = scan(docs, key, text)
-    free = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+
+    def alone(blocked: Column, w: Column) -> Column:
+        return ~F.exists(meeting(blocked, w["start"], w["end"]), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
+
+    free = let(blocks(F.col("base")), lambda blocked: F.filter("weak", lambda w: alone(blocked, w)))
     scanned = scanned.select("row", "id", "base", free.alias("weak"))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
     rows = scanned.select("row", "id", "base").join(linked(scanned, scope), "row", "left")

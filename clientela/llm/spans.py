@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CONTEXT = 24
+# Arrays are walked in blocks of so many, as a text may hold any number of matches: an array that grows by one
+# element is copied at every step, blocks are appended whole.
+BLOCK = 256
 SPAN = "struct<start:bigint,end:bigint,found:string,before:string,after:string>"
 
 
@@ -28,8 +31,6 @@ def spans(text: str, matches: str, pattern: str) -> Column:
         lambda x, after: F.struct(x["m"].alias("m"), x["g"].alias("g"), F.left(after, F.lit(CONTEXT)).alias("after")),
     )
     none = F.array().cast(f"array<{SPAN}>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
-
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["g"])
         end = begin + F.length(x["m"])
@@ -42,7 +43,42 @@ def spans(text: str, matches: str, pattern: str) -> Column:
         )
         return F.struct(end.cast("long").alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.when(count > 0, F.aggregate(parts, start, step, lambda acc: acc["out"])).otherwise(none)
+    def block(acc: Column, items: Column) -> Column:
+        walked = F.aggregate(items, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return let(walked, lambda w: F.struct(w["at"].alias("at"), F.concat(acc["out"], F.array(w["out"])).alias("out")))
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("out"))
+    walk = let(parts, lambda ps: F.aggregate(cut(ps), start, block, lambda acc: F.flatten(acc["out"])))
+    return F.when(count > 0, walk).otherwise(none)
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, where a lambda would compute it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def cut(items: Column) -> Column:
+    """A non-empty array (a lambda's variable or a stored column) in blocks."""
+    last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * BLOCK + 1, BLOCK))
+
+
+def blocks(found: Column) -> Column:
+    """Spans by start, in blocks with the lowest start and the highest end of each, for :func:`meeting`."""
+
+    def summed(items: Column) -> Column:
+        low, high = F.array_min(F.transform(items, lambda s: s["start"])), F.array_max(F.transform(items, lambda s: s["end"]))
+        return F.struct(low.alias("low"), high.alias("high"), items.alias("items"))
+
+    ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    none = F.array().cast("array<struct<low:bigint,high:bigint,items:array<struct<start:bigint,end:bigint,kind:int>>>>")
+    return F.when(F.size(found) > 0, let(ordered, lambda o: F.transform(cut(o), summed))).otherwise(none)
+
+
+def meeting(blocked: Column, start: Column, end: Column) -> Column:
+    """The spans of those blocks that reach into ``start`` to ``end``: few, so that they can be tested one by one."""
+    near = F.filter(blocked, lambda b: (b["low"] < end) & (start < b["high"]))
+    return F.flatten(F.transform(near, lambda b: b["items"]))
 
 
 def joined(found: Column, kinds: list[str]) -> Column:

@@ -259,8 +259,9 @@ def read_archives(spark: SparkSession, archives: DataFrame, chunk: int = CHUNK)
                 if rows:
                     yield arrow_batch(names, [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)])
 
-    # Files are the unit of work. A given number of parts, as adaptive execution would join the short list in one.
-    paths = archives.select("path").distinct().repartition(share_count(archives), "path")
+    # Files are the unit of work, dealt by ranges of their names: as many reading tasks as archives or partitions,
+    # whichever is fewer. A hash by path would meet that of ``distinct``, and adaptive execution join all in one task.
+    paths = archives.select("path").distinct().repartitionByRange(share_count(archives), "path")
     return paths.mapInArrow(read, RECORDS)
 
 

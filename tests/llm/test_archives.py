@@ -2,9 +2,11 @@
 
 import gzip
 import hashlib
+from functools import reduce
 
 import pytest
 from pyspark.errors import PythonException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientela.llm import warc
@@ -90,3 +92,14 @@ def test_empty_table_and_null_ids(spark):
     assert warc.records(warc.archive_pages(spark, table(spark, []))).count() == 0
     got = warc.records(warc.archive_pages(spark, table(spark, [(None, "u", "z" * 200), (4, "u", "z" * 200), (None, "u", "s")]))).collect()
     assert sorted((r["page"] or 0, r["record_type"], r["refers_to"]) for r in got) == [(0, "response", None), (0, "revisit", 4), (4, "response", None)]
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    """Adaptive execution must not join the short list of files in one task."""
+    rows = [(i, f"http://a/{i}", f"page {i} " * 40) for i in range(5)]
+    written = [warc.write_archives(table(spark, [r]), str(tmp_path / f"set{r[0]}")) for r in rows]
+    archives = reduce(DataFrame.unionByName, written)
+    files = archives.select("path").distinct().count()
+    read = warc.read_archives(spark, archives)
+    assert read.where("last").count() == 5
+    assert read.select(F.spark_partition_id().alias("task")).distinct().count() == files == 5

@@ -140,6 +140,9 @@ def test_weak_parts_need_their_complement_within_scope(spark):
         6: (f"{WEAK_ID} password = hunter22", ["weak_id"]),
         7: (f"{URL} {ACCESS} token: abcdef99", ["endpoint"]),
         8: (" ".join([WEAK_ID] * 3000) + " token: abcdef99", None),
+        9: (f"{ACCESS} {WEAK_SECRET * 4}==", ["weak_secret"]),
+        10: (f"{WEAK_ID * 3} password = hunter22", ["weak_id"]),
+        11: (f"{ACCESS} {'x' * 70}K7 and {'Q' * 40} token: abcdef99", ["weak_secret"]),
     }
     table = docs_table(spark, [(k, t) for k, (t, _) in cases.items()])
     got = {r["doc_id"]: r for r in secret_scan.find_secrets(table).collect()}
@@ -178,3 +181,26 @@ def test_secrets_query_matches_sql(spark, tmp_path):
 def test_empty_tables(spark):
     assert pii.find_personal_data(docs_table(spark, [])).count() == 0
     assert secret_scan.find_secrets(docs_table(spark, [])).count() == 0
+
+
+def test_texts_with_thousands_of_spans(spark):
+    """Many blocks of matches in one text; labels and places as in plain Python."""
+    mixed = " ".join(f"u{i}@h{i}.org 10.{i % 200}.{i % 300}.7 4111 1111 1111 1111, +44 20 7946 {i % 9000 + 1000}" for i in range(900))
+    secret = " ".join(f"{i:032x} token={i:09d} AKIA{i:016d} {WEAK_SECRET}{i}" for i in range(700))
+    rows = [(1, mixed), (2, secret), (3, mixed + secret), (4, "u@h.org " * 257), (5, "u@h.org " * 256)]
+    docs = docs_table(spark, rows)
+    found = pii.find_personal_data(docs).collect()
+    assert spans_of(found, "base") == Counter((k, brute_pii(t)) for k, t in rows)
+    got = secret_scan.find_secrets(docs).collect()
+    assert spans_of(got, "base") == Counter((k, brute_secrets(t)) for k, t in rows)
+    assert {r["doc_id"]: len(r["added"]) for r in got} == {1: 0, 2: 700, 3: 700, 4: 0, 5: 0}
+
+
+def test_labels_inside_the_row_match_all_pairs(spark):
+    rows = [(i, soup(i, PII_BITS, 60) * 8) for i in range(60)]
+    scanned = pii.scan(docs_table(spark, rows), "doc_id", "text")
+    base = {r["row"]: r["base"] for r in scanned.collect()}
+    for c in pii.candidates_of(scanned).collect():
+        common = [(b, min(b["end"], c["end"]) - max(b["start"], c["start"])) for b in base[c["row"]]]
+        stands = any(b["kind"] == c["kind"] and n >= pii.COVER * (b["end"] - b["start"]) for b, n in common)
+        assert c["label"] == (1 if stands else None if any(n > 0 for _, n in common) else 0)
