@@ -8,12 +8,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from clientela.functions.ranks import exact_quantiles
 from clientela.llm.common import raw_texts
 from clientela.session import materialise
 
@@ -83,7 +85,8 @@ def fit(featured: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     """Learn from ``featured`` (``key, features``) and ``labels``.
 
     Logistic loss on feature differences of pairs (a document labelled 1 preferred to one labelled 0), without an
-    intercept: the Bradley-Terry model. At most ``ROWS_PER_CLASS`` rows of each class and ``PAIRS`` pairs. Keys with
+    intercept: the Bradley-Terry model. At most ``ROWS_PER_CLASS`` rows of each class and ``PAIRS`` pairs fit the
+    weights; the threshold comes from the scores of all rows that may be learnt from. Keys with
     null or contradicting labels are left out, repeated labels count once, and held-out keys are never read.
     """
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and id is not null")
@@ -116,19 +119,32 @@ def fit(featured: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     pair = materialise(pair, "pairs").select("label", array_to_vector("gap").alias("features"))
     model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=40).fit(pair)
     fitted = PairModel([float(w) for w in model.coefficients], 0.0)
-    return PairModel(fitted.weights, quantile_threshold(chosen.select("label", fitted.raw("features").alias("raw")), sizes))
+    return PairModel(fitted.weights, quantile_threshold(rows.select("label", fitted.raw("features").alias("raw"))))
 
 
-def quantile_threshold(scored: DataFrame, sizes: dict[int, int]) -> float:
-    """The score quantile that separates the labels best (both classes weigh the same); the middle of equal ones."""
+def quantile_threshold(scored: DataFrame) -> float:
+    """The quantile of all labelled scores that separates the labels best (both classes weigh the same).
+
+    Exact quantiles of every row in ``scored`` (``label, raw``), then one count for each label between neighbouring
+    quantiles; what comes to the driver has one row for each of ``LEVELS`` and each label. Of equally good ones the
+    middle of the lowest and the highest.
+    """
+    scored = materialise(scored, "labelled-scores")
     levels = [i / LEVELS for i in range(1, LEVELS)]
-    quantiles = sorted(set(scored.agg(F.percentile("raw", levels).alias("q")).first()["q"]))
-    tried = scored.select("label", "raw", F.explode(F.array(*[F.lit(q) for q in quantiles])).alias("t"))
-    right = (F.col("label") == 1) == (F.col("raw") >= F.col("t"))
-    share = F.when(F.col("label") == 1, 1.0 / sizes[1]).otherwise(1.0 / sizes[0])
-    by_level = tried.groupBy("t").agg(F.round(F.sum(F.when(right, share).otherwise(0.0)), 9).alias("value"))
-    best = by_level.groupBy("value").agg(F.min("t").alias("low"), F.max("t").alias("high")).orderBy(F.desc("value")).first()
-    return (best["low"] + best["high"]) / 2
+    quantiles = sorted({r["value"] for r in exact_quantiles(scored, ["raw"], levels).collect()})
+    bins = Bucketizer(splits=[-math.inf, *quantiles, math.inf], inputCol="raw", outputCol="bin")
+    counts = bins.transform(scored).groupBy("label", F.col("bin").cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    below = {0: [0] * (len(quantiles) + 1), 1: [0] * (len(quantiles) + 1)}
+    for row in counts.collect():
+        below[row["label"]][row["bin"]] = row["n"]
+    good, bad = sum(below[1]), sum(below[0])
+    # Rows of bin i lie from quantile i - 1 on and below quantile i.
+    values, missed, found = [], 0, 0
+    for at in range(len(quantiles)):
+        missed, found = missed + below[1][at], found + below[0][at]
+        values.append(round(1 - missed / good + found / bad, 9))
+    best = [q for q, v in zip(quantiles, values, strict=True) if v == max(values)]
+    return (best[0] + best[-1]) / 2
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:

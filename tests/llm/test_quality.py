@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from rows import DOCS, docs_table, prose
 
@@ -70,3 +71,45 @@ def test_odd_labels(spark):
     assert {r["score"] for r in quality.score_documents(docs_table(spark, rows), one_class).collect()} == {1.0}
     assert quality.score_documents(docs_table(spark, []), table).count() == 0
     assert quality.score_documents(docs_table(spark, rows), table.limit(0)).count() == 60
+
+
+def test_threshold_is_the_best_quantile_of_all_scores(spark):
+    """Against all quantiles tried one by one; ties, a crowd at one score, classes of different sizes."""
+    rng = random.Random(4)
+    rows = [(1, rng.gauss(1, 1)) for _ in range(900)] + [(0, rng.gauss(-1, 1)) for _ in range(200)] + [(1, 0.25)] * 300 + [(0, 0.25)] * 40
+    got = quality.quantile_threshold(spark.createDataFrame(rows, "label int, raw double"))
+    raw = sorted(r for _, r in rows)
+
+    def quantile(share):
+        at = (len(raw) - 1) * share
+        low, high = raw[int(at)], raw[min(int(at) + 1, len(raw) - 1)]
+        return low + (high - low) * (at - int(at))
+
+    def value(t):
+        good = [r >= t for y, r in rows if y == 1]
+        bad = [r < t for y, r in rows if y == 0]
+        return round(sum(good) / len(good) + sum(bad) / len(bad), 9)
+
+    tried = sorted({quantile(i / quality.LEVELS) for i in range(1, quality.LEVELS)})
+    best = [t for t in tried if value(t) == max(map(value, tried))]
+    assert got == pytest.approx((best[0] + best[-1]) / 2)
+
+
+def test_weights_minimise_the_pair_loss(spark):
+    """The loss over all pairs of good and bad documents falls all the way to the weights found."""
+    rows, labels = corpus(240)
+    docs = docs_table(spark, rows)
+    featured = docs.select("doc_id", quality.features("text").alias("features"))
+    model = quality.fit(featured, spark.createDataFrame(labels, "doc_id long, quality int"))
+    truth = dict(labels)
+    known = {r["doc_id"]: np.array(r["features"]) for r in featured.collect() if not is_held_out(r["doc_id"])}
+    good, bad = ([f for k, f in known.items() if truth[k] == y] for y in (1, 0))
+    gaps = np.array([g - b for g in good for b in bad])
+
+    def loss(w):
+        return np.logaddexp(0, -gaps @ w).mean()
+
+    found, zero = loss(np.array(model.weights)), loss(np.zeros(gaps.shape[1]))
+    assert found < 0.05 * zero
+    # From zero to the weights found.
+    assert all(loss(np.array(model.weights) * s) > found for s in (0.0, 0.25, 0.5, 0.75))
