@@ -1,16 +1,21 @@
 """All-or-nothing publishing of score tables and alerts.
 
-A publish writes each table to a folder of its own and, as the last step, appends
-one line to the release log. Readers follow the line with the highest number, so they see either
-the complete new release or the complete old one; a failed run leaves no line.
+A publish writes each table to a folder of its own and, as the last step, adds
+one numbered entry to the release log. Readers follow the entry with the highest number, so they see either
+the complete new release or the complete old one; a failed run leaves no entry. An entry is created only
+where its number is free: of publishers that run at once one gets the number, the others start over from the release it
+made, so no table is lost.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +23,8 @@ from pyspark.sql import functions as F
 from clientela.sources.tables import table_exists
 
 RELEASE_LOG = "releases"
+# Entries that stay: each holds the whole release, older ones only keep their numbers taken.
+LOG_KEPT = 200
 LOG_SCHEMA = "number bigint, release string, published_at timestamp, tables map<string,string>"
 
 SCORE_SCHEMAS = {
@@ -79,35 +86,103 @@ def publish_segment_assignments(df: DataFrame, folder: str, now: datetime | None
     return stage_scores(df, "segment_assignments", folder, now)
 
 
+def _entry(root: str, number: int) -> str:
+    return f"{root}/{RELEASE_LOG}/{number:020d}.json"
+
+
+def _path(spark: SparkSession, path: str):
+    """A path for the file system's own calls, and that file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def entry_numbers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the log's entries, rising."""
+    place, files = _path(spark, f"{root}/{RELEASE_LOG}")
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(int(n[:20]) for n in names if re.fullmatch("[0-9]{20}[.]json", n))
+
+
 def newest_line(spark: SparkSession, root: str) -> Row | None:
-    """The log line with the highest commit number; none before the first release."""
+    """The log entry with the highest commit number; none before the first release."""
+    numbers = entry_numbers(spark, root)
+    # Logs of earlier versions are appended lines.
+    source = _entry(root, numbers[-1]) if numbers else f"{root}/{RELEASE_LOG}"
     try:
-        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{RELEASE_LOG}")
+        log = spark.read.schema(LOG_SCHEMA).json(source)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    # Lines of one number come from publishers that ran at once: the release name decides.
     newest = log.orderBy(F.desc_nulls_last("number"), F.desc("release")).limit(1).collect()
     return newest[0] if newest else None
 
 
+def create_entry(spark: SparkSession, root: str, line: dict) -> bool:
+    """Add an entry unless its number is taken; whether it was added.
+
+    The entry is written under a hidden name and renamed without overwriting, which the file system does at
+    once or not at all: no reader meets half an entry, and no two publishers get one number.
+    """
+    draft, files = _path(spark, f"{root}/{RELEASE_LOG}/.{line['release']}")
+    out = files.create(draft, False)
+    out.write(bytearray(json.dumps(line).encode()))
+    out.close()
+    target, _ = _path(spark, _entry(root, line["number"]))
+    kinds = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark._sc._gateway.new_array(kinds, 1)
+    how[0] = kinds.NONE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(files.makeQualified(draft), files.makeQualified(target), how)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        files.delete(draft, False)
+        return False
+    return True
+
+
+def compact_log(spark: SparkSession, root: str, kept: int = LOG_KEPT) -> None:
+    """Delete all but the newest ``kept`` entries."""
+    for number in entry_numbers(spark, root)[:-kept]:
+        place, files = _path(spark, _entry(root, number))
+        files.delete(place, False)
+
+
 def current_release(spark: SparkSession, root: str) -> dict[str, str]:
     """Folder of each table in the newest release; empty before the first one."""
     newest = newest_line(spark, root)
     return dict(newest["tables"]) if newest else {}
 
 
-def commit_release(spark: SparkSession, root: str, tables: dict[str, str], now: datetime) -> None:
-    """Make the tables current: one log line, written only after all of them exist.
-
-    Lines are ordered by a commit number. ``now`` stamps the data only, so a second
-    publish with the same or an older stamp still becomes current.
+def commit_release(
+    spark: SparkSession,
+    root: str,
+    changed: dict[str, str],
+    now: datetime,
+    derived: Callable[[dict[str, str]], dict[str, str]] | None = None,
+) -> dict[str, str]:
+    """Make the changed tables current, all others stay; called when all of them exist. Returns the release.
+
+    ``derived`` writes tables that follow from the whole release. If another publisher takes the number
+    meanwhile, the release is made again on top of theirs, derived tables too. Entries are ordered by
+    number. ``now`` stamps the data only, so a second publish with the same or an older stamp still becomes current.
     """
-    newest = newest_line(spark, root)
-    number = (newest["number"] or 0) + 1 if newest else 1
-    line = spark.createDataFrame([(number, uuid.uuid4().hex, now, tables)], LOG_SCHEMA)
-    line.coalesce(1).write.mode("append").json(f"{root}/{RELEASE_LOG}")
+    while True:
+        newest = newest_line(spark, root)
+        number = (newest["number"] or 0) + 1 if newest else 1
+        tables = {**(dict(newest["tables"]) if newest else {}), **changed}
+        if derived:
+            tables |= derived(tables)
+        line = {"number": number, "release": uuid.uuid4().hex, "published_at": now.isoformat(), "tables": tables}
+        # The entry that this one follows may have been compacted away: then its number was taken long ago.
+        numbers = entry_numbers(spark, root)
+        if (not numbers or number > numbers[0]) and create_entry(spark, root, line):
+            compact_log(spark, root)
+            return tables
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -131,7 +206,7 @@ def publish_all(
     """
     now = now or datetime.now(UTC)
     release = uuid.uuid4().hex
-    tables = current_release(spark, root)
+    changed: dict[str, str] = {}
     summary: list[tuple[str, int]] = []
     for table in SCORE_SCHEMAS:
         if table not in inputs or not table_exists(spark, inputs[table]):
@@ -139,19 +214,21 @@ def publish_all(
             continue
         folder = f"{root}/{table}/{release}"
         stored = stage_scores(spark.read.parquet(inputs[table]), table, folder, now)
-        tables[table] = folder
+        changed[table] = folder
         summary.append((table, stored.count()))
 
-    def staged(table: str) -> DataFrame:
-        if table in tables:
-            return spark.read.parquet(tables[table])
-        return spark.createDataFrame([], SCORE_SCHEMAS[table])
+    def alerts(tables: dict[str, str]) -> dict[str, str]:
+        def staged(table: str) -> DataFrame:
+            if table in tables:
+                return spark.read.parquet(tables[table])
+            return spark.createDataFrame([], SCORE_SCHEMAS[table])
 
-    tables["alerts"] = f"{root}/alerts/{release}"
-    make_alerts(staged("anomaly_scores"), staged("churn_scores"), now).write.parquet(tables["alerts"])
-    summary.append(("alerts_generated", spark.read.parquet(tables["alerts"]).count()))
+        folder = f"{root}/alerts/{uuid.uuid4().hex}"
+        make_alerts(staged("anomaly_scores"), staged("churn_scores"), now).write.parquet(folder)
+        return {"alerts": folder}
 
-    commit_release(spark, root, tables, now)
+    tables = commit_release(spark, root, changed, now, alerts)
+    summary.append(("alerts_generated", spark.read.parquet(tables["alerts"]).count()))
     return spark.createDataFrame(summary, "label string, rows bigint").coalesce(1)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientela.functions.columns import nan_to_null
+from clientela.sources.quoted import read_quoted_csv
 
 # Column lists of the public e-commerce files (fixed values).
 RAW_SCHEMAS = {
@@ -37,26 +38,33 @@ RAW_SCHEMAS = {
     ),
 }
 
-# Review texts hold line breaks inside quotes, which rules out splitting the file;
-# every other table is read in splits.
+# Review texts hold line breaks inside quotes, which Spark's own reader cannot split;
+# ``quoted`` reads them in splits, as every other table.
 MULTI_LINE_TABLES = {"order_reviews"}
 
 # File order, used by keep-first / keep-last: file, block in the file, row in the block.
 INGEST_COLUMN = "ingest_seq"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: str, multi_line: bool = False, split_bytes: int | None = None
+) -> DataFrame:
     """Header CSV with a known schema; fields are matched to columns by header name.
 
     Only the columns named in ``schema`` that the file has are returned, so a file
     with more, fewer or reordered columns still reads correctly. Files of one folder
     must share their header: one that differs fails the read instead of shifting
-    columns.
+    columns. With ``multi_line``, quoted fields may hold line breaks; ``split_bytes`` bounds
+    the splits of such files where the session's setting is not wanted.
     """
     options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
     header = spark.read.options(**options).csv(path).columns
     wanted = dict(part.strip().split(" ") for part in schema.split(","))
     text = ", ".join(f"`{c}` {wanted.get(c, 'string')}" for c in header)
+    if multi_line:
+        table = read_quoted_csv(spark, path, header, text, split_bytes)
+        order = F.struct("file", "block", "row").alias(INGEST_COLUMN)
+        return nan_to_null(table.select(*[c for c in wanted if c in header], order))
     table = spark.read.options(**options).schema(text).csv(path)
     order = F.struct(
         F.col("_metadata.file_path").alias("file"),

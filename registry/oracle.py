@@ -513,6 +513,11 @@ Q["s1_csv_source"] = (
 Q["s1_csv_row_counts"] = " UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {n}_raw" for n in RAW_COLUMNS
 )
+Q["s1_split_reviews"] = """
+SELECT CAST(doc_id AS VARCHAR) AS review_id, source AS order_id, doc_id % 5 AS review_score,
+       coalesce(left(text, 9), '') AS review_comment_title,
+       '"' || coalesce(text, '') || '",' || chr(10) || '""' || chr(10) || 'end' AS review_comment_message
+FROM documents"""
 Q["s2_stored_transactions"] = TX_OUT.replace("CAST(payment_installments AS BIGINT) AS payment_installments, ", "")
 Q["s3_publish_anomaly_scores"] = (
     "SELECT customer_hash, anomaly_score, is_anomaly, anomaly_flag FROM anomaly_given"
@@ -525,6 +530,10 @@ UNION ALL SELECT 'churn_scores', count(*) FROM churn_given
 UNION ALL SELECT 'segment_assignments', 0
 UNION ALL SELECT 'alerts_generated', count(*) FROM alerts"""
 Q["s6_second_publish"] = "SELECT customer_hash, churn_probability, predicted_churn FROM churn_given WHERE churn_probability >= 0.5"
+Q["s6_concurrent_publish"] = """
+SELECT 'anomaly_scores' AS "table", count(*) AS rows FROM anomaly_given
+UNION ALL SELECT 'churn_scores', count(*) FROM churn_given
+UNION ALL SELECT 'alerts', count(*) FROM alerts"""
 Q["s7_tolerant_read"] = """
 SELECT 'present' AS "table", count(*) AS rows FROM churn_given UNION ALL SELECT 'absent', 0"""
 Q["s8_required_inputs"] = " UNION ALL ".join(

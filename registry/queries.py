@@ -28,7 +28,7 @@ from clientela.operators import (
 )
 from clientela.plans import jobs
 from clientela.session import materialise, new_folder, ship_package
-from clientela.sources import publish, raw, tables
+from clientela.sources import adapters, publish, raw, tables
 from registry.inputs import (
     GIVEN_CENTROIDS,
     NOW,
@@ -85,6 +85,23 @@ def s1_csv_row_counts(t: Inputs) -> DataFrame:
     return exploration._union(parts)
 
 
+@query
+def s1_split_reviews(t: Inputs) -> DataFrame:
+    """One file of long quoted texts with quotes, commas and line breaks, read in many splits."""
+    path = new_folder(t.spark, "csv-split")
+    message = F.concat(F.lit('"'), F.coalesce("text", F.lit("")), F.lit('",\n""\nend'))
+    reviews = adapters.table(t.spark, t.folder, "documents").select(
+        F.col("doc_id").alias("review_id"),
+        F.col("source").alias("order_id"),
+        (F.col("doc_id") % 5).alias("review_score"),
+        F.coalesce(F.left("text", F.lit(9)), F.lit("")).alias("review_comment_title"),
+        message.alias("review_comment_message"),
+    )
+    options = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    reviews.coalesce(1).write.options(**options).csv(path)
+    return raw.read_csv(t.spark, path, raw.RAW_SCHEMAS["order_reviews"], multi_line=True, split_bytes=1 << 16).drop("ingest_seq")
+
+
 @query
 def s2_stored_transactions(t: Inputs) -> DataFrame:
     path = new_folder(t.spark, "transactions")
@@ -130,6 +147,28 @@ def s6_second_publish(t: Inputs) -> DataFrame:
     return publish.read_published(t.spark, root, "churn_scores").drop("scored_at")
 
 
+@query
+def s6_concurrent_publish(t: Inputs) -> DataFrame:
+    """Two publishers of different tables that start from the same release: both tables are current afterwards."""
+    root = new_folder(t.spark, "concurrent")
+    folders = {name: f"{root}/in/{name}" for name in ("anomaly_scores", "churn_scores")}
+    t.anomaly_scores().write.parquet(folders["anomaly_scores"])
+    t.churn_scores().write.parquet(folders["churn_scores"])
+
+    others = [{"churn_scores": folders["churn_scores"]}]
+
+    def meanwhile(anomalies: DataFrame, churned: DataFrame, now) -> DataFrame:
+        # The other publisher commits while this one is at work for the first time.
+        while others:
+            publish.publish_all(t.spark, root, others.pop(), serving.generate_alerts, now)
+        return serving.generate_alerts(anomalies, churned, now)
+
+    publish.publish_all(t.spark, root, {"anomaly_scores": folders["anomaly_scores"]}, meanwhile, NOW)
+    tables = [*folders, "alerts"]
+    parts = [publish.read_published(t.spark, root, n).agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows")) for n in tables]
+    return exploration._union(parts)
+
+
 @query
 def s7_tolerant_read(t: Inputs) -> DataFrame:
     path = new_folder(t.spark, "present")

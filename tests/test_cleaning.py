@@ -1,3 +1,5 @@
+import csv
+import random
 from datetime import datetime
 
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clientela.functions.privacy import pseudonymize_customers
 from clientela.operators import cleaning
-from clientela.sources import raw
+from clientela.sources import quoted, raw
 
 ORDER_SCHEMA = (
     "ingest_seq long, order_id string, customer_id string, order_status string, "
@@ -161,5 +163,54 @@ def test_csv_review_text_with_line_breaks(spark, tmp_path):
 def test_csv_files_with_other_headers_fail(spark, tmp_path, multi_line):
     (tmp_path / "a.csv").write_text("order_id,payment_type,payment_sequential\no1,credit_card,1\n")
     (tmp_path / "b.csv").write_text("order_id,payment_sequential,payment_type\no2,2,voucher\n")
-    with pytest.raises(Py4JJavaError, match="header"):
+    with pytest.raises((Py4JJavaError, ValueError), match="header"):
         raw.read_csv(spark, str(tmp_path), raw.RAW_SCHEMAS["order_payments"], multi_line).collect()
+
+
+def one_task_read(spark, path):
+    """The same files through the reader that takes a whole file in one task."""
+    options = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False}
+    return spark.read.options(**options).schema("review_id string, order_id string, message string, review_score bigint").csv(path)
+
+
+SPLIT_SCHEMA = "review_id string, order_id string, message string, review_score bigint"
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [7, 64, 1000, None])
+def test_csv_splits_equal_the_one_task_read(spark, tmp_path, split, end):
+    """Quotes, doubled quotes, breaks and long fields at every kind of split border."""
+    rng = random.Random(split or 1)
+    bits = ["a", "é", ",", '"', '""', end, end + end, " ", "word " * 30, "😀", "'", ""]
+    for name, rows in (("a.csv", 40), ("b.csv", 3), ("c.csv", 0)):
+        with open(tmp_path / name, "w", newline="") as f:
+            out = csv.writer(f, lineterminator=end)
+            out.writerow(["review_id", "order_id", "message", "review_score"])
+            for i in range(rows):
+                message = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
+                out.writerow([f"{name}{i}", rng.choice(["o1", 'o"2"']), message, rng.choice(["", 1, 5])])
+            f.write(end if rows else "")
+    got = raw.read_csv(spark, str(tmp_path), SPLIT_SCHEMA, multi_line=True, split_bytes=split)
+    want = one_task_read(spark, str(tmp_path))
+    assert got.columns == ["review_id", "order_id", "message", "review_score", "ingest_seq"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, got.drop("ingest_seq").collect())) == sorted(map(key, want.collect()))
+    order = [r["review_id"] for r in got.orderBy("ingest_seq").collect()]
+    assert order == [f"a.csv{i}" for i in range(40)] + [f"b.csv{i}" for i in range(3)]
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    with open(tmp_path / "a.csv", "w", newline="") as f:
+        csv.writer(f).writerows([["review_id", "order_id", "message", "review_score"]] + [[i, "o", f"line\n{i}", 1] for i in range(5000)])
+    with quoted.split_size(spark, 4096):
+        lines = quoted._lines(spark, str(tmp_path / "a.csv"))
+        assert lines.select(F.spark_partition_id().alias("p")).distinct().count() > 10
+    got = raw.read_csv(spark, str(tmp_path / "a.csv"), SPLIT_SCHEMA, multi_line=True, split_bytes=4096)
+    assert got.select("ingest_seq.block").distinct().count() > 10
+    assert got.count() == got.select("message").distinct().count() == 5000
+
+
+def test_quotes_inside_unquoted_fields_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('review_id,order_id,message,review_score\nr1,o1,"fine ""so""",1\nr2,o2,size 7",2\nr3,o3,"x",3\n')
+    with pytest.raises(Exception, match="quote inside an unquoted field"):
+        raw.read_csv(spark, str(tmp_path), SPLIT_SCHEMA, multi_line=True).collect()

@@ -337,3 +337,47 @@ def test_identical_scores_do_not_drift(spark):
     row = monitoring.model_drift(spread(spark, 0.0), spread(spark, 0.0)).first()
     assert tuple(row) == ("completed", 0.0, 1.0, False)
     assert monitoring.model_drift(spread(spark, 0.0), spread(spark, 0.0).limit(0)).first()["ks_statistic"] is not None
+
+
+def test_publishers_at_once_lose_no_table(spark, tmp_path, score_paths):
+    """Each publisher starts over from what the other made meanwhile; alerts follow from both."""
+    root, others = str(tmp_path / "serving"), [{"churn_scores": score_paths["churn_scores"]}, {"segment_assignments": score_paths["segment_assignments"]}]
+
+    def meanwhile(anomalies, churned, now):
+        while others:
+            jobs.publish_job(spark, root, others.pop())
+        return serving.generate_alerts(anomalies, churned, now)
+
+    now = datetime(2020, 1, 1, tzinfo=UTC)
+    publish.publish_all(spark, root, {"anomaly_scores": score_paths["anomaly_scores"]}, meanwhile, now)
+    assert set(publish.current_release(spark, root)) == {*publish.SCORE_SCHEMAS, "alerts"}
+    assert publish.read_published(spark, root, "churn_scores").count() == 5
+    assert publish.read_published(spark, root, "alerts").count() == 4
+    assert publish.entry_numbers(spark, root) == [1, 2, 3]
+
+
+def test_a_log_number_is_given_once(spark, tmp_path):
+    root = str(tmp_path / "serving")
+    line = {"number": 1, "release": "first", "published_at": "2020-01-01T00:00:00+00:00", "tables": {"a": "x"}}
+    assert publish.create_entry(spark, root, line)
+    assert not publish.create_entry(spark, root, line | {"release": "second"})
+    assert publish.newest_line(spark, root)["release"] == "first"
+    assert not list((tmp_path / "serving" / publish.RELEASE_LOG).glob(".second"))
+
+
+def test_log_compaction_keeps_the_newest(spark, tmp_path):
+    root = str(tmp_path / "serving")
+    for number in range(1, 8):
+        publish.create_entry(spark, root, {"number": number, "release": "r", "published_at": "2020-01-01T00:00:00+00:00", "tables": {"a": f"f{number}"}})
+    publish.compact_log(spark, root, kept=3)
+    assert publish.entry_numbers(spark, root) == [5, 6, 7]
+    assert publish.current_release(spark, root) == {"a": "f7"}
+    assert publish.commit_release(spark, root, {"b": "g"}, datetime(2020, 1, 1, tzinfo=UTC)) == {"a": "f7", "b": "g"}
+
+
+def test_logs_of_appended_lines_go_on(spark, tmp_path):
+    root, now = str(tmp_path / "serving"), datetime(2020, 1, 1, tzinfo=UTC)
+    spark.createDataFrame([(4, "old", now, {"a": "x"})], publish.LOG_SCHEMA).write.json(f"{root}/{publish.RELEASE_LOG}")
+    assert publish.current_release(spark, root) == {"a": "x"}
+    publish.commit_release(spark, root, {"b": "y"}, now)
+    assert publish.entry_numbers(spark, root) == [5] and publish.current_release(spark, root) == {"a": "x", "b": "y"}
