@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clientela import settings as S
 from clientela.functions.columns import require_features
-from clientela.functions.ranks import exact_quantiles
+from clientela.functions.selection import selected_quantiles
 from clientela.session import materialise
 
 TREES = 100
@@ -193,7 +193,7 @@ def train_isolation_forest(
     """Forest with its contamination cut, training raw scores and a metrics row."""
     forest = fit_forest(feature_matrix, contamination, seed, key=key)
     raw = materialise(raw_scores(feature_matrix, forest, key), "raw-scores")
-    forest.cut = exact_quantiles(raw, ["raw_score"], [contamination]).first()["value"]
+    forest.cut = selected_quantiles(raw, ["raw_score"], [contamination]).first()["value"]
     span = raw.agg(F.min("raw_score").alias("low"), F.max("raw_score").alias("high")).first()
     forest.low, forest.high = span["low"], span["high"]
     return forest, raw, anomaly_metrics(score_raw(raw, forest.cut), contamination)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clientela import settings as S
 from clientela.functions.columns import require_features
-from clientela.functions.ranks import exact_quantiles
+from clientela.functions.selection import selected_quantiles
 
 SCALER_SCHEMA = "feature string, mean double, scale double"
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>"
@@ -474,7 +474,7 @@ def feature_percentiles(
     feature_matrix: DataFrame, features: Sequence[str] = S.SEGMENT_FEATURES
 ) -> DataFrame:
     """``feature, p25, p50, p75, p90`` with linear interpolation, exact over all rows."""
-    long = exact_quantiles(feature_matrix, features, QUANTILE_SHARES)
+    long = selected_quantiles(feature_matrix, features, QUANTILE_SHARES)
     return long.groupBy("feature").agg(
         *[
             F.max(F.when(F.col("share") == s, F.col("value"))).alias(f"p{round(s * 100)}")

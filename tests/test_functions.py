@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from clientela.functions import columns, privacy, ranks, skew, text
+from clientela.functions import columns, privacy, ranks, selection, skew, text
 
 
 # --- hashing ----------------------------------------------------------------
@@ -131,6 +131,34 @@ def test_quantiles_match_numpy(spark, size):
             assert got[(name, s)] == pytest.approx(np.quantile(values, s), abs=1e-12)
 
 
+def test_selected_quantiles_match_the_sorted_rows(spark):
+    """Infinities, both zeros, denormals, nulls, NaN, ties, neighbouring doubles, an empty column, one value."""
+    rng = random.Random(6)
+    odd = [float("inf"), float("-inf"), 0.0, -0.0, 5e-324, -5e-324, 1.0, float(np.nextafter(1, 2)), -1.0, 1e308, -1e308]
+    rows = [(rng.choice(odd), rng.gauss(0, 1), None, float(rng.randint(0, 3)), None) for _ in range(700)]
+    rows += [(None, float("nan"), None, 2.0, None)] * 9 + [(1.0, 0.5, 7.5, 2.0, float("nan"))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(8)
+    shares = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
+    got = {(r["feature"], r["share"]): r["value"] for r in selection.selected_quantiles(df, list("abcde"), shares).collect()}
+    for at, name in enumerate("abcde"):
+        values = sorted(r[at] for r in rows if r[at] is not None and r[at] == r[at])
+        for share in shares if values else []:
+            place = (len(values) - 1) * share
+            low, high = values[math.floor(place)], values[math.ceil(place)]
+            want = low if low == high else low + (high - low) * (place - math.floor(place))
+            assert got[name, share] == want or (want != want and got[name, share] != got[name, share])
+    assert len(got) == 4 * len(shares)
+
+
+def test_selection_shuffles_counters_only(spark):
+    df = spark.range(0, 20_000, 1, 4).select((F.rand(1) * 100).alias("x"))
+    counts = selection.digit_counts(df, [[0]], 0, selection.DIGITS[0])
+    assert counts.count() <= 1 << selection.DIGITS[0]
+    assert counts.agg(F.sum("n")).first()[0] == 20_000
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("hashpartitioning") < plan.index("MapInArrow") and "rangepartitioning" not in plan
+
+
 def brute_auc(rows):
     pos = [s for s, y in rows if y]
     neg = [s for s, y in rows if not y]
