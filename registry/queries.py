@@ -25,6 +25,7 @@ from clientela.operators import (
     private,
     segments,
     serving,
+    silhouette,
 )
 from clientela.plans import jobs
 from clientela.session import materialise, new_folder, ship_package
@@ -541,6 +542,14 @@ def g5_silhouette(t: Inputs) -> DataFrame:
     return rounded(whole(_given_quality(t), "k_values").select("k_values", "silhouette_scores"))
 
 
+@query
+def g5_plain_silhouette(t: Inputs) -> DataFrame:
+    """Of the clusters around given centroids; no SQL, as the value is exact to the stated error only."""
+    points, _ = segments.prepare_points(t.stored_matrix)
+    nearest = segments.nearest_cluster(GIVEN_CENTROIDS, S.SEGMENT_FEATURES)
+    return silhouette.plain_silhouette(points.withColumn("cluster_id", nearest), S.SEGMENT_FEATURES)
+
+
 @query
 def g6_davies_bouldin(t: Inputs) -> DataFrame:
     return rounded(whole(_given_quality(t), "k_values").select("k_values", "davies_bouldin_scores"), 4)
