@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clientela import settings as S
 from clientela.functions.privacy import pseudonymize, pseudonymize_customers
-from clientela.operators import anomaly, churn, cleaning, explain, features, monitoring, segments, serving
+from clientela.operators import anomaly, churn, cleaning, explain, features, incremental, monitoring, segments, serving
 from clientela.operators.private import train_private_model
 from clientela.session import materialise
 from clientela.sources import publish, tables
@@ -109,17 +109,37 @@ def feature_job(
     ``HMAC_SALT``); ``pseudonymize=False`` keeps them readable, for comparisons only.
     """
     salt = salt_or_fail(salt) if pseudonymize else None
+    t = order_tables(raw, valid_statuses)
+    return features.order_grain_feature_matrix(t.orders, t.items, t.payments, t.reviews, snapshot_date, salt=salt)
+
+
+def order_tables(raw: Mapping[str, DataFrame], valid_statuses: list[str] | None = None) -> incremental.OrderTables:
+    """The cleaned tables of the features, with the columns that they use."""
     needed = {name: raw[name].select(*columns) for name, columns in FEATURE_INPUTS.items()}
-    return features.order_grain_feature_matrix(
+    return incremental.OrderTables(
         cleaning.clean_orders(needed["orders"], valid_statuses),
         needed["order_items"],
         cleaning.clean_payments(needed["order_payments"]),
         cleaning.clean_reviews(needed["order_reviews"]),
-        snapshot_date,
-        salt=salt,
     )
 
 
+def refreshed_feature_job(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    changed: DataFrame,
+    last_state: str,
+    next_state: str,
+    snapshot_date: str = S.SNAPSHOT_DATE,
+    salt: str | None = None,
+) -> DataFrame:
+    """The feature matrix of a stored state (a folder) and the orders in ``changed``; the new state is stored too."""
+    salt = salt_or_fail(salt)
+    state = incremental.refresh(incremental.FeatureState.load(spark, last_state), order_tables(raw), changed)
+    state.save(next_state)
+    return incremental.matrix_of_state(state, snapshot_date, salt=salt)
+
+
 @dataclass
 class Models:
     """What a scoring run needs; all tables here have a bounded number of rows."""

@@ -583,6 +583,7 @@ Q["f5_feature_matrix_hashed"] = (
 )
 Q["f6_fused_feature_matrix"] = MATRIX_OUT
 Q["f6_order_grain_feature_matrix"] = MATRIX_OUT
+Q["f6_incremental"] = MATRIX_OUT
 
 FIRST = floor_days(f"TIMESTAMP '{SNAPSHOT}'", "min(order_purchase_timestamp)")
 Q["x1_purchase_rate"] = f"""

@@ -21,6 +21,7 @@ from clientela.operators import (
     exploration,
     extra_features,
     features,
+    incremental,
     monitoring,
     private,
     segments,
@@ -310,6 +311,26 @@ def f6_order_grain_feature_matrix(t: Inputs) -> DataFrame:
     return text_times(t.matrix)
 
 
+@query
+def f6_incremental(t: Inputs) -> DataFrame:
+    """The state of an earlier day, brought up to date: later orders, deliveries, payments and reviews, cancellations."""
+    early = F.lit("2000-08-02").cast("timestamp")
+    ordered, delivered = F.col(features.PURCHASED), F.col(features.DELIVERED)
+    not_canceled_yet = F.when(F.col("order_status") == "canceled", "shipped").otherwise(F.col("order_status"))
+    then = {
+        "orders": t.raw["orders"]
+        .where(ordered < early)
+        .withColumns({"order_status": not_canceled_yet, features.DELIVERED: F.when(delivered < early, delivered)}),
+        "order_items": t.raw["order_items"],
+        "order_payments": t.raw["order_payments"].where("payment_type = 'boleto'"),
+        "order_reviews": t.raw["order_reviews"].where("review_creation_date < timestamp'2024-01-16'"),
+    }
+    before, after = jobs.order_tables(then), jobs.order_tables(t.raw)
+    state = incremental.first_state(before)
+    now = incremental.refresh(state, after, incremental.changed_orders(before, after))
+    return text_times(incremental.matrix_of_state(now, SNAPSHOT))
+
+
 @query
 def x1_purchase_rate(t: Inputs) -> DataFrame:
     return extra_features.purchase_rate(t.transactions, SNAPSHOT)
