@@ -894,6 +894,42 @@ FROM (SELECT cluster, count(*) AS n, sum(gap) AS inertia, {", ".join(f"sum({c})
               AS g(cluster, {", ".join(F7)})) WHERE place = 1 GROUP BY cluster)"""
 Q["g8_fixed_point"] = "SELECT CAST(3 AS BIGINT) AS clusters, count(*) AS rows, true AS settled FROM matrix"
 Q["c9_private_optimum"] = "SELECT true AS optimal, true AS unit_rows"
+# Public ranges of the features, written out here on purpose.
+PUBLIC = {
+    "recency_days": (0, 1000), "frequency": (0, 20), "monetary_total": (0, 5000), "monetary_avg": (0, 2000),
+    "avg_review_score": (1, 5), "review_count": (0, 20), "payment_installments_avg": (0, 24),
+    "avg_delivery_days": (0, 90), "late_delivery_rate": (0, 1),
+}
+RANGED = ", ".join(
+    f"2 * (CAST(least(greatest({c}, {low}), {high}) AS DOUBLE) - {low}) / ({high} - {low}) - 1 AS {c}" for c, (low, high) in PUBLIC.items()
+)
+CTES["ranged"] = f"SELECT {RANGED}, CAST(recency_days > 180 AS INT) AS churned FROM matrix"
+Q["c9_gaussian_clipped_sums"] = (
+    "SELECT CAST(count(*) AS DOUBLE) AS n, "
+    + ", ".join(f"round(sum({c}), 4) AS sum_{c}, round(sum({c} * {c}), 4) AS squares_{c}" for c in PUBLIC)
+    + " FROM ranged"
+)
+CTES["ranged_scaled"] = f"SELECT {', '.join(f'({c} + 0.5) / 0.25 AS {c}' for c in PUBLIC)}, churned FROM ranged"
+CTES["ranged_unit"] = f"""
+SELECT *, sqrt(CAST(0.5 AS DOUBLE)) / greatest(sqrt({" + ".join(f"{c} * {c}" for c in PUBLIC)}), 2 * sqrt({len(PUBLIC)})) AS shrink
+FROM ranged_scaled"""
+Q["c9_gaussian_first_gradient"] = (
+    "SELECT true AS unit_rows, "
+    + ", ".join(f"round(sum((0.5 - churned) * {c} * shrink), 4) AS g_x_{c}" for c in PUBLIC)
+    + ", round(sum((0.5 - churned) * sqrt(CAST(0.5 AS DOUBLE))), 4) AS g_x_one FROM ranged_unit"
+)
+# Noise scales from epsilon 2 and delta 1e-5; then the cost from the noise scales and the number of rounds.
+CTES["privacy_whole"] = "SELECT pow(sqrt(ln(1e5) + 2.0) - sqrt(ln(1e5)), 2) AS rho"
+CTES["privacy_noise"] = """
+SELECT 'scaler' AS step, CAST(1 AS BIGINT) AS releases, sqrt(23.0) AS sensitivity, sqrt(23.0) / sqrt(2 * rho * 0.2) AS sigma
+FROM privacy_whole
+UNION ALL SELECT 'gradient', 30, 1.0, 1 / sqrt(2 * rho * 0.8 / 30) FROM privacy_whole"""
+CTES["privacy_cost"] = "SELECT *, releases * sensitivity * sensitivity / (2 * sigma * sigma) AS rho FROM privacy_noise"
+Q["c9_gaussian_budget"] = """
+SELECT step, releases, round(sensitivity, 9) AS sensitivity, round(sigma, 9) AS sigma, round(rho, 9) AS rho,
+       round((SELECT sum(rho) + 2 * sqrt(sum(rho) * ln(1e5)) FROM privacy_cost), 9) AS epsilon, CAST(0.00001 AS DOUBLE) AS delta,
+       (SELECT CAST(floor(0.8 * count(*)) AS BIGINT) FROM matrix) AS train_rows
+FROM privacy_cost"""
 Q["x10_tradeoff_levels"] = """
 SELECT epsilon, CAST(0 AS DOUBLE) AS dp_training_failed, CAST(floor(0.8 * n) AS DOUBLE) AS train_size, n - floor(0.8 * n) AS test_size
 FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM matrix), (VALUES (CAST(0.5 AS DOUBLE)), (1), (2), (5), ('inf')) AS e(epsilon)"""

@@ -21,6 +21,7 @@ from clientela.operators import (
     exploration,
     extra_features,
     features,
+    gaussian,
     incremental,
     monitoring,
     private,
@@ -1031,6 +1032,52 @@ def c9_private_optimum(t: Inputs) -> DataFrame:
     return rows.agg(reduce(lambda a, b: a & b, gradient).alias("optimal"), (F.max(size) <= 1 + 1e-9).alias("unit_rows"))
 
 
+# Features of the private model that the matrix holds by itself.
+MATRIX_CHURN_FEATURES = S.CHURN_FEATURES[:9]
+
+
+@query
+def c9_gaussian_clipped_sums(t: Inputs) -> DataFrame:
+    """What the private scaler adds noise to."""
+    return rounded(gaussian.clipped_sums(t.matrix, MATRIX_CHURN_FEATURES), 4)
+
+
+@query
+def c9_gaussian_first_gradient(t: Inputs) -> DataFrame:
+    """What the first round of the private fit adds noise to, under a given scaler: rows of norm 1 at most."""
+    d = len(MATRIX_CHURN_FEATURES)
+    budget = gaussian.Budget.plan(S.DP_EPSILON, S.DP_DELTA, d)
+    model = gaussian.GaussianLogistic(
+        MATRIX_CHURN_FEATURES, gaussian.RANGES, budget, 1.0, np.full(d, -0.5), np.full(d, 0.25), np.zeros(d + 1)
+    )
+    rows = churn.build_churn_labels(t.matrix).select(*[v.alias(c) for c, v in model.inputs().items()], F.col("churned").cast("double"))
+    names = list(model.inputs())
+    size = sum([F.col(c) * F.col(c) for c in names[1:]], F.col(names[0]) * F.col(names[0]))
+    longest = rows.agg((F.max(size) <= 1 + 1e-9).alias("unit_rows"))
+    sums = gaussian.gradient_sums(materialise(rows, "gaussian-points"), names, model.weights)
+    return rounded(longest.select("unit_rows", *[F.lit(float(v)).alias(f"g{c}") for c, v in zip(names, sums, strict=True)]), 4)
+
+
+def _gaussian(t: Inputs) -> tuple[DataFrame, gaussian.GaussianLogistic]:
+    split = churn.ordered_split(materialise(_given_features(t), "churn"))
+    return split, gaussian.fit_gaussian_logistic(split.where("split = 'train'"))
+
+
+@query
+def c9_gaussian_budget(t: Inputs) -> DataFrame:
+    """The noise of a fit, and the epsilon that it amounts to."""
+    split, model = _gaussian(t)
+    total = gaussian.epsilon_of(model.budget.rho, model.budget.delta)
+    trained = split.where("split = 'train'").agg(F.count(F.lit(1)).alias("train_rows"))
+    ledger = model.budget.ledger(t.spark).withColumns({"epsilon": F.lit(total), "delta": F.lit(model.budget.delta)})
+    return rounded(ledger.crossJoin(F.broadcast(trained)), 9)
+
+
+@query
+def c9_gaussian_model_metrics(t: Inputs) -> DataFrame:
+    return gaussian.gaussian_model_metrics(*_gaussian(t))
+
+
 @query
 def x10_tradeoff_levels(t: Inputs) -> DataFrame:
     table = private.privacy_tradeoff(churn.ordered_split(materialise(_given_features(t), "churn")))
