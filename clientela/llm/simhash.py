@@ -24,6 +24,9 @@ SHARD_MEMBERS = 30_000
 SAMPLE_PER_SHARD = 64
 SAMPLE_MOST = 1 << 17
 LEAF_MEMBERS = 64
+# Members and visitors of a shard that one task holds at once, about; larger shards are searched block by block.
+MEMBERS_AT_ONCE = 1 << 17
+VISITORS_AT_ONCE = 1 << 17
 # Pairs compared at a time in a leaf.
 BLOCK = 1 << 21
 VANTAGE_TRIES = 6
@@ -154,10 +157,11 @@ class Forest:
                 self.pairs.append((int(left[i]), int(right[i])))
 
 
-def linked_in_shard(members: np.ndarray, visitors: np.ndarray, reach: int) -> list[tuple[int, int]]:
+def linked_in_shard(members: np.ndarray, visitors: np.ndarray, reach: int, among: bool = True) -> list[tuple[int, int]]:
     """Pairs (member or visitor, member) within ``reach``: enough of them to connect all that link in this shard.
 
-    The shard's own vantage-point tree is walked for all members and visitors at once.
+    The shard's own vantage-point tree is walked for all members and visitors at once; without ``among`` for the
+    visitors only.
     """
     fps = np.concatenate([members, visitors])
     forest = Forest(len(fps))
@@ -169,10 +173,11 @@ def linked_in_shard(members: np.ndarray, visitors: np.ndarray, reach: int) -> li
         split = Split.fit(fps[own]) if len(own) > LEAF_MEMBERS else None
         if split:
             near, crossing, guests_near, guests_far = split.deal(fps[own], fps[guests], reach)
-            todo.append((own[near], np.concatenate([guests[guests_near], own[crossing]])))
+            across = own[crossing] if among else own[:0]
+            todo.append((own[near], np.concatenate([guests[guests_near], across])))
             todo.append((own[~near], guests[guests_far]))
             continue
-        everyone = np.concatenate([own, guests])
+        everyone = np.concatenate([own, guests]) if among else guests
         step = max(1, BLOCK // len(own))
         for start in range(0, len(everyone), step):
             part = everyone[start : start + step]
@@ -198,6 +203,13 @@ def fit_top(sample: np.ndarray, shards: int) -> tuple:
     return grow(sample, max(0, math.ceil(math.log2(max(1, shards)))))
 
 
+def leaves(top) -> list[int]:
+    """Numbers of the shards below a node."""
+    if isinstance(top, int):
+        return [top]
+    return leaves(top[1]) + leaves(top[2])
+
+
 def deal_to_shards(top, fps: np.ndarray, reach: int):
     """``shard, position, is member`` arrays for every shard a fingerprint belongs to or has to visit."""
     out = []
@@ -215,13 +227,45 @@ def deal_to_shards(top, fps: np.ndarray, reach: int):
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
+class Blocks:
+    """Cuts shards into blocks of members and of visitors, so that no task holds a whole large one.
+
+    Every block of members meets every block of visitors and every other block of members once: as the groups
+    (shard, own block, other). ``other`` counts the visitors' blocks, then the members'; with the first of them
+    members are also compared among themselves.
+    """
+
+    def __init__(self, members: np.ndarray, visitors: np.ndarray):
+        self.own = np.maximum(1, -(-members // MEMBERS_AT_ONCE))
+        self.visiting = np.maximum(1, -(-visitors // VISITORS_AT_ONCE))
+
+    def deal(self, shard: np.ndarray, fps: np.ndarray, member: np.ndarray):
+        """``position, own block, other, is own`` of every group that a row goes to."""
+        own, visiting = self.own[shard], self.visiting[shard]
+        mixed = (fps.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        block = (mixed % np.where(member, own, visiting).astype(np.uint64)).astype(np.int64)
+        copies = np.where(member, visiting + own - 1, own)
+        at = np.repeat(np.arange(len(fps)), copies)
+        turn = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+        own, visiting, block, member = own[at], visiting[at], block[at], member[at]
+        # Members, after all visitors' blocks: the other members' blocks in turn; the smaller number is at home.
+        rest = turn - visiting
+        mate = rest + (rest >= block)
+        home = member & ((rest < 0) | (mate > block))
+        own_block = np.where(home, block, np.where(member, mate, turn))
+        other = np.where(~member, block, np.where(rest < 0, turn, visiting + np.maximum(mate, block)))
+        return at, own_block, other, home
+
+
 def links(distinct: DataFrame, reach: int = DISTANCE) -> DataFrame:
     """``a, b``: links between different fingerprints (column ``fp``) that connect all within ``reach`` bits.
 
     Top of a vantage-point tree, fitted on a bounded sample, deals every fingerprint to one shard, and those near a
     border to the shards across it as visitors; every shard then searches its own tree. All fingerprints are
     indexed; only which points serve as vantage points comes from the sample. A shard returns a spanning forest of
-    its links, so a group of g near copies costs it g - 1 rows, not g^2.
+    its links, so a group of g near copies costs it g - 1 rows, not g^2. Shards with more members or visitors than a
+    task should hold are searched block against block (:class:`Blocks`): a crowd of near copies, which visits most
+    shards, makes more tasks instead of larger ones.
     """
     shards = max(1, math.ceil(distinct.count() / SHARD_MEMBERS))
     wanted = min(SAMPLE_MOST, SAMPLE_PER_SHARD * shards)
@@ -230,22 +274,41 @@ def links(distinct: DataFrame, reach: int = DISTANCE) -> DataFrame:
     sample = rows.column("fp").to_numpy().view(np.uint64) if len(rows) else np.zeros(0, np.uint64)
     top = fit_top(sample, shards)
 
-    def deal(batches: Batches):
+    def visits(batches: Batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            fps = batch.column(0).to_numpy(zero_copy_only=False)
-            shard, at, member = deal_to_shards(top, fps.view(np.uint64), reach)
-            yield arrow_batch(["shard", "fp", "member"], [pa.array(shard, pa.int32()), pa.array(fps[at]), pa.array(member)])
+            if batch.num_rows:
+                fps = batch.column(0).to_numpy(zero_copy_only=False)
+                shard, at, member = deal_to_shards(top, fps.view(np.uint64), reach)
+                yield shard.astype(np.int32), fps[at], member
+
+    def count(batches: Batches):
+        for shard, _, member in visits(batches):
+            found, times = np.unique(2 * shard + member, return_counts=True)
+            yield arrow_batch(["place", "n"], [pa.array(found, pa.int32()), pa.array(times, pa.int64())])
+
+    # Bounded: two numbers for each leaf of the top, which has no more leaves than the sample has fingerprints.
+    sizes = np.zeros(2 * len(leaves(top)), np.int64)
+    counted = distinct.select("fp").mapInArrow(count, "place int, n long")
+    for place, n in counted.groupBy("place").agg(F.sum("n")).collect():
+        sizes[place] = n
+    blocks = Blocks(sizes[1::2], sizes[0::2])
+
+    def deal(batches: Batches):
+        for shard, fps, member in visits(batches):
+            at, own, other, home = blocks.deal(shard, fps, member)
+            parts = [shard[at], own.astype(np.int32), other.astype(np.int32), fps[at], home]
+            yield arrow_batch(["shard", "own", "other", "fp", "member"], [pa.array(x) for x in parts])
 
     def search(group: pa.Table) -> pa.Table:
         fps = group.column("fp").to_numpy().view(np.uint64)
         member = group.column("member").to_numpy()
-        pairs = np.array(linked_in_shard(fps[member], fps[~member], reach), np.uint64).reshape(-1, 2).view(np.int64)
+        among = group.column("other")[0].as_py() == 0
+        found = linked_in_shard(fps[member], fps[~member], reach, among)
+        pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    dealt = distinct.select("fp").mapInArrow(deal, "shard int, fp long, member boolean")
-    return dealt.groupBy("shard").applyInArrow(search, "a long, b long")
+    dealt = distinct.select("fp").mapInArrow(deal, "shard int, own int, other int, fp long, member boolean")
+    return dealt.groupBy("shard", "own", "other").applyInArrow(search, "a long, b long")
 
 
 def near_duplicates(

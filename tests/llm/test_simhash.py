@@ -110,6 +110,55 @@ def test_trees_lose_no_link(seed, n, shards):
     assert forest_components(len(fps), pairs) == forest_components(len(fps), want)
 
 
+def crowded(seed, n):
+    """Fingerprints of which a third lie within a few bits of one."""
+    rng = np.random.default_rng(seed)
+    fps = rng.integers(0, 1 << 64, n, np.uint64)
+    for i in range(0, n, 3):
+        for bit in rng.integers(0, 64, rng.integers(0, 6)):
+            fps[i] = fps[0] ^ (np.uint64(1) << np.uint64(bit))
+    return np.unique(fps)
+
+
+def test_blocks_meet_once(monkeypatch):
+    monkeypatch.setattr(simhash, "MEMBERS_AT_ONCE", 20)
+    monkeypatch.setattr(simhash, "VISITORS_AT_ONCE", 15)
+    fps = crowded(1, 200).view(np.int64)
+    member = np.arange(len(fps)) % 3 > 0
+    blocks = simhash.Blocks(np.array([5, member.sum()]), np.array([0, (~member).sum()]))
+    at, own, other, home = blocks.deal(np.ones(len(fps), int), fps, member)
+    groups = defaultdict(lambda: ([], []))
+    for i, a, b, at_home in zip(at, own, other, home):
+        groups[a, b][0 if at_home else 1].append(i)
+    met = Counter()
+    for (_, b), (here, guests) in groups.items():
+        met.update(frozenset((i, j)) for i in here for j in guests)
+        if b == 0:
+            met.update(frozenset((i, j)) for n, i in enumerate(here) for j in here[:n])
+    wanted = {frozenset((i, j)) for i in range(len(fps)) for j in range(i) if member[i] or member[j]}
+    assert set(met) == wanted and set(met.values()) == {1}
+    assert max(len(h) for h, _ in groups.values()) < 60
+
+
+def test_small_blocks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD_MEMBERS", 300)
+    monkeypatch.setattr(simhash, "MEMBERS_AT_ONCE", 40)
+    monkeypatch.setattr(simhash, "VISITORS_AT_ONCE", 30)
+    fps = crowded(2, 1500)
+    rows = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    found, wanted = Sets(), Sets()
+    for a, b in simhash.links(rows, 3).collect():
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 3 and a != b
+        found.join(a, b)
+    for i, j in zip(*np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3)):
+        wanted.join(int(fps[i : i + 1].view(np.int64)[0]), int(fps[j : j + 1].view(np.int64)[0]))
+    groups = [defaultdict(set) for _ in range(2)]
+    for f in fps.view(np.int64):
+        for sets, known in zip((found, wanted), groups):
+            known[sets.root(int(f))].add(int(f))
+    assert sorted(map(sorted, groups[0].values())) == sorted(map(sorted, groups[1].values()))
+
+
 def test_connected_chain_and_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(1000, 1000 + i) for i in range(1, 50)]
