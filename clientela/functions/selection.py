@@ -8,7 +8,7 @@ counters are shuffled: for each task at most one for each wanted rank and digit,
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -61,40 +61,58 @@ def digit_counts(stored: DataFrame, prefixes: list[list[int]], done: int, width:
     return stored.mapInArrow(scan, COUNTS).groupBy("feature", "prefix", "digit").agg(F.sum("n").alias("n"))
 
 
-def selected_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Linear-interpolation quantiles: ``feature, share, value`` rows, nulls and NaN skipped.
+def selected_ranks(
+    df: DataFrame, columns: Sequence[str], wanted: Callable[[int], Sequence[int]]
+) -> tuple[list[int], list[dict[int, tuple[float, int, int]]]]:
+    """Size of each column, and of each wanted rank (from 0): its value, the rows below that and those up to it.
 
-    The values of :func:`clientela.functions.ranks.exact_quantiles`. A column without values has no rows. What comes
-    to the driver are the counters, at most 2048 for each of two ranks a share and column.
+    ``wanted`` gives the ranks for a column's size; nulls and NaN are skipped. What comes to the driver are the
+    counters, at most 2048 for each rank and column.
     """
     ship_package(df.sparkSession)
     stored = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "values")
-    # Wanted ranks of each column, with the digits found so far and the rank among values of the same digits.
-    open_ranks: list[dict[int, tuple[int, int]]] = [{} for _ in columns]
+    # Wanted ranks of each column, with the digits found so far, the rank among values of the same digits, and their number.
+    open_ranks: list[dict[int, tuple[int, int, int]]] = [{} for _ in columns]
     sizes = [0] * len(columns)
     done = 0
     for width in DIGITS:
-        prefixes = [sorted({prefix for prefix, _ in ranks.values()}) if done else [0] for ranks in open_ranks]
+        prefixes = [sorted({prefix for prefix, _, _ in ranks.values()}) if done else [0] for ranks in open_ranks]
         counted: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for row in digit_counts(stored, prefixes, done, width).collect():
-            counted.setdefault((row["feature"], row["prefix"]), []).append((row["digit"], row["n"]))
+        found = digit_counts(stored, prefixes, done, width).toArrow().to_pydict()
+        for at, prefix, digit, n in zip(found["feature"], found["prefix"], found["digit"], found["n"], strict=True):
+            counted.setdefault((at, prefix), []).append((digit, n))
+        for digits in counted.values():
+            digits.sort()
         if not done:
             for at in range(len(columns)):
                 sizes[at] = sum(n for _, n in counted.get((at, 0), []))
-                places = [(sizes[at] - 1) * s for s in shares] if sizes[at] else []
-                open_ranks[at] = {r: (0, r) for p in places for r in (math.floor(p), math.ceil(p))}
+                open_ranks[at] = {r: (0, r, sizes[at]) for r in (wanted(sizes[at]) if sizes[at] else [])}
         for at, ranks in enumerate(open_ranks):
-            for rank, (prefix, left) in ranks.items():
-                for digit, n in sorted(counted[at, prefix]):
+            for rank, (prefix, left, _) in ranks.items():
+                for digit, n in counted[at, prefix]:
                     if left < n:
-                        ranks[rank] = (prefix << width | digit, left)
+                        ranks[rank] = (prefix << width | digit, left, n)
                         break
                     left -= n
         done += width
+    return sizes, [{r: (double_of(key), r - left, r - left + n) for r, (key, left, n) in ranks.items()} for ranks in open_ranks]
+
+
+def selected_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Linear-interpolation quantiles: ``feature, share, value`` rows, nulls and NaN skipped.
+
+    The values of :func:`clientela.functions.ranks.exact_quantiles`. A column without values has no rows. What comes
+    to the driver are the counters, at most 2048 for each of two ranks a share and column.
+    """
+
+    def both_sides(rows: int) -> list[int]:
+        return [r for s in shares for r in (math.floor((rows - 1) * s), math.ceil((rows - 1) * s))]
+
+    sizes, found = selected_ranks(df, columns, both_sides)
     rows = []
     for at, name in enumerate(columns):
         for share in shares if sizes[at] else []:
             place = (sizes[at] - 1) * share
-            low, high = (double_of(open_ranks[at][r][0]) for r in (math.floor(place), math.ceil(place)))
+            low, high = (found[at][r][0] for r in (math.floor(place), math.ceil(place)))
             rows.append((name, float(share), low + (high - low) * (place - math.floor(place)) if high != low else low))
     return df.sparkSession.createDataFrame(rows, "feature string, share double, value double")

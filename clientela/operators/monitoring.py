@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from clientela import settings as S
 from clientela.functions.ranks import ks_distance, ks_p_value
+from clientela.functions.sketch import ks_bounds
 
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 DRIFT_SCHEMA = (
     "feature string, reference_mean double, current_mean double, drift double, drifted boolean"
 )
 KS_SCHEMA = "status string, ks_statistic double, p_value double, drift_detected boolean"
+BOUNDED_SCHEMA = (
+    "status string, ks_low double, ks_high double, p_value_low double, p_value_high double, drift_detected boolean"
+)
 
 
 def is_numeric(dtype: str) -> bool:
@@ -90,6 +94,23 @@ def model_drift(
     return current.sparkSession.createDataFrame([row], KS_SCHEMA).coalesce(1)
 
 
+def bounded_drift(
+    sketch: DataFrame, current: DataFrame, threshold: float = S.KS_THRESHOLD
+) -> DataFrame:
+    """:func:`model_drift` against a rank sketch of the baseline: bounds of the distance and of its p-value.
+
+    The exact distance lies within the bounds, and its p-value between the two. ``drift_detected`` is null where
+    the bounds differ in their verdict, so that only the exact distance can tell.
+    """
+    found = ks_bounds(sketch, current, "churn_probability").first()
+    row = ("no_data", 0.0, 0.0, 1.0, 1.0, False)
+    if found["ks_low"] is not None:
+        sides = [ks_verdict(found[c], found["n_first"], found["n_second"], threshold) for c in ("ks_low", "ks_high")]
+        (_, low, p_high, calm), (_, high, p_low, drifted) = sides
+        row = ("completed", low, high, p_low, p_high, drifted if calm == drifted else None)
+    return current.sparkSession.createDataFrame([row], BOUNDED_SCHEMA).coalesce(1)
+
+
 def monitoring_verdict(
     drift: DataFrame, score_checks: DataFrame, model: DataFrame, threshold: float = S.DRIFT_THRESHOLD
 ) -> DataFrame:

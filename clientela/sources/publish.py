@@ -20,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from clientela.functions.sketch import PARTS, RankSketch
 from clientela.sources.tables import table_exists
 
 RELEASE_LOG = "releases"
@@ -244,6 +245,25 @@ def save_baseline(scores: DataFrame, root: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+SKETCH_TABLE = "churn_score_sketch"
+
+
+def save_sketch(sketch: RankSketch, spark: SparkSession, root: str) -> DataFrame:
+    """Store a rank sketch of the scores as the baseline: a table whose size does not depend on the scores."""
+    folder = f"{root}/{SKETCH_TABLE}/{uuid.uuid4().hex}"
+    sketch.to_frame(spark).write.parquet(folder)
+    commit_release(spark, root, {SKETCH_TABLE: folder}, datetime.now(UTC))
+    return spark.read.parquet(folder)
+
+
+def sketch_or_create(scores: DataFrame, root: str, parts: int = PARTS) -> tuple[DataFrame, bool]:
+    """The stored sketch, and whether this call had to create it."""
+    folder = current_release(scores.sparkSession, root).get(SKETCH_TABLE)
+    if folder:
+        return scores.sparkSession.read.parquet(folder), False
+    return save_sketch(RankSketch.of(scores, "churn_probability", parts), scores.sparkSession, root), True
+
+
 def baseline_or_create(scores: DataFrame, root: str) -> tuple[DataFrame, bool]:
     """The stored baseline, and whether this call had to create it."""
     folder = current_release(scores.sparkSession, root).get(BASELINE_TABLE)

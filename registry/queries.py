@@ -13,6 +13,7 @@ from clientela import settings as S
 from clientela.functions.columns import missing_values
 from clientela.functions.privacy import is_valid_hash, pseudonymize, pseudonymize_customers
 from clientela.functions.ranks import average_precision, exact_quantiles, ks_distance, roc_auc
+from clientela.functions.sketch import RankSketch, ks_bounds, merged
 from clientela.operators import (
     anomaly,
     churn,
@@ -48,6 +49,7 @@ from registry.inputs import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+SKETCH_PARTS = 64
 STAND_IN_KS = {k: f"c{k}" for k in range(S.K_MIN, S.K_MAX + 1)}
 
 
@@ -206,6 +208,13 @@ def s9_score_baseline(t: Inputs) -> DataFrame:
     return stored.withColumns({"created_first": F.lit(created), "created_again": F.lit(again)})
 
 
+@query
+def s9_baseline_sketch(t: Inputs) -> DataFrame:
+    root = new_folder(t.spark, "sketch")
+    publish.sketch_or_create(t.churn_scores(), root, SKETCH_PARTS)
+    return publish.sketch_or_create(t.newer_churn_scores(), root, SKETCH_PARTS)[0]
+
+
 # --- cleaning ------------------------------------------------------------------
 @query
 def p1_clean_orders(t: Inputs) -> DataFrame:
@@ -732,6 +741,30 @@ def m3_model_drift(t: Inputs) -> DataFrame:
     return rounded(monitoring.model_drift(t.churn_scores(), t.newer_churn_scores()))
 
 
+@query
+def m3_distance_bounds(t: Inputs) -> DataFrame:
+    """Bounds from a sketch of the earlier scores, and whether the exact distance lies within them."""
+    stored = RankSketch.of(t.churn_scores(), "churn_probability", SKETCH_PARTS).to_frame(t.spark)
+    bounds = ks_bounds(stored, t.newer_churn_scores(), "churn_probability")
+    return rounded(_with_exact(t, bounds).select("ks_low", "ks_high", "n_first", "n_second", "inside"))
+
+
+@query
+def m3_merged_sketch_bounds(t: Inputs) -> DataFrame:
+    """The same from merged and thinned sketches of three parts of the earlier scores."""
+    place = F.pmod(F.xxhash64("customer_hash"), F.lit(3))
+    parts = [RankSketch.of(t.churn_scores().where(place == i), "churn_probability", SKETCH_PARTS) for i in range(3)]
+    stored = merged(parts).thinned(SKETCH_PARTS).to_frame(t.spark)
+    bounds = _with_exact(t, ks_bounds(stored, t.newer_churn_scores(), "churn_probability"))
+    narrow = F.col("ks_high") - F.col("ks_low") <= 2 / SKETCH_PARTS
+    return bounds.select("n_first", "n_second", "inside", narrow.alias("narrow"))
+
+
+def _with_exact(t: Inputs, bounds: DataFrame) -> DataFrame:
+    exact = ks_distance(t.churn_scores(), t.newer_churn_scores(), "churn_probability").select("ks_statistic").scalar()
+    return bounds.withColumn("inside", exact.between(F.col("ks_low"), F.col("ks_high")))
+
+
 @query
 def m4_monitoring_verdict(t: Inputs) -> DataFrame:
     reference, current = _two_matrices(t)
