@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.functions.columns import require_features
 from clientela.functions.ranks import roc_auc, running_totals, with_position
-from clientela.session import materialise
+from clientela.session import materialise, spread
 
 KEY = "customer_hash"
 
@@ -160,12 +160,16 @@ def train_churn_model(
     features: list[str] | None = None,
     key: str = KEY,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Boosted trees fitted on the train side, and the metrics row of the test side."""
+    """Boosted trees fitted on the train side, and the metrics row of the test side.
+
+    Every round scans the train side once for each level of its tree, so it is spread evenly over the cores first; it
+    is sorted in each partition, as the booster draws its candidate cuts by place.
+    """
     features = features or S.CHURN_FEATURES
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    train = split.where(F.col("split") == "train").select(
-        *features, F.col("churned").cast("double").alias("label")
-    )
+    label = F.col("churned").cast("double").alias("label")
+    train = spread(split.where(F.col("split") == "train").select(key, *features, label), key, *features)
+    train = train.sortWithinPartitions(key, *features)
     booster = GBTClassifier(
         maxIter=rounds, stepSize=step, seed=seed, featuresCol="features", labelCol="label"
     )

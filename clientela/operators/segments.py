@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.functions.columns import require_features
 from clientela.functions.selection import selected_quantiles
+from clientela.session import spread
 
 SCALER_SCHEMA = "feature string, mean double, scale double"
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>"
@@ -25,6 +26,8 @@ SHIFT_TOLERANCE = 1e-4
 # Rounds of drawing candidate starts and candidates of a round; more where k asks for more.
 CANDIDATE_ROUNDS = 5
 CANDIDATES = 64
+# Points that all models of a scan look at in one step: their distances stay in the processor's cache.
+BLOCK = 256
 
 
 # --- scaling ----------------------------------------------------------------
@@ -78,6 +81,41 @@ def _nearest(points: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
     return labels, np.maximum(gaps[np.arange(len(points)), labels], 0.0)
 
 
+class Stacked:
+    """Sums by nearest centroid for many models at once: one product for all distances, one for all sums."""
+
+    def __init__(self, models: dict[int, np.ndarray]):
+        # Models of equal k stand side by side, so their centroids are compared in whole arrays.
+        self.order = sorted(models, key=lambda m: len(models[m]))
+        self.sizes = [len(models[m]) for m in self.order]
+        self.centroids = np.vstack([models[m] for m in self.order])
+        self.factors = np.column_stack([-2.0 * self.centroids, (self.centroids**2).sum(1)])
+        self.sums = np.zeros((len(self.centroids), 2 + self.centroids.shape[1]))
+
+    def add(self, x: np.ndarray) -> None:
+        # Squared distances, but for the point's own square, which no centroid changes.
+        gaps = self.factors @ np.vstack([x.T, np.ones(len(x))])
+        member = np.empty(gaps.shape)
+        at = 0
+        for k in sorted(set(self.sizes)):
+            upto = at + k * self.sizes.count(k)
+            mine = gaps[at:upto].reshape(-1, k, len(x))
+            nearest = mine == mine.min(axis=1)[:, None]
+            if np.count_nonzero(nearest) != len(mine) * len(x):  # of equally near ones the first
+                nearest = mine.argmin(axis=1)[:, None] == np.arange(k)[:, None]
+            member[at:upto] = nearest.reshape(-1, len(x))
+            at = upto
+        self.sums += member @ np.column_stack([np.ones(len(x)), (x**2).sum(1), x])
+
+    def totals(self) -> dict[int, np.ndarray]:
+        """Model -> per cluster: size, inertia and feature sums."""
+        found = self.sums.copy()
+        # Sum of |x - c|^2 = squares - 2 c.S + n |c|^2
+        found[:, 1] += (self.factors * np.column_stack([found[:, 2:], found[:, 0]])).sum(1)
+        found[:, 1] = np.maximum(found[:, 1], 0.0)
+        return dict(zip(self.order, np.split(found, np.cumsum(self.sizes)[:-1]), strict=True))
+
+
 def _assignment_sums(
     points: DataFrame, features: list[str], models: dict[int, np.ndarray]
 ) -> DataFrame:
@@ -91,13 +129,12 @@ def _assignment_sums(
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = {m: np.zeros((len(c), 2 + len(features))) for m, c in models.items()}
+        stacked = Stacked(models)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             x = _matrix(batch, features)
-            for m, centroids in models.items():
-                totals[m] += _batch_sums(x, centroids)
+            for start in range(0, len(x), BLOCK):
+                stacked.add(x[start : start + BLOCK])
+        totals = stacked.totals()
         rows = [
             (m, c, int(v[0]), *v[1:].tolist()) for m, t in totals.items() for c, v in enumerate(t)
         ]
@@ -238,7 +275,7 @@ def fit_kmeans(
     """
     features = list(features)
     draw = F.xxhash64(F.col(key), F.lit(seed)).alias("draw")
-    points = points.select(draw, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    points = spread(points.select(draw, *features), "draw", *features).persist(StorageLevel.MEMORY_AND_DISK)
     models: dict[int, np.ndarray] = {}
     k_of: dict[int, int] = {}
     try:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clientela import settings as S
 from clientela.operators import anomaly, churn, explain, private, segments
 from clientela.plans import jobs
+from clientela.session import spread
 
 
 def feature_rows(n, seed=7):
@@ -559,3 +560,61 @@ def test_all_privacy_levels_share_their_scans(split):
     assert jobs_run < sum(n for _, n in alone)
     for (models, _), e in zip(alone, (1.0, 5.0), strict=True):
         np.testing.assert_allclose(models[e].weights, together[e].weights, atol=1e-8)
+
+
+def test_stacked_models_sum_like_each_alone():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 3))
+    models = {m: x[rng.choice(len(x), k)] for m, k in enumerate([4, 2, 3, 4, 1])}
+    models[5] = np.vstack([x[:2], x[:2]])  # equally near: the first takes the point
+    stacked = segments.Stacked(models)
+    for start in range(0, len(x), 128):
+        stacked.add(x[start : start + 128])
+    for m, found in stacked.totals().items():
+        assert np.allclose(found, segments._batch_sums(x, models[m]), atol=1e-9)
+
+
+@pytest.fixture(scope="module")
+def one_split(spark):
+    """Rows that all stand in one partition."""
+    names = S.SEGMENT_FEATURES
+    values = [(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 10).alias(c) for i, c in enumerate(names)]
+    rows = spark.range(0, 45_000, 1, 1).select(F.col("id").cast("string").alias("customer_hash"), *values)
+    return rows.localCheckpoint()
+
+
+def partition_sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_rows_of_one_split_are_spread_over_the_cores(spark, one_split):
+    sizes = partition_sizes(spread(one_split, "customer_hash"))
+    assert len(sizes) == 5 and max(sizes) < 12_000 and sum(sizes) == 45_000
+    assert len(partition_sizes(spread(one_split.limit(7), "customer_hash"))) == 1
+    assert spread(one_split.limit(0), "customer_hash").count() == 0
+
+
+def test_sweep_scans_and_explanations_use_several_tasks(one_split, monkeypatch):
+    seen = []
+    monkeypatch.setattr(segments, "_candidates", lambda points, *rest: seen.append(partition_sizes(points)) or (np.zeros((0, 7)), np.zeros(0)))
+    with pytest.raises(ValueError):
+        segments.fit_kmeans(one_split, [2], starts=1)
+    assert len(seen[0]) == 5
+    leaves = explain.LeafTable(pd.DataFrame([(0, 0, 0, 50.0, 1, 2, 4.0, 0.0), (0, 1, -1, 0.0, -1, -1, 2.0, 1.0), (0, 2, -1, 0.0, -1, -1, 2.0, 3.0)], columns=["tree", "node", "feature", "threshold", "left", "right", "cover", "value"]))
+    explained = explain.explain_rows(one_split, leaves, S.SEGMENT_FEATURES, None, "customer_hash")
+    assert len(partition_sizes(explained)) == 5
+    assert explained.where(F.abs(F.col("contributions")[0]) == 1.0).count() == 45_000
+
+
+def test_booster_rounds_use_several_tasks(one_split, monkeypatch):
+    seen = []
+
+    def fit(self, vectors):
+        seen.append(partition_sizes(vectors))
+        raise InterruptedError
+
+    monkeypatch.setattr(churn.GBTClassifier, "fit", fit)
+    split = one_split.select("*", F.lit("train").alias("split"), F.lit(1).alias("churned"))
+    with pytest.raises(InterruptedError):
+        churn.train_churn_model(split, 1, features=S.SEGMENT_FEATURES)
+    assert len(seen[0]) == 5
