@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientela.session import materialise, ship_package
+from clientela.session import materialise, ship_package, spread
 
 ERROR = 0.01
 # Cells that together leave this share of the gap are cut.
 CUT_SHARE = 0.9
-# Distances computed at a time in a task.
-BLOCK = 1 << 21
+# Distances computed at a time in a task: few enough to stay in the processor's cache.
+BLOCK = 1 << 17
 # Variances below this share of a cell's squared size are rounding.
 ROUNDING = 1e-12
 
@@ -66,6 +66,7 @@ class Balls:
         self.variances = squares / self.n[:, None] - self.mean**2
         self.variances[self.variances < ROUNDING * (1 + self.mean**2)] = 0.0
         self.v = self.variances.sum(axis=1)
+        self.minus_twice, self.squares = -2.0 * self.mean.T, (self.mean * self.mean).sum(axis=1)
         self.owner = cells.owner[self.cell]
         self.sizes = np.bincount(self.owner, self.n, len(cells.clusters))
         # Share of each ball in its cluster, by cluster.
@@ -74,9 +75,13 @@ class Balls:
 
     def bounds(self, own: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lowest and highest silhouette of each point, and the gap that each ball leaves."""
-        squares = (x * x).sum(axis=1)[:, None] + (self.mean * self.mean).sum(axis=1)[None, :] - 2 * x @ self.mean.T
-        near = np.sqrt(np.maximum(squares, 0.0))
-        far = np.sqrt(near * near + self.v[None, :])
+        near = x @ self.minus_twice
+        near += (x * x).sum(axis=1)[:, None]
+        near += self.squares
+        np.maximum(near, 0.0, out=near)
+        far = near + self.v
+        np.sqrt(near, out=near)
+        np.sqrt(far, out=far)
         least, most = near @ self.shares, far @ self.shares
         row, size = np.arange(len(x)), self.sizes[own]
         # A point is no neighbour of its own.
@@ -87,7 +92,8 @@ class Balls:
         low, high = silhouette(a[1], b[0]), silhouette(a[0], b[1])
         low[size == 1] = high[size == 1] = 0.0
         scale = np.maximum(np.maximum(a[1], b[1]), 1e-300)
-        left = ((far - near) / scale[:, None]).sum(axis=0) * self.shares.sum(axis=1)
+        far -= near
+        left = (1.0 / scale) @ far * self.shares.sum(axis=1)
         return low, high, left
 
 
@@ -155,7 +161,8 @@ def plain_silhouette(labelled: DataFrame, features: Sequence[str], cluster: str
     ship_package(labelled.sparkSession)
     width = len(features)
     known = labelled.dropna(subset=[*features, cluster])
-    stored = materialise(known.select(F.col(cluster).cast("long").alias("c"), F.array(*[F.col(f).cast("double") for f in features]).alias("x")), "silhouette-points")
+    points = known.select(F.col(cluster).cast("long").alias("c"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
+    stored = materialise(spread(points, "c", "x"), "silhouette-points")
     clusters = [r["c"] for r in stored.select("c").distinct().collect()]
     found: tuple = (None, None, 0)
     if len(clusters) > 1:
