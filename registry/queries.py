@@ -92,7 +92,7 @@ def s1_csv_row_counts(t: Inputs) -> DataFrame:
 
 @query
 def s1_split_reviews(t: Inputs) -> DataFrame:
-    """One file of long quoted texts with quotes, commas and line breaks, read in many splits."""
+    """Files of long quoted texts with quotes, commas and line breaks, each read in many splits."""
     path = new_folder(t.spark, "csv-split")
     message = F.concat(F.lit('"'), F.coalesce("text", F.lit("")), F.lit('",\n""\nend'))
     reviews = adapters.table(t.spark, t.folder, "documents").select(
@@ -103,7 +103,7 @@ def s1_split_reviews(t: Inputs) -> DataFrame:
         message.alias("review_comment_message"),
     )
     options = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    reviews.coalesce(1).write.options(**options).csv(path)
+    reviews.write.options(**options).csv(path)
     return raw.read_csv(t.spark, path, raw.RAW_SCHEMAS["order_reviews"], multi_line=True, split_bytes=1 << 16).drop("ingest_seq")
 
 

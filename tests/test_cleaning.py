@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clientela.functions.privacy import pseudonymize_customers
 from clientela.operators import cleaning
 from clientela.sources import quoted, raw
+from registry import queries
 
 ORDER_SCHEMA = (
     "ingest_seq long, order_id string, customer_id string, order_status string, "
@@ -214,3 +215,26 @@ def test_quotes_inside_unquoted_fields_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text('review_id,order_id,message,review_score\nr1,o1,"fine ""so""",1\nr2,o2,size 7",2\nr3,o3,"x",3\n')
     with pytest.raises(Exception, match="quote inside an unquoted field"):
         raw.read_csv(spark, str(tmp_path), SPLIT_SCHEMA, multi_line=True).collect()
+
+
+def test_texts_of_crossing_records_are_not_brought_to_one_window(spark):
+    rows = [("f", 0, 0, "open", "a"), ("f", 10, 5, "middle", "b"), ("f", 20, 7, "tail", "c"), ("f", 20, 9, "open", "d"), ("f", 30, 11, "tail", "e"), ("g", 0, 0, "open", "x"), ("g", 30, 9, "tail", "y")]
+    pieces = spark.createDataFrame(rows, quoted.PIECES)
+    joined = quoted._joined(pieces)
+    got = {tuple(r) for r in joined.select("file", "block", "row", "text").collect()}
+    assert got == {("f", 0, 0, "a\nb\nc"), ("f", 20, 9, "d\ne"), ("g", 0, 0, "x\ny")}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Window [" in line]
+    assert below and all("Aggregate [" in line for line in below)
+
+
+def test_split_reviews_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    texts = [(i, f'word {i}, "quoted"\n' * (i % 50), "en", "web", i) for i in range(300)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(texts, schema).repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    folder = str(tmp_path / "csv")
+    monkeypatch.setattr(queries, "new_folder", lambda *_: folder)
+    got = queries.QUERIES["s1_split_reviews"](spark, str(tmp_path))
+    assert len(list((tmp_path / "csv").glob("*.csv"))) > 1
+    wanted = {(str(i), f'"{t}",\n""\nend') for i, t, *_ in texts}
+    assert {(str(r[0]), r[1]) for r in got.select("review_id", "review_comment_message").collect()} == wanted
