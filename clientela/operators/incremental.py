@@ -23,7 +23,6 @@ from clientela.operators.features import (
     _finish,
     _known,
     _recency_and_average,
-    _review_sums,
     delivery_days,
     is_late,
 )
@@ -45,9 +44,26 @@ class OrderTables:
     payments: DataFrame
     reviews: DataFrame
 
-    def of_orders(self, ids: DataFrame) -> OrderTables:
-        """The rows of the orders in ``ids`` only."""
-        return OrderTables(*[t.join(ids, ORDER, "left_semi") for t in (self.orders, self.items, self.payments, self.reviews)])
+    def facts(self) -> DataFrame:
+        """``order_id`` with its item rows, cents paid, most instalments, score sum and scores; a sum of nothing is null.
+
+        One aggregate over the rows of three tables: with one for each table, a task that joins the three holds a hash
+        table and a sort for every one of them.
+        """
+        score = F.col("review_score")
+        parts = [
+            self.items.select(ORDER, F.lit(1).cast("bigint").alias("_items")),
+            self.payments.select(ORDER, cents("payment_value").alias("_paid"), F.col("payment_installments").alias("_most")),
+            self.reviews.select(ORDER, score.cast("bigint").alias("_score"), score.isNotNull().cast("bigint").alias("_scored")),
+        ]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return rows.groupBy(ORDER).agg(
+            F.sum("_items").alias("_items"),
+            F.sum("_paid").alias("_paid"),
+            F.max("_most").alias("_most"),
+            F.sum("_score").alias("_score_sum"),
+            F.sum("_scored").alias("_scores"),
+        )
 
 
 @dataclass
@@ -67,23 +83,17 @@ class FeatureState:
         return cls(spark.read.parquet(f"{folder}/partials"), spark.read.parquet(f"{folder}/sums"))
 
 
-def order_partials(tables: OrderTables, key: str = "customer_id") -> DataFrame:
-    """What every order of a known customer adds: ``order_id, key``, latest purchase, ``SUMS``.
+def order_partials(tables: OrderTables, key: str = "customer_id", ids: DataFrame | None = None) -> DataFrame:
+    """What every order of a known customer adds: ``order_id, key``, latest purchase, ``SUMS``; of orders in ``ids`` only.
 
-    Orders without items count nothing but their reviews. Each table is reduced to one row per order before it is
-    joined, so no join has a hot key.
+    Orders without items count nothing but their reviews. The tables are reduced to one row per order before they
+    meet the orders, so no join has a hot key. Ids that are few enough to be broadcast pass to the scans, and only rows
+    of their orders are aggregated; more of them meet the aggregated rows, which is less to shuffle and to sort.
     """
-    counted = tables.items.groupBy(ORDER).agg(F.count(F.lit(1)).alias("_items"))
-    paid = tables.payments.groupBy(ORDER).agg(
-        F.sum(cents("payment_value")).alias("_paid"), F.max("payment_installments").alias("_most")
-    )
-    joined = (
-        _known(tables.orders, key)
-        .select(ORDER, key, PURCHASED, DELIVERED, ESTIMATED)
-        .join(counted, ORDER, "left")
-        .join(paid, ORDER, "left")
-        .join(_review_sums(tables.reviews), ORDER, "left")
-    )
+    orders, facts = _known(tables.orders, key).select(ORDER, key, PURCHASED, DELIVERED, ESTIMATED), tables.facts()
+    if ids is not None:
+        orders, facts = (t.join(ids, ORDER, "left_semi") for t in (orders, facts))
+    joined = orders.join(facts, ORDER, "left")
 
     def weighted(value: Column, name: str, rows: str) -> list[Column]:
         known = F.when(value.isNotNull(), F.col("_items"))
@@ -152,12 +162,12 @@ def refresh(state: FeatureState, tables: OrderTables, changed: DataFrame, key: s
     """The state after the orders in ``changed`` (column ``order_id``) took the form they have in ``tables``.
 
     ``changed`` may name orders that did not change, that are new, or that are gone; repeats and nulls do no harm.
-    Equal to ``first_state(tables)`` as long as it names every order that changed. Only rows of changed orders are
-    aggregated; the stored partials are read once for the orders to take out and copied without a shuffle by customer.
+    Equal to ``first_state(tables)`` as long as it names every order that changed. Few changed orders are
+    aggregated alone; the stored partials are read once for the orders to take out and copied without a shuffle by customer.
     """
     ids = materialise(changed.select(ORDER).where(F.col(ORDER).isNotNull()).distinct(), "changed-orders")
     old = materialise(state.partials.join(ids, ORDER, "left_semi"), "old-partials")
-    new = materialise(order_partials(tables.of_orders(ids), key), "new-partials")
+    new = materialise(order_partials(tables, key, ids), "new-partials")
     partials = materialise(state.partials.join(ids, ORDER, "left_anti").unionByName(new), "order-partials")
 
     signed = [df.withColumn("_sign", F.lit(sign).cast("bigint")) for df, sign in ((old, -1), (new, 1))]

@@ -6,6 +6,7 @@ import pytest
 
 from clientela.operators import features, incremental
 from clientela.operators.incremental import OrderTables, changed_orders, first_state, matrix_of_state, refresh
+from clientela.session import materialise
 
 SNAPSHOT = "2018-10-17"
 START = datetime(2018, 1, 1)
@@ -106,6 +107,37 @@ def test_nothing_changed_and_all_gone(spark, state, before):
     assert rows(refresh(gone, before, changed_orders(empty, before)).sums) == rows(state.sums)
 
 
+def joins_of_new_partials(monkeypatch, *refreshed):
+    """Joins in the plan of the changed orders' new partials, and the state after ``refresh``."""
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialise(df, name)
+
+    monkeypatch.setattr(incremental, "materialise", kept)
+    now = refresh(*refreshed)
+    return {kind: plans["new-partials"].count(kind) for kind in ("SortMergeJoin", "LeftSemi")}, now
+
+
+def test_many_changed_orders_meet_aggregated_rows(spark, state, before, after, monkeypatch):
+    # Each join, sort and aggregate of a stage keeps memory of its own in every task.
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins, now = joins_of_new_partials(monkeypatch, state, after, changed_orders(before, after))
+        assert joins == {"SortMergeJoin": 3, "LeftSemi": 2}
+        assert rows(now.sums) == rows(first_state(after).sums)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_few_changed_orders_are_aggregated_alone(spark, state, before, after, monkeypatch):
+    joins, now = joins_of_new_partials(monkeypatch, state, after, changed_orders(before, after))
+    assert joins["LeftSemi"] == 4  # one at the rows of each table
+    assert rows(matrix_of_state(now, SNAPSHOT)) == full(after)
+
+
 def test_saved_state(spark, state, tmp_path):
     state.save(str(tmp_path / "state"))
     assert rows(incremental.FeatureState.load(spark, str(tmp_path / "state")).sums) == rows(state.sums)
