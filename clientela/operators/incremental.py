@@ -162,8 +162,9 @@ def refresh(state: FeatureState, tables: OrderTables, changed: DataFrame, key: s
     """The state after the orders in ``changed`` (column ``order_id``) took the form they have in ``tables``.
 
     ``changed`` may name orders that did not change, that are new, or that are gone; repeats and nulls do no harm.
-    Equal to ``first_state(tables)`` as long as it names every order that changed. Few changed orders are
-    aggregated alone; the stored partials are read once for the orders to take out and copied without a shuffle by customer.
+    Equal to ``first_state(tables)`` as long as it names every order that changed. Changed orders that are few enough
+    to be broadcast are aggregated alone. The stored partials are read once for the orders to take out and copied
+    without a shuffle by customer.
     """
     ids = materialise(changed.select(ORDER).where(F.col(ORDER).isNotNull()).distinct(), "changed-orders")
     old = materialise(state.partials.join(ids, ORDER, "left_semi"), "old-partials")
