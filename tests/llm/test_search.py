@@ -112,3 +112,55 @@ def test_blocks_below_the_bound_are_skipped():
     search.search_shard(shard, queries, np.ones(4), [top], 3)
     assert [r for _, r in top.rows] == [0, 1, 2]
     assert {int(shard.ids[d]) for d in scored} <= set(range(64))
+
+
+def test_texts_are_read_once_for_all_blocks(spark, monkeypatch):
+    """However many blocks of queries there are; and blocks are as full as they may be."""
+    monkeypatch.setattr(search, "TERMS_AT_ONCE", 400)
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    table = docs_table(spark, ROWS, clash=False)
+    docs = table.mapInArrow(passing, table.schema)
+    queries = ROWS[::9]
+    got = search.top_k(docs, docs_table(spark, queries), k=3).collect()
+    assert read.value == len(ROWS)
+    compare(got, brute(ROWS, queries, 3))
+    sizes = [len(b.terms) for b in search.query_blocks(docs_table(spark, ROWS), "doc_id", "text")]
+    assert len(sizes) > 2 and max(sizes) <= 400
+    assert all(a + b > 300 for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_shards_of_several_kinds_of_documents_are_exact():
+    """Kinds with few words in common, dense and sparse terms, repeated ids: all scores against plain sums."""
+    rng = np.random.default_rng(7)
+    kinds, terms, n = 3, 400, 700
+    idf = rng.uniform(0.5, 6, kinds * terms)
+    doc_terms, impacts = [], []
+    for i in range(n):
+        chance = 0.6 / (1 + np.arange(terms) / 8)
+        own = np.nonzero(rng.random(terms) < chance)[0] + terms * (i % kinds)
+        own = np.unique(np.append(own, rng.integers(0, kinds * terms))) if i % 50 else own[:0]
+        doc_terms.append(own.astype(np.int32))
+        impacts.append(idf[own] * rng.uniform(0.3, 2.1, len(own)))
+    ids = np.arange(n) // 2 * 3
+    shard = search.Shard(ids, doc_terms, impacts, idf)
+    assert sorted(shard.ids.tolist()) == sorted(ids.tolist())
+    picked = [doc_terms[i] for i in range(1, n, 9)]
+    counts = [rng.integers(1, 4, len(t)).astype(np.int32) for t in picked]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in picked])])
+    queries = search.Queries(np.arange(len(picked)), np.arange(len(idf)), offsets, np.concatenate(picked), np.concatenate(counts))
+    for bound in (0.0, 60.0):
+        tops = [search.Top(bound) for _ in picked]
+        search.search_shard(shard, queries, queries.counts.astype(float), tops, 4)
+        for t, c, top in zip(picked, counts, tops, strict=True):
+            weight = np.zeros(len(idf))
+            weight[t] = c
+            scores = {(round(float(weight[d] @ v), 6), int(i)) for i, d, v in zip(ids, doc_terms, impacts, strict=True)}
+            want = sorted((r for r in scores if r[0] > 0 and r[0] >= bound), key=lambda r: (-r[0], r[1]))
+            got = [r for r in top.rows if r[0] >= bound]
+            assert np.allclose([s for s, _ in got], [s for s, _ in want[:4]], atol=2e-6)
