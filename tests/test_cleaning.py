@@ -2,6 +2,7 @@ import csv
 import random
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
@@ -238,3 +239,52 @@ def test_split_reviews_are_written_by_several_tasks(spark, tmp_path, monkeypatch
     assert len(list((tmp_path / "csv").glob("*.csv"))) > 1
     wanted = {(str(i), f'"{t}",\n""\nend') for i, t, *_ in texts}
     assert {(str(r[0]), r[1]) for r in got.select("review_id", "review_comment_message").collect()} == wanted
+
+
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    """Splits stay as small as asked for, but there are no more tasks than the session's own split size needs."""
+    with open(tmp_path / "a.csv", "w", newline="") as f:
+        csv.writer(f).writerows([["review_id", "order_id", "message", "review_score"]] + [[i, "o", f"line\n{i}", 1] for i in range(5000)])
+    stored, materialise = {}, quoted.materialise
+    monkeypatch.setattr(quoted, "materialise", lambda df, name: stored.setdefault(name, materialise(df, name)))
+    got = raw.read_csv(spark, str(tmp_path / "a.csv"), SPLIT_SCHEMA, multi_line=True, split_bytes=2048)
+    assert got.select("message").distinct().count() == 5000
+    blocks = stored["csv-pieces"].select("block").distinct().count()
+    assert len(stored["csv-pieces"].inputFiles()) <= spark.sparkContext.defaultParallelism < blocks
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_records_are_cut_alike_in_any_batches(size):
+    """Line by line, as the docstring says, against batches whose ends fall anywhere."""
+    rng = random.Random(size)
+    lines, row = [], 0
+    for file in "fg":
+        odd = False
+        for block in range(0, 60, 10):
+            inside = odd
+            for _ in range(rng.choice([1, 2, 5, 12])):
+                value = rng.choice(["", "\r", "a", "é,b", 'x"', '"', '""', '"q"'])
+                odd ^= value.count('"') % 2 == 1
+                lines.append((file, block, row, value, inside, value.count('"') % 2 == 1))
+                row += 1
+    want, held, at, quoted_now, crossing = [], [], None, False, False
+    for file, block, number, value, inside, odd in [*lines, (None, None, None, "", False, False)]:
+        if (file, block) != at:
+            if held:
+                want.append((*at, held[0][0], "middle" if crossing else "open", "\n".join(v for _, v in held)))
+            at, held, quoted_now, crossing = (file, block), [], inside, inside
+        held.append((number, value))
+        quoted_now ^= odd
+        if not quoted_now:
+            want.append((file, block, held[0][0], "tail" if crossing else "whole", "\n".join(v for _, v in held)))
+            held, crossing = [], False
+    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("row", pa.int64()), ("value", pa.string()), ("inside", pa.bool_()), ("odd", pa.bool_())])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in lines[i : i + size]], schema) for i in range(0, len(lines), size)]
+    got = [tuple(r.values()) for b in quoted._cut(iter(batches)) for r in b.to_pylist()]
+    assert [r[:5] for r in got] == want[:-1]
+    firsts = {}
+    for r in got:
+        if r[3] == "whole" and r[4] not in ("", "\r"):
+            firsts.setdefault(r[:2], r)
+    assert all(r[5] for r in firsts.values())
+    assert not any(r[5] for r in got if r[3] != "whole" or r[4] in ("", "\r"))
