@@ -269,7 +269,7 @@ class Shard:
         different, places = np.unique(self.ids, return_inverse=True)
         self.different, self.places = len(different), places if len(different) < len(ids) else None
         # Document by document, for exact scores.
-        self.doc_terms = np.concatenate([doc_terms[i] for i in order])
+        self.doc_terms = np.concatenate([doc_terms[i] for i in order]).astype(np.intp, copy=False)
         self.doc_impacts = np.concatenate([impacts[i] for i in order])
         self.doc_starts = np.concatenate([[0], np.cumsum(counts[order])])
         terms, values = self.doc_terms, self.doc_impacts.astype(np.float32)
